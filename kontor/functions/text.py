@@ -51,8 +51,7 @@ def split_list(text: Column | str, sep: str = ",") -> Column:
 
 def join_list(items: Column | str, sep: str = ",") -> Column:
     """Array to separated text; an empty or missing array is NULL."""
-    items = as_col(items)
-    return F.when(F.size(items) > 0, F.array_join(items, sep))
+    return F.nullif(F.array_join(as_col(items), sep), F.lit(""))
 
 
 def title_fields(block: Column | str, names: Sequence[str] = V.TITLE_FIELDS) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from kontor.operators.dedup import latest_per_key
 from kontor.operators.projection import drop_if_present, pick, quoted, require_distinct_names
-from kontor.operators.sizing import small_side
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -151,13 +150,12 @@ def with_surrogate_ids(
 ) -> DataFrame:
     """Category id by name, then subcategory id by (category id, name).
 
-    Left joins: a row without category or subcategory keeps NULL ids.
+    Left joins: a row without category or subcategory keeps NULL ids.  Pass the id
+    tables through `sizing.small_side`, or from `label_tables`, which has measured them.
     """
-    first = small_side(category_ids.select("category_id", F.col("Category").alias("__category")))
-    second = small_side(
-        subcategory_ids.select(
-            "subcategory_id", F.col("category_id").alias("__parent"), F.col("Subcategory").alias("__subcategory")
-        )
+    first = category_ids.select("category_id", F.col("Category").alias("__category"))
+    second = subcategory_ids.select(
+        "subcategory_id", F.col("category_id").alias("__parent"), F.col("Subcategory").alias("__subcategory")
     )
     step = rows.join(first, rows[f"`{category}`"] == first["__category"], "left").drop("__category")
     return step.join(

@@ -89,6 +89,12 @@ def progress(df: DataFrame, order: Sequence[str], done: Column) -> DataFrame:
     return counted.drop("__done").withColumn("done_share", F.col("done_so_far") / total)
 
 
+def number_few(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
+    """The same numbers from one window; only for tables whose small size was measured."""
+    window = Window.orderBy(*(quoted(one).asc_nulls_last() for one in order))
+    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+
+
 def surrogate_ids(df: DataFrame, keys: Sequence[str], ordinal: str, name: str) -> DataFrame:
     """Dense ids 1..n for the distinct non-NULL keys, in order of first appearance.
 
@@ -100,9 +106,5 @@ def surrogate_ids(df: DataFrame, keys: Sequence[str], ordinal: str, name: str) -
         present = present.filter(quoted(key).isNotNull())
     firsts = present.groupBy(*(quoted(key) for key in keys)).agg(F.min(quoted(ordinal)).alias("__first"))
     firsts = written(firsts, "distinct-keys")
-    order = ["__first", *keys]
-    if is_small(firsts):
-        numbered = firsts.withColumn(name, F.row_number().over(Window.orderBy(*map(quoted, order))).cast("bigint"))
-    else:
-        numbered = number_rows(firsts, order, name)
-    return numbered.drop("__first")
+    number = number_few if is_small(firsts) else number_rows
+    return number(firsts, ["__first", *keys], name).drop("__first")

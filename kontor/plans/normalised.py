@@ -11,9 +11,9 @@ from kontor import fixed_values as V
 from kontor.operators import constraints
 from kontor.operators.dedup import first_per_key
 from kontor.operators.joins import with_surrogate_ids
-from kontor.operators.numbering import surrogate_ids
+from kontor.operators.numbering import number_few, number_rows
 from kontor.operators.projection import pick, quoted
-from kontor.operators.sizing import small_side, written
+from kontor.operators.sizing import is_small, written
 from kontor.sources.store import write_table
 
 
@@ -44,17 +44,23 @@ class Model:
 def label_tables(rows: DataFrame, ordinal: str) -> tuple[DataFrame, DataFrame]:
     """Category and subcategory tables with ids in order of first appearance.
 
-    Categories come from the distinct pairs, so the base rows are grouped once.
+    The base rows are grouped once, to distinct pairs; both tables come from those.
+    They carry a broadcast hint if the pairs were measured small.
     """
     pairs = written(rows.groupBy("Category", "Subcategory").agg(F.min(quoted(ordinal)).alias("__seen")), "pairs")
-    categories = surrogate_ids(pairs, ["Category"], "__seen", "category_id").select(
+    pairs = pairs.filter(F.col("Category").isNotNull())
+    few = is_small(pairs)
+    number, hint = (number_few, F.broadcast) if few else (number_rows, lambda df: df)
+    firsts = pairs.groupBy("Category").agg(F.min("__seen").alias("__seen"))
+    categories = number(firsts, ["__seen", "Category"], "category_id").select(
         "category_id", "Category", F.lit(None).cast("string").alias("description")
     )
-    numbered = surrogate_ids(pairs, ["Category", "Subcategory"], "__seen", "subcategory_id")
-    subcategories = numbered.join(small_side(categories.select("Category", "category_id")), "Category").select(
+    named = pairs.filter(F.col("Subcategory").isNotNull())
+    numbered = number(named, ["__seen", "Category", "Subcategory"], "subcategory_id")
+    subcategories = numbered.join(hint(categories.select("Category", "category_id")), "Category").select(
         "subcategory_id", "category_id", "Subcategory"
     )
-    return categories, subcategories
+    return hint(categories), hint(subcategories)
 
 
 def normalise(flat: DataFrame, ordinal: str, key: str = "IDI") -> Model:
