@@ -38,12 +38,13 @@ def by_scores(
     again.
     """
     first = df.withColumn("__text", model_text(name, purpose)).withColumn("__labels", taxonomy.labels())
-    first = first.withColumn("__one", best(softmax(pair_up("__labels", score(F.col("__text"), F.col("__labels"))))))
+    first = first.withColumn("__scores", score(F.col("__text"), F.col("__labels")))
+    first = first.withColumn("__one", best(softmax(pair_up("__labels", "__scores"))))
     first = first.withColumns({"__category": F.col("__one.label"), "__score": F.col("__one.score")})
-    second = taxonomy.add_labels(first.drop("__labels"), "__category", "__subs")
-    asked = F.when(F.col("__score") >= min_score, F.col("__subs"))
-    second = second.withColumn("__asked", asked)
-    second = second.withColumn("__two", best(softmax(pair_up("__asked", score(F.col("__text"), F.col("__asked"))))))
+    second = taxonomy.add_labels(first.drop("__labels", "__scores"), "__category", "__subs")
+    second = second.withColumn("__asked", F.when(F.col("__score") >= min_score, F.col("__subs")))
+    second = second.withColumn("__scores", score(F.col("__text"), F.col("__asked")))
+    second = second.withColumn("__two", best(softmax(pair_up("__asked", "__scores"))))
     outcome = cascade("__category", "__score", F.col("__two.label"), F.col("__two.score"), min_score)
     kept = [quoted(c) for c in df.columns if c not in LABELS]
     return second.withColumn("__o", outcome).select(

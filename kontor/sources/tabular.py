@@ -17,7 +17,10 @@ from kontor.operators.reports import key_set
 from kontor.sources.store import data_files, exists
 
 READ = {"header": "true", "multiLine": "true", "escape": '"', "mode": "PERMISSIVE"}
-WRITE = {"header": "true", "escape": '"', "emptyValue": "", "nullValue": ""}
+WRITE = {
+    "header": "true", "escape": '"', "emptyValue": "", "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 ORDINAL = "ordinal"
 
 

@@ -74,8 +74,8 @@ class Taxonomy:
 
     def add_labels(self, df: DataFrame, category: str, name: str = "labels") -> DataFrame:
         """Add the subcategory array of the row's category; NULL for an unknown category."""
-        dim = self.label_lists().select(F.col("category").alias("__category"), F.col("subcategories").alias(name))
-        return df.join(dim, df[f"`{category}`"] == dim["__category"], "left").drop("__category")
+        dim = self.label_lists().select(F.col("category").alias("__listed"), F.col("subcategories").alias(name))
+        return df.join(dim, df[f"`{category}`"] == dim["__listed"], "left").drop("__listed")
 
     def known(self, df: DataFrame, category: str, subcategory: str, name: str = "known") -> DataFrame:
         """Whether the pair is in the taxonomy, compared exactly."""

@@ -27,13 +27,19 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def with_views(sql: str, views: tuple[str, ...]) -> str:
+    if not views:
+        return sql
+    heads = ",\n".join(f"{view} AS ({VIEWS[view]})" for view in views)
+    body = sql.strip()
+    return f"WITH {heads},\n{body[4:]}" if body.startswith("WITH") else f"WITH {heads}\n{body}"
+
+
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
     """Register a query; `views` are put before the SQL as common table expressions."""
 
     def add(run: Run) -> Run:
-        heads = ",\n".join(f"{view} AS ({VIEWS[view]})" for view in views)
-        text = None if sql is None else (f"WITH {heads}\n{sql}" if heads else sql)
-        REGISTRY[name] = Query(run, text)
+        REGISTRY[name] = Query(run, None if sql is None else with_views(sql, views))
         return run
 
     return add
