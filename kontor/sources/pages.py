@@ -33,7 +33,7 @@ _ELEMENTS_ARROW = pa.list_(pa.struct([
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """A folder of HTML files as a page table: the path is id and URL, a file is a page."""
-    texts = spark.read.option("wholetext", True).text(path)
+    texts = spark.read.text(path, wholetext=True)
     return texts.select(F.col("_metadata.file_path").alias("page_id"), F.col("_metadata.file_path").alias("url"),
                         F.col("value").alias("html"))
 
@@ -93,12 +93,13 @@ def table_records(
         )
 
     width = F.least(F.size("names"), F.size("cells"))
+    used = F.slice("names", F.lit(1), width)
     fields = F.transform(
-        F.slice("names", F.lit(1), width),
+        used,
         lambda name, i: F.struct(name.alias("key"), value(F.get(F.col("cells"), i), name).alias("value")),
     )
     last_of_name = F.filter(
-        fields, lambda field, i: ~F.array_contains(F.slice("names", i + 2, width), field["key"])
+        fields, lambda field, i: ~F.array_contains(F.slice(used, i + 2, width), field["key"])
     )
     return rows.withColumn("cells", cells).filter(F.size("names") > 0).select(
         as_col(page), "position", F.map_from_entries(last_of_name).alias("record")

@@ -117,7 +117,7 @@ def _tries(rows, key: str):
 
 
 @query("attempt_resolution", views=("v_place",), sql="""
-    WITH one AS (SELECT c_custkey, r_name, n_name, attempt, (c_custkey + attempt * 3) % 4 AS kind
+    WITH one AS (SELECT c_custkey, r_name, n_name, attempt, (c_custkey + attempt * (c_custkey % 3)) % 4 AS kind
         FROM customer JOIN v_place ON n_nationkey = c_nationkey, range(1, 4) t(attempt)),
     chosen AS (SELECT c_custkey, min(attempt) AS attempt FROM one WHERE kind > 1 GROUP BY 1)
     SELECT c.c_custkey, CASE WHEN o.kind IS NULL THEN NULL WHEN o.kind = 2 THEN 'Other' ELSE o.r_name END AS category,
@@ -126,7 +126,7 @@ def _tries(rows, key: str):
 def attempt_resolution(spark, sf):
     """Single prompt: rate-limit errors are retried, other errors end in the unknown labels."""
     rows = table(spark, sf, "customer").join(B.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
-    kind = (F.col("c_custkey") + F.col("attempt") * 3) % 4
+    kind = (F.col("c_custkey") + F.col("attempt") * (F.col("c_custkey") % 3)) % 4
     log = _tries(rows, "c_custkey").select(
         "c_custkey", "attempt",
         F.when(kind == 3, F.concat(F.lit("Category: "), "r_name", F.lit("\nSubcategory: "), "n_name")).alias("text"),
