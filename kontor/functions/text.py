@@ -24,8 +24,12 @@ def strip(text: Column | str) -> Column:
 
 def blank_to_null(text: Column | str) -> Column:
     """One null convention: blank text is missing."""
-    stripped = strip(text)
-    return F.when(stripped != "", stripped)
+    return F.nullif(strip(text), F.lit(""))
+
+
+def has_text(text: Column | str) -> Column:
+    """Whether there is anything but white space; false for NULL."""
+    return F.coalesce(as_col(text).rlike(r"(?U)[^\s\x1c-\x1f]"), F.lit(False))
 
 
 def missing_to_null(text: Column | str, tokens: Sequence[str] = V.MISSING_TOKENS) -> Column:
@@ -67,10 +71,9 @@ def words(text: Column | str, stop_words: Sequence[str] = V.STOP_WORDS) -> Colum
     The classes are spelled with Unicode properties: word characters are letters,
     numbers and the underscore, so a combining mark splits a word.
     """
-    lowered = F.lower(text_or_empty(text))
-    letters = F.regexp_replace(lowered, rf"(?U)[^\p{{L}}\p{{N}}_\s\x1c-\x1f]", " ")
-    no_digits = F.regexp_replace(letters, r"\p{Nd}+", "")
-    parts = F.split(no_digits, f"(?U){SPACE}+")
+    no_digits = F.regexp_replace(F.lower(text_or_empty(text)), r"\p{Nd}+", "")
+    # White space and punctuation alike end a word; a-z first, as most letters are.
+    parts = F.split(no_digits, r"[^a-z_\p{L}\p{N}]+")
     # More than ten literals, so Catalyst turns the test into a hash-set probe.
     unwanted = sorted(set(stop_words) | {""})
     return F.filter(parts, lambda word: ~word.isin(*unwanted))

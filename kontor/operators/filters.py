@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kontor import fixed_values as V
-from kontor.functions.text import blank_to_null
+from kontor.functions.text import has_text
 from kontor.operators.projection import quoted
 
 
@@ -24,7 +24,7 @@ def with_any(df: DataFrame, columns: Sequence[str] = V.CONTACT_COLUMNS) -> DataF
 
 def with_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows where every column holds text, blank counting as missing."""
-    return df.filter(reduce(lambda a, b: a & b, (blank_to_null(quoted(name)).isNotNull() for name in columns)))
+    return df.filter(reduce(lambda a, b: a & b, (has_text(quoted(name)) for name in columns)))
 
 
 def pending(label: str = "Category", needed: str | None = "Purpose") -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,19 +40,18 @@ def scorer(load: Callable[[], Callable[[list[str], list[list[str]]], list[list[f
     and their label lists.  Rows without text or candidates are not scored.
     """
 
-    @F.pandas_udf("array<double>")
-    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def score(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = load()
         for texts, labels in batches:
-            wanted = [
-                i for i, (text, names) in enumerate(zip(texts, labels))
-                if text is not None and names is not None and len(names)
-            ]
-            result: list[list[float] | None] = [None] * len(texts)
+            rows = list(zip(texts.to_pylist(), labels.to_pylist()))
+            wanted = [i for i, (text, names) in enumerate(rows) if text is not None and names]
+            result: list[list[float] | None] = [None] * len(rows)
             if wanted:
-                given = model([texts.iloc[i] for i in wanted], [list(labels.iloc[i]) for i in wanted])
+                given = model([rows[i][0] for i in wanted], [rows[i][1] for i in wanted])
                 for i, values in zip(wanted, given):
-                    result[i] = [float(v) for v in values]
-            yield pd.Series(result)
+                    result[i] = list(values)
+            yield pa.array(result, type=pa.list_(pa.float64()))
 
-    return score
+    # Never run the model again for a filter the optimiser would push below it.
+    return score.asNondeterministic()

@@ -28,3 +28,14 @@ def written(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame, bytes_per_core: int = 16 * 1024 * 1024) -> DataFrame:
+    """Deal a small table out over all cores before work that costs far more than an exchange.
+
+    A file of a few megabytes is one task, however heavy each row is.  Tables beyond
+    `bytes_per_core` per core have enough splits of their own and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if int(estimate) <= cores * bytes_per_core else df

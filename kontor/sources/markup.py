@@ -1,4 +1,4 @@
-"""A small reader for one HTML page: its tables and its marked elements.
+"""A small reader for one HTML page: its table rows and its marked elements.
 
 Runs inside an Arrow UDF, one page at a time; everything after the raw cells and
 texts is done with DataFrame expressions in `pages`.
@@ -7,162 +7,187 @@ texts is done with DataFrame expressions in `pages`.
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
-
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-_BREAKS = {"br", "p", "div", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table", "section"}
-_SILENT = {"script", "style"}
-
-
-class _Piece:
+from collections import Counter
+from collections.abc import Iterator
+from html import unescape
+
+# One token: comment, silent element, tag, declaration, or text.
+TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)
+    | <(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\Z)
+    | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:"[^"]*"|'[^']*'|[^'">])*+)>
+    | <[!?][^>]*>?
+    | (?P<text>(?:[^<]|<(?![a-z/!?]))++)
+    | <""",
+    re.S | re.I | re.X,
+)
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+BREAKS = frozenset("br p div li tr h1 h2 h3 h4 h5 h6 ul ol table section".split())
+# Stands for a line break among the text runs.
+BREAK = None
+
+
+def attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(text):
+        if value[:1] in ("'", '"'):
+            value = value[1:-1]
+        found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+def tokens(html: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, tag or text, attribute text) with kind one of open, close, text."""
+    for match in TOKEN.finditer(html):
+        text = match["text"]
+        if text is not None:
+            yield "text", unescape(text) if "&" in text else text, ""
+        elif match["tag"] is not None:
+            yield "close" if match["end"] else "open", match["tag"].lower(), match["attrs"]
+
+
+class Piece:
     """Text being collected for an open element."""
 
+    __slots__ = ("tag", "attrs", "runs", "link")
+
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.texts = tag, attrs, []
+        self.tag, self.attrs, self.runs = tag, attrs, []
         self.link = attrs.get("href") if tag == "a" else None
 
     def joined(self, sep: str) -> str:
         """Stripped text runs, put together with `sep`."""
-        return sep.join(run for run in (text.strip() for text in self.texts if text != "\n\0") if run)
+        stripped = (run.strip() for run in self.runs if run is not BREAK)
+        return sep.join(run for run in stripped if run)
 
     def lines(self) -> str:
         """Visible text: one line per block or break, white space squeezed, blank lines left out."""
-        whole = "".join("\0" if text == "\n\0" else text for text in self.texts)
-        squeezed = (re.sub(r"\s+", " ", line).strip() for line in whole.split("\0"))
-        return "\n".join(line for line in squeezed if line)
-
-
-class PageReader(HTMLParser):
-    """Collects `tables` (rows of cells) and `found` (elements wanted by id, class or link)."""
-
-    def __init__(self, ids=frozenset(), classes=frozenset(), links=False, tables=False):
-        super().__init__(convert_charrefs=True)
-        self._ids, self._classes, self._links, self._want_tables = ids, classes, links, tables
-        self._open: list[tuple[str, _Piece | None]] = []
-        self._pieces: list[_Piece] = []
-        self._tables: list[dict] = []
-        self._silent = 0
-        self.rows: list[dict] = []
-        self.found: list[_Piece] = []
-        self._table_count = 0
-
-    # --- events -------------------------------------------------------------
-    def handle_starttag(self, tag, attrs):
-        attributes = {name: value or "" for name, value in attrs}
-        if tag in _BREAKS:
-            self._add("\n\0")
-        if self._want_tables:
-            self._table_start(tag, attributes)
-        if tag == "a" and "href" in attributes:
-            for piece in self._pieces:
-                piece.link = attributes["href"] if piece.link is None else piece.link
-        if tag in _VOID:
-            return
-        if tag in _SILENT:
-            self._silent += 1
-        piece = None
-        if self._wanted(tag, attributes):
-            piece = _Piece(tag, attributes)
-            self._pieces.append(piece)
-            self.found.append(piece)
-        self._open.append((tag, piece))
-
-    def handle_endtag(self, tag):
-        if tag in _BREAKS and tag != "br":
-            self._add("\n\0")
-        if self._want_tables:
-            self._table_end(tag)
-        if not any(name == tag for name, _ in self._open):
-            return
-        while self._open:
-            name, piece = self._open.pop()
-            if name in _SILENT:
-                self._silent -= 1
-            if piece is not None:
-                self._pieces.remove(piece)
-            if name == tag:
-                break
-
-    def handle_data(self, data):
-        if not self._silent:
-            self._add(data)
-
-    def _add(self, text):
-        for piece in self._pieces:
-            piece.texts.append(text)
-
-    def _wanted(self, tag, attributes):
-        if self._links and tag == "a" and attributes.get("href") is not None:
-            return True
-        if attributes.get("id") in self._ids:
-            return True
-        return bool(self._classes.intersection(attributes.get("class", "").split()))
-
-    # --- tables -------------------------------------------------------------
-    def _table_start(self, tag, attributes):
-        if tag == "table":
-            self._tables.append({"no": self._table_count, "part": "", "rows": 0, "row": None, "cell": None})
-            self._table_count += 1
-        elif self._tables:
-            table = self._tables[-1]
-            if tag in ("thead", "tbody", "tfoot"):
-                self._close_row(table)
-                table["part"] = tag
-            elif tag == "tr":
-                self._close_row(table)
-                table["row"] = {"table_no": table["no"], "row_no": table["rows"], "part": table["part"], "cells": []}
-                table["rows"] += 1
-                self.rows.append(table["row"])
-            elif tag in ("td", "th"):
-                self._close_cell(table)
-                if table["row"] is not None:
-                    table["cell"] = _Piece(tag, attributes)
-                    self._pieces.append(table["cell"])
-
-    def _table_end(self, tag):
-        if not self._tables:
-            return
-        table = self._tables[-1]
-        if tag in ("td", "th"):
-            self._close_cell(table)
-        elif tag == "tr":
-            self._close_row(table)
-        elif tag in ("thead", "tbody", "tfoot"):
-            self._close_row(table)
-            table["part"] = ""
-        elif tag == "table":
-            self._close_row(table)
-            self._tables.pop()
-
-    def _close_cell(self, table):
-        cell, table["cell"] = table["cell"], None
+        lines, line = [], []
+        for run in [*self.runs, BREAK]:
+            if run is not BREAK:
+                line.append(run)
+                continue
+            squeezed = " ".join("".join(line).split())
+            line = []
+            if squeezed:
+                lines.append(squeezed)
+        return "\n".join(lines)
+
+
+class Table:
+    """An open table: where its next row and cell go."""
+
+    def __init__(self, number: int):
+        self.number, self.part, self.rows = number, "", 0
+        self.row: dict | None = None
+        self.cell: Piece | None = None
+
+    def close_cell(self, open_cells: list[Piece]) -> None:
+        cell, self.cell = self.cell, None
         if cell is not None:
-            self._pieces.remove(cell)
-            table["row"]["cells"].append({
+            open_cells.remove(cell)
+            self.row["cells"].append({
                 "tag": cell.tag, "class": cell.attrs.get("class", ""), "href": cell.link,
                 "text": cell.joined(""), "lines": cell.lines(),
             })
 
-    def _close_row(self, table):
-        self._close_cell(table)
-        table["row"] = None
-
-    def finish(self, html: str) -> "PageReader":
-        self.feed(html)
-        self.close()
-        for table in reversed(self._tables):
-            self._close_row(table)
-        return self
+    def close_row(self, open_cells: list[Piece]) -> None:
+        self.close_cell(open_cells)
+        self.row = None
 
 
 def table_rows(html: str) -> list[dict]:
-    """All rows of all tables in document order."""
-    return PageReader(tables=True).finish(html).rows
+    """All rows of all tables in document order; a cell or row ends where the next begins."""
+    rows: list[dict] = []
+    tables: list[Table] = []
+    cells: list[Piece] = []
+    count = 0
+    for kind, name, attrs in tokens(html):
+        if kind == "text":
+            for cell in cells:
+                cell.runs.append(name)
+            continue
+        if name in BREAKS:
+            for cell in cells:
+                cell.runs.append(BREAK)
+        table = tables[-1] if tables else None
+        if kind == "open":
+            if name == "table":
+                tables.append(Table(count))
+                count += 1
+            elif table is None:
+                continue
+            elif name == "tr":
+                table.close_row(cells)
+                table.row = {"table_no": table.number, "row_no": table.rows, "part": table.part, "cells": []}
+                table.rows += 1
+                rows.append(table.row)
+            elif name in ("td", "th"):
+                table.close_cell(cells)
+                if table.row is not None:
+                    table.cell = Piece(name, attributes(attrs))
+                    cells.append(table.cell)
+            elif name in ("thead", "tbody", "tfoot"):
+                table.close_row(cells)
+                table.part = name
+            elif name == "a" and cells:
+                link = attributes(attrs).get("href")
+                for cell in cells:
+                    cell.link = link if cell.link is None else cell.link
+        elif table is not None:
+            if name in ("td", "th"):
+                table.close_cell(cells)
+            elif name == "tr":
+                table.close_row(cells)
+            elif name in ("thead", "tbody", "tfoot"):
+                table.close_row(cells)
+                table.part = ""
+            elif name == "table":
+                table.close_row(cells)
+                tables.pop()
+    for table in reversed(tables):
+        table.close_row(cells)
+    return rows
 
 
 def elements(html: str, ids: frozenset[str], classes: frozenset[str], links: bool) -> list[dict]:
     """Elements with a wanted id or class, and links, in document order."""
-    found = PageReader(ids=ids, classes=classes, links=links).finish(html).found
+    found: list[Piece] = []
+    collecting: list[Piece] = []
+    stack: list[tuple[str, Piece | None]] = []
+    opened: Counter[str] = Counter()
+    for kind, name, attrs in tokens(html):
+        if kind == "text":
+            for piece in collecting:
+                piece.runs.append(name)
+            continue
+        if name in BREAKS:
+            for piece in collecting:
+                piece.runs.append(BREAK)
+        if kind == "open":
+            if name in VOID:
+                continue
+            piece = None
+            if attrs:
+                given = attributes(attrs)
+                if (
+                    (links and name == "a" and "href" in given) or given.get("id") in ids
+                    or not classes.isdisjoint(given.get("class", "").split())
+                ):
+                    piece = Piece(name, given)
+                    collecting.append(piece)
+                    found.append(piece)
+            stack.append((name, piece))
+            opened[name] += 1
+        elif opened[name]:
+            while True:
+                tag, piece = stack.pop()
+                opened[tag] -= 1
+                if piece is not None:
+                    collecting.remove(piece)
+                if tag == name:
+                    break
     return [
         {
             "tag": piece.tag, "id": piece.attrs.get("id", ""), "class": piece.attrs.get("class", ""),

@@ -1,7 +1,9 @@
 """Page tables `(page_id, url, html)` to records.
 
 Reading the markup is the one step done in Python workers; it needs no exchange,
-and its output stays inside the page's row as an array.
+and its output stays inside the page's row as an array.  The readers are declared
+nondeterministic, which keeps the optimiser from running them again for a filter
+pushed below them.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ def table_rows(html: Column | str) -> Column:
     def rows(pages: pa.Array) -> pa.Array:
         return pa.array((markup.table_rows(page.as_py() or "") for page in pages), type=_ROWS_ARROW)
 
-    return rows(as_col(html))
+    return rows.asNondeterministic()(as_col(html))
 
 
 def elements(html: Column | str, ids: Sequence[str] = (), classes: Sequence[str] = (), links: bool = False) -> Column:
@@ -57,7 +59,7 @@ def elements(html: Column | str, ids: Sequence[str] = (), classes: Sequence[str]
         items = (markup.elements(page.as_py() or "", wanted_ids, wanted_classes, links) for page in pages)
         return pa.array(items, type=_ELEMENTS_ARROW)
 
-    return found(as_col(html))
+    return found.asNondeterministic()(as_col(html))
 
 
 def has_class(item: Column, name: str) -> Column:

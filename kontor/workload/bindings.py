@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kontor.functions.contacts import first_email, phones_in_text
 from kontor.functions.text import join_list
+from kontor.operators.sizing import spread_small
 from kontor.sources.taxonomy import Taxonomy
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def heavy(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose rows cost much work each: dealt out over the cores if it is small."""
+    return spread_small(table(spark, sf, name))
+
+
 # --- keys -----------------------------------------------------------------------
 def idi(key: Column | str) -> Column:
     digits = F.lpad((F.col(key) if isinstance(key, str) else key).cast("string"), 9, "0")
@@ -64,21 +70,26 @@ def idi_sql(key: str) -> str:
 
 
 # --- register -------------------------------------------------------------------
-def places(spark: SparkSession, sf: str) -> DataFrame:
+def placed(rows: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with `c_nationkey`, plus their nation and region.
+
+    One dimension after the other: Spark then sees each by its own file size, not
+    by the estimated product of both.
+    """
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    named = rows.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return named.join(region, F.col("n_regionkey") == F.col("r_regionkey")).drop("n_nationkey", "n_regionkey", "r_regionkey")
 
 
 def classified(spark: SparkSession, sf: str) -> DataFrame:
     """Id and labels of every company."""
-    customer = table(spark, sf, "customer")
-    return customer.join(places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return placed(table(spark, sf, "customer"), spark, sf).select(
         idi("c_custkey").alias("IDI"), F.col("r_name").alias("Category"), F.col("n_name").alias("Subcategory")
     )
 
 
-def registered(spark: SparkSession, sf: str) -> DataFrame:
-    """Registration phrase per company: its first order, with broken ones mixed in by key."""
+def with_phrase(rows: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with a registration phrase: the first order's day, broken ones mixed in by key."""
     first = table(spark, sf, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("day"))
     key = F.col("c_custkey")
     phrase = (
@@ -86,20 +97,19 @@ def registered(spark: SparkSession, sf: str) -> DataFrame:
         .when(key % 50 == 20, "Registered on 01.01.2031").when(key % 50 == 30, "Registered 5.3.1999")
         .otherwise(F.concat(F.lit("Registered on "), F.date_format("day", "dd.MM.yyyy")))
     )
-    return (
-        table(spark, sf, "customer").join(first, F.col("c_custkey") == F.col("o_custkey"), "left")
-        .select("c_custkey", phrase.alias("phrase"))
-    )
+    dated = rows.join(first, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return dated.withColumn("phrase", phrase).drop("day", "o_custkey")
+
+
+def registered(spark: SparkSession, sf: str) -> DataFrame:
+    return with_phrase(table(spark, sf, "customer").select("c_custkey"), spark, sf)
 
 
 def company(spark: SparkSession, sf: str) -> DataFrame:
     """Register rows in the layout of the flat model, with an ordinal."""
-    customer = table(spark, sf, "customer")
     texts = table(spark, sf, "documents").select("doc_id", "text")
-    rows = (
-        customer.join(places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(registered(spark, sf), "c_custkey")
-        .join(texts, F.col("c_custkey") == F.col("doc_id"), "left")
+    rows = with_phrase(placed(table(spark, sf, "customer"), spark, sf), spark, sf).join(
+        texts, F.col("c_custkey") == F.col("doc_id"), "left"
     )
     return rows.select(
         F.col("c_custkey").alias("ordinal"), idi("c_custkey").alias("IDI"), F.col("c_name").alias("Ditta"),
@@ -122,7 +132,7 @@ PHONE = r"\(\d{3}\) \d{3}-\d{4}"
 
 def contact(spark: SparkSession, sf: str) -> DataFrame:
     """E-mail and phones from the texts, websites from the pages, by id."""
-    texts = table(spark, sf, "documents").select(
+    texts = heavy(spark, sf, "documents").select(
         F.col("doc_id").alias("key"), join_list(phones_in_text("text", PHONE)).alias("Phone Numbers"),
         first_email("text").alias("Email"),
     )
@@ -133,7 +143,9 @@ def contact(spark: SparkSession, sf: str) -> DataFrame:
 # --- taxonomy and model data ----------------------------------------------------
 def nested_taxonomy(spark: SparkSession, sf: str) -> DataFrame:
     """Regions with their nations as one nested document; its size is that of a fixed dimension."""
-    lists = places(spark, sf).groupBy("r_name").agg(F.array_sort(F.collect_list("n_name")).alias("names"))
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    lists = places.groupBy("r_name").agg(F.array_sort(F.collect_list("n_name")).alias("names"))
     entry = F.struct(F.col("r_name").alias("category"), F.col("names").alias("subcategories"))
     return lists.agg(F.array_sort(F.collect_list(entry)).alias("categories"))
 
@@ -144,7 +156,7 @@ def taxonomy(spark: SparkSession, sf: str) -> Taxonomy:
 
 def responses(spark: SparkSession, sf: str) -> DataFrame:
     """A model reply per company, good and bad ones mixed by key."""
-    rows = table(spark, sf, "customer").join(places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = placed(table(spark, sf, "customer"), spark, sf)
     kind = F.col("c_custkey") % 7
     good = F.concat(F.lit("Category: "), "r_name", F.lit("\nSubcategory: "), "n_name")
     text = (

@@ -69,7 +69,7 @@ def prompt_single(spark, sf):
     WHERE c_custkey % 5 <> 0""".replace("USING (n_nationkey)", "ON n_nationkey = c_nationkey"))
 def prompt_two_stage(spark, sf):
     taxonomy = B.taxonomy(spark, sf)
-    rows = table(spark, sf, "customer").join(B.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = B.placed(table(spark, sf, "customer"), spark, sf)
     reply = F.when(F.col("c_custkey") % 5 == 0, "ATLANTIS").otherwise(F.concat(F.lit(" "), "r_name", F.lit("\n")))
     rows = rows.withColumn("reply", reply)
     first = classification.category_requests(rows, "c_custkey", "c_name", "c_mktsegment", taxonomy)
@@ -84,8 +84,8 @@ TEXT_SQL = "'Company: ' || c_name || '. Purpose: ' || coalesce(text, '')"
     SELECT c_custkey, array_to_string({words_sql(TEXT_SQL)}, ' ') AS text
     FROM customer LEFT JOIN documents ON doc_id = c_custkey""")
 def model_texts(spark, sf):
-    rows = table(spark, sf, "customer").join(
-        table(spark, sf, "documents"), F.col("c_custkey") == F.col("doc_id"), "left"
+    rows = B.heavy(spark, sf, "customer").join(
+        B.heavy(spark, sf, "documents"), F.col("c_custkey") == F.col("doc_id"), "left"
     )
     return rows.select("c_custkey", model_text("c_name", "text").alias("text"))
 
@@ -95,7 +95,7 @@ def model_texts(spark, sf):
     FROM customer JOIN v_place p ON p.n_nationkey = c_nationkey JOIN v_place n ON n.r_name = p.r_name""")
 def label_hypotheses(spark, sf):
     """Second-stage candidates: only the subcategories of the row's own category."""
-    rows = table(spark, sf, "customer").join(B.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = B.placed(table(spark, sf, "customer"), spark, sf)
     listed = B.taxonomy(spark, sf).add_labels(rows.select("c_custkey", "r_name"), "r_name")
     pairs = joins.candidates(listed, F.col("labels"))
     return pairs.select("c_custkey", "candidate", hypothesis("candidate", V.SUBCATEGORY_HYPOTHESIS).alias("hypothesis"))
@@ -125,7 +125,7 @@ def _tries(rows, key: str):
     FROM customer c LEFT JOIN chosen USING (c_custkey) LEFT JOIN one o USING (c_custkey, attempt)""")
 def attempt_resolution(spark, sf):
     """Single prompt: rate-limit errors are retried, other errors end in the unknown labels."""
-    rows = table(spark, sf, "customer").join(B.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = B.placed(table(spark, sf, "customer"), spark, sf)
     kind = (F.col("c_custkey") + F.col("attempt") * (F.col("c_custkey") % 3)) % 4
     log = _tries(rows, "c_custkey").select(
         "c_custkey", "attempt",
@@ -148,7 +148,7 @@ def attempt_resolution(spark, sf):
     FROM chosen JOIN ended USING (c_custkey, attempt)""")
 def two_stage_attempts(spark, sf):
     """Two prompts: an error in either stage starts the next attempt, the last one decides."""
-    rows = table(spark, sf, "customer").join(B.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = B.placed(table(spark, sf, "customer"), spark, sf)
     key, attempt = F.col("c_custkey"), F.col("attempt")
     tried = _tries(rows, "c_custkey").withColumn("stage", F.explode(F.array(F.lit(1), F.lit(2))))
     fails = F.when(F.col("stage") == 1, (key + attempt * 2) % 3 == 0).otherwise((key + attempt * 5) % 4 == 0)
@@ -252,8 +252,8 @@ def letter_score_sql(text: str, letter: str) -> str:
         CASE WHEN p < 0.5 THEN 'Other' WHEN q < 0.5 THEN r_name ELSE n_name END AS subcategory FROM b2""")
 def zero_shot_classify(spark, sf):
     """The two-stage cascade through the scorer hook, default threshold."""
-    rows = table(spark, sf, "customer").join(
-        table(spark, sf, "documents"), F.col("c_custkey") == F.col("doc_id"), "left"
+    rows = B.heavy(spark, sf, "customer").join(
+        B.heavy(spark, sf, "documents"), F.col("c_custkey") == F.col("doc_id"), "left"
     ).select("c_custkey", "c_name", "text")
     found = classification.by_scores(rows, "c_name", "text", B.taxonomy(spark, sf), scoring.scorer(letter_model))
     return found.select("c_custkey", F.col("Category").alias("category"), F.col("Subcategory").alias("subcategory"))

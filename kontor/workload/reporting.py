@@ -37,7 +37,7 @@ def category_distribution(spark, sf):
     UNION ALL SELECT 2, category, subcategory, n, n / whole * 100
     FROM (SELECT *, sum(n) OVER (PARTITION BY category) AS whole FROM pair) WHERE subcategory IS NOT NULL""")
 def two_level_distribution(spark, sf):
-    rows = table(spark, sf, "customer").join(B.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = B.placed(table(spark, sf, "customer"), spark, sf)
     rows = rows.join(table(spark, sf, "labels"), F.col("doc_id") == F.col("c_custkey"), "left")
     labelled = rows.select(
         F.col("r_name").alias("category"), F.when(F.col("doc_id").isNotNull(), F.col("n_name")).alias("subcategory")
@@ -49,7 +49,7 @@ def two_level_distribution(spark, sf):
     SELECT r_name AS category, n_name AS subcategory, count(*) AS n, CAST(grouping(r_name, n_name) AS integer) AS grouping
     FROM customer JOIN v_place ON n_nationkey = c_nationkey GROUP BY ROLLUP (r_name, n_name)""")
 def distribution_subtotals(spark, sf):
-    rows = table(spark, sf, "customer").join(B.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = B.placed(table(spark, sf, "customer"), spark, sf)
     return reports.subtotals(
         rows.select(F.col("r_name").alias("category"), F.col("n_name").alias("subcategory")), "category", "subcategory"
     )

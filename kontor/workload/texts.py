@@ -77,7 +77,7 @@ def reject_split(spark, sf):
 @query("phone_normalise", sql=f"""
     SELECT doc_id, len({B.PHONES_SQL}) AS phones, array_to_string({B.PHONES_SQL}, ',') AS phone_numbers FROM documents""")
 def phone_normalise(spark, sf):
-    found = table(spark, sf, "documents").select("doc_id", contacts.phones_in_text("text", B.PHONE).alias("found"))
+    found = B.heavy(spark, sf, "documents").select("doc_id", contacts.phones_in_text("text", B.PHONE).alias("found"))
     return found.select(
         "doc_id", F.size("found").cast("bigint").alias("phones"), F.array_join("found", ",").alias("phone_numbers")
     )
@@ -108,7 +108,7 @@ def email_extract_validate(spark, sf):
         .when(kind == 1, F.concat(F.lit("mailto:"), "source", F.lit("@"), "lang", F.lit(".example.org")))
         .otherwise(F.concat(F.lit("mailto:"), "lang", F.lit("@example.org?subject=x")))
     )
-    rows = table(spark, sf, "documents").withColumn("found", found)
+    rows = B.heavy(spark, sf, "documents").withColumn("found", found)
     return rows.select("doc_id", "found", contacts.email_from_link(href).alias("linked"))
 
 
@@ -141,7 +141,7 @@ def website_normalise(spark, sf):
     FROM block WHERE length(regexp_replace(url, '\D', '', 'g')) = 10""")
 def contact_router(spark, sf):
     """Blocks of one entity: the phones of its text as written, then its page's address."""
-    texts, sites = table(spark, sf, "documents"), table(spark, sf, "pages").select("page_id", "url")
+    texts, sites = B.heavy(spark, sf, "documents"), table(spark, sf, "pages").select("page_id", "url")
     rows = texts.join(sites, F.col("doc_id") == F.col("page_id"), "left")
     phones = F.regexp_extract_all("text", F.lit(f"({B.PHONE})"), F.lit(1))
     blocks = F.concat(phones, F.when(F.col("url").isNull(), F.array().cast("array<string>")).otherwise(F.array("url")))
@@ -193,13 +193,13 @@ def resolve_links(spark, sf):
 # --- cleaning -----------------------------------------------------------------------
 @query("clean_text", sql=f"SELECT doc_id, array_to_string({words_sql('text')}, ' ') AS cleaned FROM documents")
 def clean_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("cleaned"))
+    return B.heavy(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("cleaned"))
 
 
 @query("clean_token_counts", sql=f"""
     SELECT word, count(*) AS n FROM (SELECT unnest({words_sql('text')}) AS word FROM documents) GROUP BY 1""")
 def clean_token_counts(spark, sf):
-    found = table(spark, sf, "documents").select(F.explode(text.words("text")).alias("word"))
+    found = B.heavy(spark, sf, "documents").select(F.explode(text.words("text")).alias("word"))
     return value_counts(found, "word")
 
 

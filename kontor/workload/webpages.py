@@ -34,7 +34,7 @@ def page_titles(spark, sf):
     FROM pages""")
 def page_titles_parsed(spark, sf):
     """The markup reader against patterns: headings by class or id would be the same call."""
-    found = table(spark, sf, "pages").select(
+    found = B.heavy(spark, sf, "pages").select(
         "page_id", F.regexp_replace("html", "<h1", '<h1 id="head"').alias("html")
     ).select("page_id", pages.elements("html", ids=["head"], links=True).alias("found"))
     return found.select(
@@ -55,7 +55,7 @@ def page_links(spark, sf):
         '[\s\x0b]+', ' ', 'g')) AS visible
     FROM pages""")
 def page_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", pages.visible_text("html").alias("visible"))
+    return B.heavy(spark, sf, "pages").select("page_id", pages.visible_text("html").alias("visible"))
 
 
 @query("page_link_counts", sql=f"""
@@ -69,7 +69,7 @@ def page_link_counts(spark, sf):
 # --- register pages made from the tables -------------------------------------------
 def result_pages(spark, sf):
     """One result page per customer: header, the company's row, a row without an id, an unusable row."""
-    rows = table(spark, sf, "customer").join(B.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = B.placed(B.heavy(spark, sf, "customer"), spark, sf)
     html = F.concat(
         F.lit("<html><script>var t='<table>';</script><table><thead><tr><th>Ditta</th><th> IDI </th>"
               "<th>Estratto cantonale</th><th>Sede</th></tr></thead><tbody><tr><td> "),
@@ -97,7 +97,7 @@ def page_table_records(spark, sf):
 
 def extract_pages(spark, sf):
     """One extract page per customer, with struck rows and rows of the wrong width; every fifth unreadable."""
-    rows = table(spark, sf, "customer").join(B.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = B.placed(B.heavy(spark, sf, "customer"), spark, sf)
     full = F.concat(
         F.lit('<div id="Titel">'), "c_name", F.lit("<br>"), "c_mktsegment", F.lit("<br/>"), "n_name", F.lit("<br>"),
         B.idi("c_custkey"), F.lit('<br>Registered on 01.02.1999</div><div id="idAuszugForm:auszugContentPanel">'
@@ -139,7 +139,7 @@ SITE = directory.Site(
 
 def directory_pages(spark, sf):
     """A search page per company, and a detail page with the company's contacts."""
-    names = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    names = B.heavy(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     contacts = B.contact(spark, sf)
     rows = names.join(contacts, B.idi("c_custkey") == contacts["IDI"], "left")
     blank = F.lit("")
