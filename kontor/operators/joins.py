@@ -99,9 +99,14 @@ def spread_join(
     of names; it holds for few keys.  Left rows of a hot key are dealt out by row
     position, right rows of a hot key (few, since the right side is unique or
     nearly so) are copied to each piece.  Nothing is lost or doubled.
+
+    The position is taken after a local sort by row hash: a task that is run again
+    after a lost executor deals the same rows to the same pieces whatever order
+    they are fetched in, and even identical rows are spread.
     """
     keys = [key, "__piece"]
-    dealt = left.withColumn(
+    ordered = left.sortWithinPartitions(F.xxhash64(*(quoted(name) for name in left.columns)))
+    dealt = ordered.withColumn(
         "__piece", F.when(hot, F.pmod(F.monotonically_increasing_id(), F.lit(pieces))).otherwise(F.lit(0)).cast("int")
     )
     copied = right.withColumn(
@@ -128,12 +133,6 @@ def by_distinct_name(df: DataFrame, name: str, look_up) -> DataFrame:
     return left_join_null_safe(df, found, name)
 
 
-def link_to_page(rows: DataFrame, url: str, pages: DataFrame, page_url: str = "url") -> DataFrame:
-    """Each row with the page its URL points to; an unreachable page leaves the page columns NULL."""
-    target = pages.withColumnRenamed(page_url, "__page_url")
-    return rows.join(target, rows[f"`{url}`"] == target["__page_url"], "left").drop("__page_url")
-
-
 def rejoin(main: DataFrame, rest: DataFrame, key: str = "idi") -> DataFrame:
     """Put a vertically split table together again."""
     return main.join(rest, key)

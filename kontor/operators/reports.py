@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kontor import fixed_values as V
@@ -12,6 +12,12 @@ from kontor.functions.prompts import flat_cost, tokens
 from kontor.operators.projection import quoted
 
 
+def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
+    """The same rows with a count taken along by whatever job reads them: `observation.get["n"]`."""
+    observation = Observation(name)
+    return df.observe(observation, F.count("*").alias("n")), observation
+
+
 def value_counts(df: DataFrame, column: str, keep_nulls: bool = False) -> DataFrame:
     """Rows per value; without `keep_nulls` the NULL group is left out."""
     rows = df if keep_nulls else df.filter(quoted(column).isNotNull())

@@ -6,7 +6,7 @@ score tables.  Only `by_scores` calls a model itself, through the scorer hook.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +17,12 @@ from kontor.functions.replies import checked_pair, two_lines
 from kontor.functions.scores import best, cascade, pair_up, softmax
 from kontor.functions.text import model_text, strip
 from kontor.operators.attempts import first_decisive, two_stage_outcome
-from kontor.operators.filters import pending
+from kontor.operators.filters import pending, sentinel_pending
 from kontor.operators.joins import left_join_null_safe, merge_progress
 from kontor.operators.numbering import batches
 from kontor.operators.projection import ensure_columns, quoted
 from kontor.operators.reports import two_level_distribution
+from kontor.operators.sizing import written
 from kontor.sources.taxonomy import Taxonomy
 
 LABELS = ("Category", "Subcategory")
@@ -128,5 +129,46 @@ def apply_labels(rows: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     }).drop("__c", "__s")
 
 
+def run_single_prompt(
+    rows: DataFrame, progress: DataFrame | None, key: str, name: str, purpose: str, taxonomy: Taxonomy,
+    answer: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """One whole round: earlier labels, requests for the pending rows, replies, labels.
+
+    `answer` stands for the outside model: from `key, prompt` to an attempts table
+    `key, attempt, text, error`.  Its result is written once, so no request goes out
+    twice.  Rows that were only rate-limited stay pending for the next round.
+    """
+    prepared = prepare(rows, progress, key)
+    requests = single_requests(prepared.filter(pending(needed=purpose)), key, name, purpose, taxonomy)
+    replies = written(answer(requests), "replies")
+    return apply_labels(prepared, single_outcome(replies, key, taxonomy), key)
+
+
+def run_two_prompts(
+    rows: DataFrame, progress: DataFrame | None, key: str, taxonomy: Taxonomy,
+    answer: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """The same with two prompts; pending are rows with unknown or missing labels, with or without a text.
+
+    `answer` takes the pending rows and gives `key, attempt, stage, text, error`.
+    """
+    prepared = prepare(rows, progress, key)
+    replies = written(answer(prepared.filter(sentinel_pending(*LABELS))), "replies")
+    return apply_labels(prepared, two_prompt_outcome(replies, key, taxonomy), key)
+
+
+def run_by_scores(
+    rows: DataFrame, progress: DataFrame | None, key: str, name: str, purpose: str, taxonomy: Taxonomy, score,
+    min_score: float = V.MIN_SCORE,
+) -> DataFrame:
+    """The same with a scorer; the labels are written once, so no text is scored twice."""
+    prepared = prepare(rows, progress, key)
+    asked = prepared.filter(pending(needed=purpose)).select(quoted(key), quoted(name), quoted(purpose))
+    scored = by_scores(asked, name, purpose, taxonomy, score, min_score)
+    labels = scored.select(quoted(key), F.col("Category").alias("category"), F.col("Subcategory").alias("subcategory"))
+    return apply_labels(prepared, written(labels, "labels"), key)
+
+
 def statistics(rows: DataFrame) -> DataFrame:
     return two_level_distribution(rows, *LABELS)

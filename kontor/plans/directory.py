@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from kontor import fixed_values as V
 from kontor.functions.links import search_url
 from kontor.functions.text import blank_to_null, join_list
-from kontor.operators.joins import by_distinct_name, link_to_page, not_done, overlay
+from kontor.operators.joins import by_distinct_name, not_done, overlay
 from kontor.operators.projection import quoted, reshape
-from kontor.sources.pages import contact_records, result_links
+from kontor.operators.sizing import written
+from kontor.sources.pages import contact_records, result_links, with_page
 from kontor.sources.store import delete, exists, replace_csv
 from kontor.sources.tabular import append_csv, scan_or_empty
 
@@ -32,16 +33,18 @@ class Site:
 def look_up(names: DataFrame, name: str, pages: DataFrame, site: Site) -> DataFrame:
     """One record per name: search page, first result, detail page, contacts.
 
-    A page that is missing, or has no result, leaves the fields after it NULL.
+    A page that is missing, or has no result, leaves the fields after it NULL.  The
+    names with their detail URLs are written in between, a few short columns.
     """
     asked = names.select(quoted(name), search_url(quoted(name), site.search_base, site.search_suffix).alias("search_url"))
-    found = result_links(
-        link_to_page(asked, "search_url", pages.select("url", "html")), site.origin, site.link_class,
-        keep=[name, "search_url"],
+    found = with_page(
+        asked, "search_url", pages, lambda some: result_links(some, site.origin, site.link_class, keep=["url"])
     )
-    detail = link_to_page(found, "detail_url", pages.select("url", "html"))
-    records = contact_records(detail, site.address_class, site.contact_class, keep=[name, "detail_url", "search_url"])
-    return records.select(quoted(name), "address", "phone_numbers", "email", "website", "detail_url", "search_url")
+    found = written(found, "detail-urls")
+    return with_page(
+        found, "detail_url", pages,
+        lambda some: contact_records(some, site.address_class, site.contact_class, keep=["url"]),
+    ).select(quoted(name), "address", "phone_numbers", "email", "website", "detail_url", "search_url")
 
 
 def as_listing(records: DataFrame, name: str = "Ditta", key: str = "IDI") -> DataFrame:
@@ -67,7 +70,9 @@ def run(
         delete(spark, temporary)
         done = scan_or_empty(spark, output, V.DIRECTORY_COLUMNS, strip_blanks=True)
     wanted = companies.select(blank_to_null("Ditta").alias("Ditta"), "IDI").filter(F.col("Ditta").isNotNull())
-    open_rows = not_done(wanted, done.select(F.col("Company Name").alias("Ditta")), "Ditta")
+    open_rows = written(not_done(wanted, done.select(F.col("Company Name").alias("Ditta")), "Ditta"), "open-names")
+    if open_rows.isEmpty():
+        return done
     fresh = by_distinct_name(open_rows, "Ditta", lambda names: look_up(names, "Ditta", pages, site))
     append_csv(as_listing(fresh), output)
     return scan_or_empty(spark, output, V.DIRECTORY_COLUMNS, strip_blanks=True)

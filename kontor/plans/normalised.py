@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor import fixed_values as V
@@ -14,7 +14,7 @@ from kontor.operators.joins import with_surrogate_ids
 from kontor.operators.numbering import number_few, number_rows
 from kontor.operators.projection import pick, quoted
 from kontor.operators.sizing import is_small, written
-from kontor.sources.store import write_table
+from kontor.sources.store import create_if_missing, write_table
 
 
 @dataclass(frozen=True)
@@ -78,3 +78,13 @@ def normalise(flat: DataFrame, ordinal: str, key: str = "IDI") -> Model:
         pick(rows, V.COMPANY_COLUMNS), categories, subcategories,
         pick(linked, [key, "category_id", "subcategory_id"]),
     )
+
+
+def create_schema(spark: SparkSession, database: str = "default") -> None:
+    """The four tables, if they are missing."""
+    tables = {
+        "companies": constraints.COMPANIES, "categories": constraints.CATEGORIES,
+        "subcategories": constraints.SUBCATEGORIES, "company_categories": constraints.COMPANY_CATEGORIES,
+    }
+    for name, columns in tables.items():
+        create_if_missing(spark, f"{database}.{name}", columns)

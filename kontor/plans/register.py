@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor import fixed_values as V
 from kontor.functions.text import blank_to_null
 from kontor.operators.filters import drop_failed, with_all
-from kontor.operators.joins import link_to_page, not_done
+from kontor.operators.joins import not_done
 from kontor.operators.projection import quoted, reshape
-from kontor.sources.pages import extract_records, table_records
-from kontor.sources.tabular import records_to_columns
+from kontor.sources.pages import extract_records, table_records, with_page
+from kontor.sources.tabular import append_csv, append_reconciled, records_to_columns, scan_csv, scan_or_empty
+
+# The extract layout with the request's id under a name of its own: Spark holds
+# `idi` and `IDI` for one column.
+EXTRACT_COLUMNS = ["source_idi", *V.EXTRACT_COLUMNS[1:]]
 
 
 def result_rows(pages: DataFrame, page: str = "page_id", names: list[str] | None = None) -> DataFrame:
@@ -35,9 +39,22 @@ def extracts(requests: DataFrame, pages: DataFrame, done: DataFrame | None = Non
     `done` holds the ids extracted earlier, as `source_idi`.
     """
     open_rows = requests if done is None else not_done(requests, done, "source_idi")
-    linked = link_to_page(open_rows, "url", pages.select("url", "html"))
-    records = drop_failed(extract_records(linked, keep=["source_idi", "company_name", "url"]), "record")
-    fields = [*V.TITLE_FIELDS, "Registered_address", "Purpose"]
+    linked = with_page(open_rows, "url", pages, lambda some: extract_records(some, keep=["url"]))
+    records = drop_failed(linked, "record")
     return records.select(
-        "source_idi", "company_name", "url", *(F.col("record")[name].alias(name) for name in fields)
+        *EXTRACT_COLUMNS[:3], *(F.col("record")[name].alias(name) for name in EXTRACT_COLUMNS[3:])
     )
+
+
+def collect_results(spark: SparkSession, pages: DataFrame, output: str, page: str = "page_id") -> DataFrame:
+    """Add the rows of new result pages to the register list, whose header wins; returns the list."""
+    rows = result_rows(pages, page).drop(page, "position")
+    append_reconciled(rows, output)
+    return scan_csv(spark, output, strip_blanks=True)
+
+
+def collect_extracts(spark: SparkSession, register: DataFrame, pages: DataFrame, output: str) -> DataFrame:
+    """Add the extracts of register rows that have none yet; a second run adds nothing.  Returns all."""
+    done = scan_or_empty(spark, output, EXTRACT_COLUMNS)
+    append_csv(extracts(extract_requests(register), pages, done), output)
+    return scan_or_empty(spark, output, EXTRACT_COLUMNS)

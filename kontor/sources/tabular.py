@@ -6,12 +6,13 @@ import csv
 import io
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kontor import fixed_values as V
 from kontor.functions.text import blank_to_null, missing_to_null
+from kontor.operators.filters import split_by
 from kontor.operators.projection import ensure_columns, pick, quoted, require_distinct_names
 from kontor.operators.reports import key_set
 from kontor.sources.store import data_files, exists
@@ -108,6 +109,13 @@ def append_reconciled(df: DataFrame, path: str) -> None:
     append_csv(pick(ensure_columns(df, {name: None for name in names}), names), path)
 
 
+def write_with_rejects(df: DataFrame, valid: Column, path: str, error_path: str) -> None:
+    """Valid rows to one CSV folder, the others to an error folder; one bad row stops nothing."""
+    good, bad = split_by(df, valid)
+    write_csv(good, path)
+    write_csv(bad, error_path)
+
+
 def records_to_columns(df: DataFrame, record: str, names: Sequence[str] | None = None, max_keys: int = 10_000) -> DataFrame:
     """A map column to one column per key, missing keys NULL.
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from kontor import fixed_values as V
 from kontor.functions import contacts, dates, links, text
-from kontor.operators import filters
 from kontor.operators.reports import date_profile, value_counts
-from kontor.sources import pages
+from kontor.session import scratch_path
+from kontor.sources import pages, tabular
 from kontor.workload import bindings as B
 from kontor.workload.bindings import query, table
 
@@ -69,8 +69,15 @@ def registration_profile(spark, sf):
     SELECT c_custkey, phrase, CASE WHEN year({DAY_SQL}) BETWEEN 1800 AND 2030 THEN 'valid' ELSE 'rejected' END AS part
     FROM v_registered""")
 def reject_split(spark, sf):
-    valid, rejected = filters.split_by(B.registered(spark, sf), dates.registration_date("phrase").isNotNull())
-    return valid.withColumn("part", F.lit("valid")).unionByName(rejected.withColumn("part", F.lit("rejected")))
+    """Valid and rejected rows in two sinks, read back."""
+    path = scratch_path(spark, "dated")
+    valid = dates.registration_date("phrase").isNotNull()
+    tabular.write_with_rejects(B.registered(spark, sf), valid, f"{path}/valid", f"{path}/error_valid")
+    parts = [
+        tabular.scan_csv(spark, f"{path}/{folder}").withColumn("part", F.lit(part))
+        for folder, part in (("valid", "valid"), ("error_valid", "rejected"))
+    ]
+    return parts[0].unionByName(parts[1]).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
 # --- contacts ---------------------------------------------------------------------

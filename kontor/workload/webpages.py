@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kontor import fixed_values as V
 from kontor.functions.links import search_url
 from kontor.operators import numbering, reports
+from kontor.operators.sizing import written
 from kontor.plans import directory, register
 from kontor.session import scratch_path
 from kontor.sources import pages
@@ -123,7 +124,8 @@ def extract_pages(spark, sf):
 def register_pipeline(spark, sf):
     """Result pages to register rows to extract requests to extract records."""
     rows = register.result_rows(result_pages(spark, sf), names=["Ditta", "IDI", "Estratto cantonale", "Sede"])
-    records = register.extracts(register.extract_requests(rows), extract_pages(spark, sf))
+    listed = written(rows, "register")
+    records = register.extracts(register.extract_requests(listed), extract_pages(spark, sf))
     return records.select(
         F.col("source_idi").alias("idi"), F.col("Ditta").alias("ditta"), F.col("Forma giuridica").alias("form"),
         F.col("Sede").alias("sede"), F.col("Registration_date").alias("registered"),
@@ -173,7 +175,7 @@ def directory_pages(spark, sf):
 def directory_pipeline(spark, sf):
     """Names to search pages to detail pages to a listing; the second run finds all of it done."""
     output = scratch_path(spark, "listing")
-    found = directory_pages(spark, sf)
+    found = written(directory_pages(spark, sf), "pages")
     directory.run(spark, B.register(spark, sf), found, output, SITE)
     listing = directory.run(spark, B.register(spark, sf), found, output, SITE)
     names = dict(zip(V.DIRECTORY_COLUMNS, [

@@ -337,3 +337,53 @@ def test_large_taxonomy_is_not_put_into_rows(spark):
     with pytest.raises(ValueError):
         taxonomy.text()
     assert taxonomy.known(spark.createDataFrame([("7", "x")], "c string, s string"), "c", "s").first()["known"]
+
+
+# --- skew -------------------------------------------------------------------------
+def test_hot_join_key_is_split_by_size(spark):
+    """A third of the rows hold one id: the null-safe join is planned as a skew join."""
+    low = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in low}
+    for key, value in low.items():
+        spark.conf.set(key, value)
+    try:
+        left = spark.range(0, 200_000, 1, 8).select(
+            F.when(F.col("id") % 3 != 0, F.concat(F.lit("k"), F.col("id"))).alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        right = spark.range(0, 50_000, 1, 8).select(F.concat(F.lit("k"), F.col("id")).alias("k"), (F.col("id") * 2).alias("y")).union(
+            spark.sql("SELECT cast(null AS string), -1L"))
+        joined = joins.left_join_null_safe(left, right, "k")
+        # Two joins on one key: the exchange the split costs is accepted.
+        twice = joins.left_join_null_safe(joined, right.withColumnRenamed("y", "z"), "k")
+        assert twice.filter("k IS NULL AND y = -1 AND z = -1").count() == 66_667
+        for frame in (joined, twice):
+            result = frame.groupBy("y").agg(F.max("pad"))
+            result.collect()
+            assert plan(result).split("Initial Plan")[0].count("skew=true") >= 1
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_spread_join_deals_the_same_after_a_new_fetch_order(spark):
+    """The pieces do not depend on the order in which a task gets its rows."""
+    frame = spark.createDataFrame([(None, i // 4) for i in range(400)], "k string, x int").coalesce(1)
+    right = spark.createDataFrame([(None, 1)], "k string, y int")
+
+    def pieces(rows):
+        joined = joins.spread_join(rows, right, "k", F.col("k").isNull(), pieces=5)
+        dealt = joined._jdf.queryExecution().analyzed().toString()
+        assert "xxhash64" in dealt
+        return joined.count()
+
+    assert pieces(frame) == pieces(frame.orderBy(F.desc("x")).coalesce(1)) == 400
+
+
+def test_counts_come_along(spark):
+    frame, seen = reports.observed(spark.range(7))
+    frame.write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 7
