@@ -211,10 +211,10 @@ def page_links(html: Column | str) -> Column:
 
 
 def page_title(html: Column | str) -> Column:
-    """Text of the title element with its entities decoded."""
+    """Text of the title element with its common entities decoded, closed by a semicolon or not."""
     raw = F.nullif(F.regexp_extract(as_col(html), r"<title>([^<]*)</title>", 1), F.lit(""))
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        raw = F.replace(raw, F.lit(entity), F.lit(char))
+    for entity, char in (("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&#39", "'"), ("&amp", "&")):
+        raw = F.regexp_replace(raw, f"{entity};?", char)
     return strip(raw)
 
 

@@ -17,8 +17,8 @@ from kontor.workload.texts import LINKS_SQL
 
 
 def _decoded(text: str) -> str:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{char}')"
+    for entity, char in (("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&#39", "''"), ("&amp", "&")):
+        text = f"regexp_replace({text}, '{entity};?', '{char}', 'g')"
     return text
 
 
