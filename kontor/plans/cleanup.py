@@ -15,11 +15,17 @@ from kontor.sources.tabular import ORDINAL, scan_csv
 def remove_duplicates(
     spark: SparkSession, source: str, target: str | None = None, key: str = "IDI"
 ) -> DataFrame:
-    """Keep the first row per key in file order; returns the one-row report (total, unique, duplicates)."""
+    """Keep the first row per key in file order; returns the one-row report (total, unique, duplicates).
+
+    Without duplicates nothing is sorted, and an input that is its own target is left alone.
+    """
     rows = scan_csv(spark, source, ordinal=True)
-    report = spark.createDataFrame([dedup_report(rows, key).first()], "total_rows long, unique_rows long, duplicate_rows long")
-    replace_csv(first_per_key(rows, key, ORDINAL).drop(ORDINAL), target or source)
-    return report
+    counts = dedup_report(rows, key).first()
+    if counts["duplicate_rows"]:
+        replace_csv(first_per_key(rows, key, ORDINAL).drop(ORDINAL), target or source)
+    elif target not in (None, source):
+        replace_csv(rows.drop(ORDINAL), target)
+    return spark.createDataFrame([counts], "total_rows long, unique_rows long, duplicate_rows long")
 
 
 def drop_columns(

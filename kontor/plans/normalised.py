@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kontor import fixed_values as V
 from kontor.operators import constraints
-from kontor.operators.dedup import first_per_key
+from kontor.operators.dedup import first_per_key, has_duplicates
 from kontor.operators.joins import with_surrogate_ids
 from kontor.operators.numbering import number_few, number_rows
 from kontor.operators.projection import pick, quoted
@@ -67,11 +67,15 @@ def normalise(flat: DataFrame, ordinal: str, key: str = "IDI") -> Model:
     """First row per id, label tables, and one link per company.
 
     A company without a known category or subcategory keeps a link with NULL ids.
-    The deduplicated rows feed all four tables, so they are written once and each
+    The probe for repeated ids moves keys only; the wide rows are exchanged only if
+    there are any.  The deduplicated rows feed all four tables, so they are written once and each
     use reads its own columns.
     """
     columns = [*V.COMPANY_COLUMNS, "Category", "Subcategory", ordinal]
-    rows = written(first_per_key(pick(flat, columns), key, ordinal), "deduplicated")
+    rows = pick(flat, columns)
+    if has_duplicates(rows, key):
+        rows = first_per_key(rows, key, ordinal)
+    rows = written(rows, "deduplicated")
     categories, subcategories = label_tables(rows, ordinal)
     linked = with_surrogate_ids(pick(rows, [key, "Category", "Subcategory"]), categories, subcategories)
     return Model(

@@ -10,13 +10,16 @@ from pyspark.sql import SparkSession
 
 # Runtime SQL settings the operators are designed for.  AQE splits hot join
 # partitions by measured size; forcing it accepts one more exchange rather than
-# leaving a hot key in a single task when two joins share a partitioning.
+# leaving a hot key in a single task when two joins share a partitioning.  Stream
+# state with one entry per key lives in RocksDB, not on the heap.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -14,8 +14,6 @@ from pyspark.sql.types import StructType
 
 from kontor.sources.versions import VersionedTable
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def file_stream(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_batch: int = 1000
@@ -57,9 +55,8 @@ def first_of_key(
 ) -> DataFrame:
     """The first row of each key over the whole stream.
 
-    The state holds every key seen (set `spark.sql.streaming.stateStore.providerClass`
-    to the RocksDB store for large key sets).  With `event_time` it is dropped once
-    the watermark has passed, for streams whose repeats lie close together.
+    The state holds every key seen.  With `event_time` it is dropped once the
+    watermark has passed, for streams whose repeats lie close together.
     """
     if event_time is None:
         return stream.dropDuplicates(list(keys))

@@ -171,13 +171,20 @@ def company_categories(spark, sf):
     return normalised.normalise(B.company(spark, sf), "ordinal").links.withColumnRenamed("IDI", "idi")
 
 
-CONSTRAINTS = [
-    "pk_companies", "pk_categories", "uq_category", "pk_subcategories", "uq_subcategory", "pk_company_categories",
-    "fk_subcategory_category", "fk_link_company", "fk_link_category", "fk_link_subcategory",
-]
-
-
-@query("constraint_report", sql="SELECT unnest(%s) AS \"constraint\", CAST(0 AS bigint) AS violations" % CONSTRAINTS)
+@query("constraint_report", sql=_with_label_ids("""
+    , link AS (SELECT "IDI", category_id, subcategory_id FROM v_company JOIN v_subcategory USING ("Category", "Subcategory"))
+    SELECT 'pk_companies' AS "constraint", count(*) - count(DISTINCT "IDI") AS violations FROM v_company
+    UNION ALL SELECT 'pk_categories', count(*) - count(DISTINCT category_id) FROM v_category
+    UNION ALL SELECT 'uq_category', count(*) - count(DISTINCT "Category") FROM v_category
+    UNION ALL SELECT 'pk_subcategories', count(*) - count(DISTINCT subcategory_id) FROM v_subcategory
+    UNION ALL SELECT 'uq_subcategory', count(*) - count(DISTINCT (category_id, "Subcategory")) FROM v_subcategory
+    UNION ALL SELECT 'pk_company_categories', count(*) - count(DISTINCT "IDI") FROM link
+    UNION ALL SELECT 'fk_subcategory_category', count(*) FROM v_subcategory
+        WHERE category_id NOT IN (SELECT category_id FROM v_category)
+    UNION ALL SELECT 'fk_link_company', count(*) FROM link WHERE "IDI" NOT IN (SELECT "IDI" FROM v_company)
+    UNION ALL SELECT 'fk_link_category', count(*) FROM link WHERE category_id NOT IN (SELECT category_id FROM v_category)
+    UNION ALL SELECT 'fk_link_subcategory', count(*) FROM link
+        WHERE subcategory_id NOT IN (SELECT subcategory_id FROM v_subcategory)""".strip()))
 def constraint_report(spark, sf):
     """The model made from the register keeps all its constraints."""
     return normalised.normalise(B.company(spark, sf), "ordinal").report()

@@ -10,6 +10,7 @@ from kontor.functions.text import hypothesis, model_text
 from kontor.operators import attempts, joins, numbering, reports, scoring
 from kontor.operators.filters import pending
 from kontor.plans import classification
+from kontor.sources.taxonomy import SCHEMA, Taxonomy
 from kontor.workload import bindings as B
 from kontor.workload.bindings import query, table
 from kontor.workload.texts import words_sql
@@ -24,15 +25,18 @@ def filled_sql(template: str, **places: str) -> str:
 
 # --- taxonomy -----------------------------------------------------------------------
 @query("nested_taxonomy_explode", views=("v_place",), sql="""
-    SELECT r_name AS category, n_name AS subcategory, dense_rank() OVER (ORDER BY r_name) - 1 AS position,
-        row_number() OVER (PARTITION BY r_name ORDER BY n_name) - 1 AS sub_position FROM v_place""")
+    SELECT c_mktsegment AS category, 0 AS position, unnest([0, 1]) AS sub_position, unnest([c_name, n_name]) AS subcategory
+    FROM customer JOIN v_place ON n_nationkey = c_nationkey
+    UNION ALL SELECT r_name, 2, 0, n_name FROM customer JOIN v_place ON n_nationkey = c_nationkey""")
 def nested_taxonomy_explode(spark, sf):
-    """The nested document written as JSON text, read with its schema and exploded."""
-    from kontor.sources.taxonomy import SCHEMA, Taxonomy
-
-    document = B.nested_taxonomy(spark, sf).select(F.to_json(F.struct("categories")).alias("json"))
-    nested = document.select(F.from_json("json", SCHEMA).alias("d")).select("d.categories")
-    return Taxonomy.from_nested(nested).pairs()
+    """Nested documents as JSON text, read with their schema and exploded; an empty list gives no pairs."""
+    rows = B.placed(table(spark, sf, "customer"), spark, sf)
+    entries = F.array(*(
+        F.struct(F.col(category).alias("category"), F.array(*names).cast("array<string>").alias("subcategories"))
+        for category, names in (("c_mktsegment", ["c_name", "n_name"]), ("c_name", []), ("r_name", ["n_name"]))
+    ))
+    document = rows.select(F.to_json(F.struct(entries.alias("categories"))).alias("json"))
+    return Taxonomy.from_nested(document.select(F.from_json("json", SCHEMA).alias("d")).select("d.categories")).pairs()
 
 
 @query("taxonomy_membership", views=("v_place",), sql="""

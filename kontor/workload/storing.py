@@ -49,10 +49,10 @@ def append_reconcile(spark, sf):
 
 
 @query("table_layout", views=("v_registered", "v_company", "v_contact"), sql="""
-    SELECT c."IDI" AS idi, phone_numbers, email, website FROM v_company c JOIN v_contact k ON k."IDI" = c."IDI"
-    WHERE "Category" = 'ASIA' AND (phone_numbers IS NOT NULL OR email IS NOT NULL OR website IS NOT NULL)""")
+    SELECT "Category" AS category, c."IDI" AS idi, phone_numbers, email, website FROM v_company c JOIN v_contact k ON k."IDI" = c."IDI"
+    WHERE phone_numbers IS NOT NULL OR email IS NOT NULL OR website IS NOT NULL""")
 def table_layout(spark, sf):
-    """A company table split by category; reading one category prunes the other folders."""
+    """A company table split by category and sorted by id, read through the contact view."""
     from kontor.operators.joins import merge_contacts
 
     rows = merge_contacts(B.company(spark, sf), B.contact(spark, sf)).withColumn("Address", F.lit(None).cast("string"))
@@ -60,7 +60,7 @@ def table_layout(spark, sf):
     main = enrichment.flat_model(rows).companies
     store.write_table(main, path, partition_by=["category"], sort_by=["idi"])
     stored = enrichment.Directory(spark.read.schema(main.schema).parquet(path), main)
-    return stored.with_contacts().filter(F.col("category") == "ASIA").select("idi", "phone_numbers", "email", "website")
+    return stored.with_contacts().select("category", "idi", "phone_numbers", "email", "website")
 
 
 def _events(spark, sf):
@@ -110,11 +110,12 @@ def stream_first_of_key(spark, sf):
     return spark.read.parquet(target)
 
 
-@query("table_replace", sql="SELECT n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey + 100, n_name FROM nation")
+@query("table_replace", sql="""
+    SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey + 1000000000, c_name FROM customer""")
 def table_replace(spark, sf):
     """A table rewritten from itself."""
-    path = scratch_path(spark, "nations")
-    store.replace_parquet(table(spark, sf, "nation").select("n_nationkey", "n_name"), path)
+    path = scratch_path(spark, "names")
+    store.replace_parquet(table(spark, sf, "customer").select("c_custkey", "c_name"), path)
     old = spark.read.parquet(path)
-    store.replace_parquet(old.unionByName(old.withColumn("n_nationkey", F.col("n_nationkey") + 100)), path)
+    store.replace_parquet(old.unionByName(old.withColumn("c_custkey", F.col("c_custkey") + 1_000_000_000)), path)
     return spark.read.parquet(path)
