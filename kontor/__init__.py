@@ -9,10 +9,10 @@ import sys
 
 from pyspark import cloudpickle
 
-from kontor.session import build_session, scratch_path, tune
+from kontor.session import build_session, drop_scratch, scratch_path, tune
 
 # The few functions that run in Python workers travel with the job, so executors
 # need no installation of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["build_session", "scratch_path", "tune"]
+__all__ = ["build_session", "drop_scratch", "scratch_path", "tune"]

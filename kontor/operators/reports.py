@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kontor import fixed_values as V
 from kontor.functions.prompts import flat_cost, tokens
 from kontor.operators.projection import quoted
+from kontor.operators.sizing import written
 
 
 def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
@@ -40,10 +41,10 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 def distribution(df: DataFrame, column: str, keep_nulls: bool = True) -> DataFrame:
     """Rows per value and their percentage of all rows, unlabelled rows included.
 
-    The total is a scalar subquery over the same grouped counts, so the exchange
-    is reused and the input is read once.
+    The grouped counts are written once and the total is a scalar subquery over
+    them, so the input is read once whatever the number of values.
     """
-    counts = value_counts(df, column, keep_nulls=True)
+    counts = written(value_counts(df, column, keep_nulls=True), "counts")
     total = counts.agg(F.sum("n")).scalar()
     shown = counts if keep_nulls else counts.filter(quoted(column).isNotNull())
     return shown.withColumn("percent", F.col("n") / total * 100)
@@ -53,10 +54,10 @@ def two_level_distribution(df: DataFrame, category: str, subcategory: str) -> Da
     """Category and subcategory counts in one result.
 
     Level 1 rows give the category's share of all rows, level 2 rows the
-    subcategory's share of its category.  The pairs are counted once; totals come
-    from those counts, never from the base rows again.
+    subcategory's share of its category.  The pairs are counted once and written;
+    totals come from those counts, never from the base rows again.
     """
-    pairs = df.groupBy(quoted(category), quoted(subcategory)).agg(F.count("*").alias("n"))
+    pairs = written(df.groupBy(quoted(category), quoted(subcategory)).agg(F.count("*").alias("n")), "pairs")
     total = pairs.agg(F.sum("n")).scalar()
     parents = pairs.groupBy(quoted(category)).agg(F.sum("n").alias("n"))
     parents = parents.filter(quoted(category).isNotNull())

@@ -64,12 +64,16 @@ def scratch_root(spark: SparkSession) -> str:
     return os.path.dirname(current.rstrip("/"))
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/kontor-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written there, once its results are stored elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

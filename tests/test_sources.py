@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from kontor.operators.projection import pick
 from kontor.plans import cleanup, enrichment, normalised
-from kontor.session import scratch_root
+from kontor.session import scratch_path, scratch_root
 from kontor.sources import store, tabular
 from kontor.sources.versions import VersionedTable
 
@@ -198,6 +198,24 @@ def test_hot_category_is_rebalanced(spark, tmp_path):
 
 def test_scratch_is_the_named_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(scratch_root(spark)) and scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class Elsewhere:
+    """A cluster session without a shared folder."""
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(dict)
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Elsewhere)
 
 
 def test_pick_fails_on_a_missing_column(spark):
