@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kontor.operators.joins import left_join_null_safe
 from kontor.operators.projection import quoted
 
 
@@ -26,9 +27,10 @@ def softmax_scores(scores: DataFrame, entity: str, label: str = "label", score:
     many labels never sits in one window; AQE splits the joins back.
     """
     tops = scores.groupBy(quoted(entity)).agg(F.max(quoted(score)).alias("__top"))
-    shifted = scores.join(tops, entity).withColumn("__power", F.exp(quoted(score) - F.col("__top"))).drop("__top")
+    topped = left_join_null_safe(scores, tops, entity)
+    shifted = topped.withColumn("__power", F.exp(quoted(score) - F.col("__top"))).drop("__top")
     sums = shifted.groupBy(quoted(entity)).agg(F.sum("__power").alias("__sum"))
-    return shifted.join(sums, entity).select(
+    return left_join_null_safe(shifted, sums, entity).select(
         quoted(entity), quoted(label).alias("label"), (F.col("__power") / F.col("__sum")).alias("score")
     )
 

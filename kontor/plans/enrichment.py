@@ -63,6 +63,19 @@ def flat_model(classified: DataFrame, key: str = "IDI") -> Directory:
     return Directory(normalise_names(main), normalise_names(rest))
 
 
+def build(register: DataFrame, contacts: DataFrame, classified: DataFrame, path: str, key: str = "IDI") -> Directory:
+    """The whole chain: join, filter, label, type, split, store.  Returns the stored tables, views registered."""
+    model = flat_model(enriched(register, contacts, classified, key), key)
+    model.write(path)
+    read = register.sparkSession.read
+    stored = Directory(
+        read.schema(model.companies.schema).parquet(f"{path}/companies"),
+        read.schema(model.metadata.schema).parquet(f"{path}/company_metadata"),
+    )
+    stored.register_views()
+    return stored
+
+
 def load_report(directory: Directory) -> DataFrame:
     """Rows of both tables."""
     def size(name: str, df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from kontor.functions.text import blank_to_null
 from kontor.operators.filters import drop_failed, with_all
 from kontor.operators.joins import not_done
 from kontor.operators.projection import quoted, reshape
+from kontor.operators.sizing import written
 from kontor.sources.pages import extract_records, table_records, with_page
 from kontor.sources.tabular import append_csv, append_reconciled, records_to_columns, scan_csv, scan_or_empty
 
@@ -19,8 +20,13 @@ EXTRACT_COLUMNS = ["source_idi", *V.EXTRACT_COLUMNS[1:]]
 
 
 def result_rows(pages: DataFrame, page: str = "page_id", names: list[str] | None = None) -> DataFrame:
-    """All result pages to register rows, one column per header name, blanks missing."""
-    rows = records_to_columns(table_records(pages, page), "record", names)
+    """All result pages to register rows, one column per header name, blanks missing.
+
+    Without `names` the records are written first, so that finding the header names
+    does not read the markup a second time.
+    """
+    records = table_records(pages, page)
+    rows = records_to_columns(records if names else written(records, "records"), "record", names)
     fields = [name for name in rows.columns if name not in (page, "position")]
     return rows.withColumns({name: blank_to_null(quoted(name)) for name in fields})
 
@@ -33,13 +39,9 @@ def extract_requests(register: DataFrame) -> DataFrame:
     )
 
 
-def extracts(requests: DataFrame, pages: DataFrame, done: DataFrame | None = None) -> DataFrame:
-    """The extract record of each request; requests without a readable record are dropped.
-
-    `done` holds the ids extracted earlier, as `source_idi`.
-    """
-    open_rows = requests if done is None else not_done(requests, done, "source_idi")
-    linked = with_page(open_rows, "url", pages, lambda some: extract_records(some, keep=["url"]))
+def extracts(requests: DataFrame, pages: DataFrame) -> DataFrame:
+    """The extract record of each request; requests without a readable record are dropped."""
+    linked = with_page(requests, "url", pages, lambda some: extract_records(some, keep=["url"]))
     records = drop_failed(linked, "record")
     return records.select(
         *EXTRACT_COLUMNS[:3], *(F.col("record")[name].alias(name) for name in EXTRACT_COLUMNS[3:])
@@ -56,5 +58,8 @@ def collect_results(spark: SparkSession, pages: DataFrame, output: str, page: st
 def collect_extracts(spark: SparkSession, register: DataFrame, pages: DataFrame, output: str) -> DataFrame:
     """Add the extracts of register rows that have none yet; a second run adds nothing.  Returns all."""
     done = scan_or_empty(spark, output, EXTRACT_COLUMNS)
-    append_csv(extracts(extract_requests(register), pages, done), output)
+    open_rows = written(not_done(extract_requests(register), done, "source_idi"), "open-requests")
+    if open_rows.isEmpty():
+        return done
+    append_csv(extracts(open_rows, pages), output)
     return scan_or_empty(spark, output, EXTRACT_COLUMNS)

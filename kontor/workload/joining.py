@@ -13,11 +13,6 @@ from kontor.session import scratch_path
 from kontor.workload import bindings as B
 from kontor.workload.bindings import query, table
 
-ENRICHED = """
-    FROM v_company c JOIN v_contact k ON c."IDI" = k."IDI"
-    WHERE k.phone_numbers IS NOT NULL OR k.email IS NOT NULL OR k.website IS NOT NULL"""
-
-
 @query("category_contact_stats", views=("v_classified", "v_contact"), sql="""
     SELECT c."Category" AS category, count(*) AS total, count(phone_numbers) AS has_phone,
         count(email) AS has_email, count(website) AS has_website
@@ -235,6 +230,43 @@ def main_metadata_split(spark, sf):
     return joins.rejoin(main, rest).select("idi", "ditta", "category", "website", "ordinal", "registration_date")
 
 
+REACHABLE = """
+    FROM v_company c JOIN v_contact k ON k."IDI" = c."IDI"
+    WHERE phone_numbers IS NOT NULL OR email IS NOT NULL OR website IS NOT NULL"""
+
+
+def _built(spark, sf):
+    rows = B.company(spark, sf).drop("Category", "Subcategory")
+    contacts = B.contact(spark, sf).withColumn("Address", F.lit(None).cast("string"))
+    return enrichment.build(rows, contacts, B.classified(spark, sf), scratch_path(spark, "directory"))
+
+
+@query("enrichment_pipeline", views=("v_registered", "v_company", "v_contact"), sql=f"""
+    SELECT "Category" AS category, count(*) AS total, count(phone_numbers) AS has_phone, count(email) AS has_email,
+        count(website) AS has_website {REACHABLE} GROUP BY 1""")
+def enrichment_pipeline(spark, sf):
+    """Register, contacts and classes to stored tables; the coverage view over them."""
+    _built(spark, sf)
+    return spark.table(enrichment.STATS_VIEW)
+
+
+@query("load_report", views=("v_registered", "v_company", "v_contact"), sql=f"""
+    SELECT unnest(['companies', 'company_metadata']) AS "table", n FROM (SELECT count(*) AS n {REACHABLE})""")
+def load_report(spark, sf):
+    return enrichment.load_report(_built(spark, sf))
+
+
+@query("normalised_counts", views=("v_registered", "v_company"), sql="""
+    SELECT 'companies' AS "table", count(DISTINCT "IDI") AS n FROM v_company
+    UNION ALL SELECT 'categories', count(DISTINCT "Category") FROM v_company
+    UNION ALL SELECT 'subcategories', count(DISTINCT ("Category", "Subcategory")) FROM v_company""")
+def normalised_counts(spark, sf):
+    """Every company twice in the flat table: the first one stays."""
+    rows = B.company(spark, sf)
+    later = rows.withColumns({"ordinal": F.col("ordinal") + 1_000_000_000_000, "Category": F.lit("LATER")})
+    return normalised.normalise(rows.unionByName(later), "ordinal").counts()
+
+
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = [
     "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",

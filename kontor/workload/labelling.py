@@ -338,6 +338,59 @@ def classify_driver(spark, sf):
     )
 
 
+@query("single_prompt_round", views=("v_registered", "v_company"), sql=DRIVER_SQL)
+def single_prompt_round(spark, sf):
+    """The same as one call, the outside model being a function between tables."""
+    rows = B.company(spark, sf).drop("Category", "Subcategory")
+    done = B.classified(spark, sf).join(
+        table(spark, sf, "labels").select(B.idi("doc_id").alias("IDI")), "IDI", "left_semi"
+    )
+    replies = B.responses(spark, sf).select(B.idi("entity").alias("IDI"), "text")
+
+    def answer(requests):
+        return requests.select("IDI").join(replies, "IDI").select(
+            "IDI", F.lit(1).alias("attempt"), "text", F.lit(None).cast("string").alias("error")
+        )
+
+    found = classification.run_single_prompt(rows, done, "IDI", "Ditta", "Purpose", B.taxonomy(spark, sf), answer)
+    return found.select(
+        F.col("IDI").alias("idi"), F.col("Category").alias("category"), F.col("Subcategory").alias("subcategory")
+    )
+
+
+@query("two_prompt_round", views=("v_classified",), sql="""
+    SELECT "IDI" AS idi,
+        CASE WHEN quality = 1 THEN "Category" WHEN c_custkey % 5 = 0 THEN 'Other' ELSE "Category" END AS category,
+        CASE WHEN quality = 1 THEN "Subcategory" WHEN c_custkey % 5 = 0 THEN 'Other' WHEN c_custkey % 7 = 0 THEN "Category"
+            ELSE "Subcategory" END AS subcategory
+    FROM v_classified LEFT JOIN labels ON doc_id = c_custkey""")
+def two_prompt_round(spark, sf):
+    """Earlier (unknown, unknown) rows are asked again, labelled ones are not."""
+    places = B.placed(table(spark, sf, "customer"), spark, sf)
+    rows = places.select(B.idi("c_custkey").alias("IDI"), "c_custkey", "r_name", "n_name")
+    labels = table(spark, sf, "labels").join(rows, F.col("doc_id") == F.col("c_custkey"))
+    good = F.col("quality") == 1
+    done = labels.select(
+        "IDI", F.when(good, F.col("r_name")).otherwise(V.UNKNOWN).alias("Category"),
+        F.when(good, F.col("n_name")).otherwise(V.UNKNOWN).alias("Subcategory"),
+    )
+
+    def answer(asked):
+        tried = asked.withColumn("stage", F.explode(F.array(F.lit(1), F.lit(2))))
+        category = F.when(F.col("c_custkey") % 5 == 0, "ATLANTIS").otherwise(F.col("r_name"))
+        subcategory = F.when(F.col("c_custkey") % 7 == 0, "NOWHERE").otherwise(F.col("n_name"))
+        return tried.select(
+            "IDI", F.lit(1).alias("attempt"), "stage",
+            F.when(F.col("stage") == 1, category).otherwise(subcategory).alias("text"),
+            F.lit(None).cast("string").alias("error"),
+        )
+
+    found = classification.run_two_prompts(rows, done, "IDI", B.taxonomy(spark, sf), answer)
+    return found.select(
+        F.col("IDI").alias("idi"), F.col("Category").alias("category"), F.col("Subcategory").alias("subcategory")
+    )
+
+
 @query("batch_plan", sql="""
     SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row_no, (row_number() OVER (ORDER BY doc_id) - 1) // 20 AS batch_no
     FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL""")

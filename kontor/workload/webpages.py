@@ -122,10 +122,12 @@ def extract_pages(spark, sf):
         'Trade of ' || c_mktsegment || ' and more' AS purpose
     FROM customer JOIN v_place ON c_nationkey = n_nationkey WHERE c_custkey % 5 <> 0""")
 def register_pipeline(spark, sf):
-    """Result pages to register rows to extract requests to extract records."""
-    rows = register.result_rows(result_pages(spark, sf), names=["Ditta", "IDI", "Estratto cantonale", "Sede"])
-    listed = written(rows, "register")
-    records = register.extracts(register.extract_requests(listed), extract_pages(spark, sf))
+    """Result pages to a register list to extract records; the second run finds all of it done."""
+    listing, output = scratch_path(spark, "register"), scratch_path(spark, "extracts")
+    found = register.collect_results(spark, result_pages(spark, sf), listing)
+    sheets = extract_pages(spark, sf)
+    for _ in range(2):
+        records = register.collect_extracts(spark, found, sheets, output)
     return records.select(
         F.col("source_idi").alias("idi"), F.col("Ditta").alias("ditta"), F.col("Forma giuridica").alias("form"),
         F.col("Sede").alias("sede"), F.col("Registration_date").alias("registered"),

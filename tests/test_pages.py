@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kontor.operators.filters import drop_failed
+from kontor.operators.joins import not_done
 from kontor.plans import directory, register
 from kontor.sources import pages
 from kontor.sources.markup import elements, table_rows
@@ -150,5 +151,5 @@ def test_register_skips_what_is_done(spark):
     requests = register.extract_requests(rows)
     assert sorted(one["source_idi"] for one in requests.collect()) == ["1", "4", "5"]
     done = spark.createDataFrame([("5",)], "source_idi string")
-    found = register.extracts(requests, page_table(spark, section("Purpose", row("p"))), done)
+    found = register.extracts(not_done(requests, done, "source_idi"), page_table(spark, section("Purpose", row("p"))))
     assert [(one["source_idi"], one["Purpose"]) for one in found.collect()] == [("1", "p")]
