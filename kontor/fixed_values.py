@@ -21,7 +21,9 @@ SECTION_CELLS = 3
 
 # --- contacts -------------------------------------------------------------
 PHONE_DIGITS = 10
-EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+EMAIL_LOCAL = r"[a-zA-Z0-9._%+-]"
+EMAIL_DOMAIN = r"[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+EMAIL = rf"{EMAIL_LOCAL}+@{EMAIL_DOMAIN}"
 WEBSITE_START = r"^(www\.|https?://)"
 MAILTO = "mailto:"
 CONTACT_COLUMNS = ["Phone Numbers", "Email", "Website"]

@@ -18,8 +18,11 @@ def as_col(value: Column | str) -> Column:
 
 
 def strip(text: Column | str) -> Column:
-    """Remove white space of any kind from both ends; `trim` only drops blanks."""
-    return F.regexp_replace(as_col(text), f"(?U)^{SPACE}+|{SPACE}+$", "")
+    """Remove white space of any kind from both ends; `trim` only drops blanks.
+
+    A run inside the text is tried once, at its start.
+    """
+    return F.regexp_replace(as_col(text), rf"(?U)^{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
 
 
 def blank_to_null(text: Column | str) -> Column:

@@ -219,6 +219,11 @@ def page_title(html: Column | str) -> Column:
 
 
 def visible_text(html: Column | str) -> Column:
-    """Page text by pattern: scripts and styles removed, tags to blanks, white space squeezed."""
-    silent = F.regexp_replace(as_col(html), r"(?is)<(script|style)\b.*?</\1>", " ")
-    return strip(F.regexp_replace(F.regexp_replace(silent, r"<[^>]*>", " "), r"\s+", " "))
+    """Page text by pattern: scripts and styles removed, tags to blanks, white space squeezed.
+
+    An unclosed element or tag ends with the page, so nothing is scanned twice; a `<`
+    that begins no tag is text.
+    """
+    silent = F.regexp_replace(as_col(html), r"(?is)<(script|style)\b.*?(?:</\1>|\z)", " ")
+    untagged = F.regexp_replace(silent, r"<[a-zA-Z/!?][^>]*(?:>|\z)", " ")
+    return strip(F.regexp_replace(untagged, r"\s+", " "))

@@ -8,7 +8,7 @@ FileSystem, hence to whatever storage the path names.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +37,15 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
-def data_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files at a path, by name, hidden ones left out."""
-    fs = _fs(spark, path)
+def data_files(spark: SparkSession, path: str) -> Iterator[str]:
+    """Data files at a path as the storage lists them, hidden ones left out; read no further than needed."""
     if not exists(spark, path):
-        return []
-    listed = [entry for entry in fs.listStatus(_path(spark, path)) if entry.isFile()]
-    names = sorted(entry.getPath().toString() for entry in listed)
-    return [name for name in names if not name.rsplit("/", 1)[-1].startswith(("_", "."))]
+        return
+    entries = _fs(spark, path).listStatusIterator(_path(spark, path))
+    while entries.hasNext():
+        entry = entries.next()
+        if entry.isFile() and not entry.getPath().getName().startswith(("_", ".")):
+            yield entry.getPath().toString()
 
 
 def _backup(path: str) -> str:

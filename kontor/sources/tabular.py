@@ -26,7 +26,7 @@ ORDINAL = "ordinal"
 
 
 def header(spark: SparkSession, path: str) -> list[str] | None:
-    """Column names as written in the first data file, cases and all; None without any."""
+    """Column names as written in a data file, cases and all; None without any."""
     for file in data_files(spark, path):
         line = spark.read.text(file).first()
         if line is not None and line[0]:

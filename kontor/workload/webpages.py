@@ -52,7 +52,7 @@ def page_links(spark, sf):
 
 @query("page_text", sql=rf"""
     SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html,
-        '(?is)<script\b.*?</script>|<style\b.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g'),
+        '(?is)<script\b.*?(?:</script>|\z)|<style\b.*?(?:</style>|\z)', ' ', 'g'), '<[a-zA-Z/!?][^>]*(?:>|\z)', ' ', 'g'),
         '[\s\x0b]+', ' ', 'g')) AS visible
     FROM pages""")
 def page_text(spark, sf):

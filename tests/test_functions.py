@@ -177,3 +177,19 @@ def test_softmax_and_best(spark):
 
 def test_patterns_hold_in_python_too():
     assert re.fullmatch(V.EMAIL, "a@b.ch") and not re.fullmatch(V.EMAIL, "a@b.c")
+
+
+def test_long_runs_are_passed_once(spark):
+    """A megabyte without a break must not cost its square."""
+    blob = "QWxh" * 250_000
+    texts = [f"{blob} a@b {blob}@ x.y@c.de end", f"a@b@c.de{blob}", f"x {' ' * 1_000_000} y "]
+    assert values(spark, texts[:2], contacts.first_email) == ["x.y@c.de", f"b@c.de{blob}"]
+    assert values(spark, texts[2:], text.strip) == [texts[2].strip()]
+    assert values(spark, ["\n a \x1c\u00a0\n", " ", ""], text.strip) == ["a", "", ""]
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("ab1.@-_% é", max_size=25), min_size=1, max_size=40))
+def test_first_email_is_the_plain_pattern(spark, rows):
+    plain = [re.search(V.EMAIL, row) for row in rows]
+    assert values(spark, rows, contacts.first_email) == [found and found.group(0) for found in plain]

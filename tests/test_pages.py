@@ -108,6 +108,12 @@ def test_reader_survives_broken_markup():
     assert elements("<div id=a>x<script>y</script><p>z", frozenset(["a"]), frozenset(), False)[0]["spaced"] == "x z"
 
 
+def test_visible_text(spark):
+    htmls = ["a<b>b</b> 1 < 2 <SCRIPT>x</script>c", "a<style>p{}", "a<b title='x", "<!-- n -->", "<" * 200_000 + "<b" * 100_000]
+    found = page_table(spark, *htmls).select(pages.visible_text("html").alias("t")).collect()
+    assert [one["t"] for one in found[:4]] == ["a b 1 < 2 c", "a", "a", ""] and len(found[4]["t"]) == 200_000
+
+
 def test_read_pages(spark, tmp_path):
     (tmp_path / "a.html").write_text("<p>one\ntwo</p>")
     (tmp_path / "b.html").write_text("<p>b</p>")
