@@ -15,7 +15,7 @@ from html import unescape
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
     | <(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\Z)
-    | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:"[^"]*"|'[^']*'|[^'">])*+)>
+    | <(?P<end>/?)(?P<tag>[a-z][^\s/<>]*+)(?P<attrs>(?:"[^"]*"|'[^']*'|[^'"<>])*+)>
     | <[!?][^>]*>?
     | (?P<text>(?:[^<]|<(?![a-z/!?]))++)
     | <""",
@@ -48,23 +48,28 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
 
 
 class Piece:
-    """Text being collected for an open element."""
+    """An element's part of the page's text runs, from its start to its end."""
 
-    __slots__ = ("tag", "attrs", "runs", "link")
+    __slots__ = ("tag", "attrs", "runs", "start", "end", "link", "linked")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.runs = tag, attrs, []
-        self.link = attrs.get("href") if tag == "a" else None
+    def __init__(self, tag: str, attrs: dict[str, str], runs: list[str | None]):
+        self.tag, self.attrs, self.runs = tag, attrs, runs
+        self.start, self.end = len(runs), None
+        # Target of the first link inside; a first link without a target counts.
+        self.link, self.linked = None, False
+
+    def close(self) -> None:
+        self.end = len(self.runs)
 
     def joined(self, sep: str) -> str:
         """Stripped text runs, put together with `sep`."""
-        stripped = (run.strip() for run in self.runs if run is not BREAK)
+        stripped = (run.strip() for run in self.runs[self.start:self.end] if run is not BREAK)
         return sep.join(run for run in stripped if run)
 
     def lines(self) -> str:
         """Visible text: one line per block or break, white space squeezed, blank lines left out."""
         lines, line = [], []
-        for run in [*self.runs, BREAK]:
+        for run in [*self.runs[self.start:self.end], BREAK]:
             if run is not BREAK:
                 line.append(run)
                 continue
@@ -83,17 +88,17 @@ class Table:
         self.row: dict | None = None
         self.cell: Piece | None = None
 
-    def close_cell(self, open_cells: list[Piece]) -> None:
+    def close_cell(self) -> None:
         cell, self.cell = self.cell, None
         if cell is not None:
-            open_cells.remove(cell)
+            cell.close()
             self.row["cells"].append({
                 "tag": cell.tag, "class": cell.attrs.get("class", ""), "href": cell.link,
                 "text": cell.joined(""), "lines": cell.lines(),
             })
 
-    def close_row(self, open_cells: list[Piece]) -> None:
-        self.close_cell(open_cells)
+    def close_row(self) -> None:
+        self.close_cell()
         self.row = None
 
 
@@ -101,16 +106,15 @@ def table_rows(html: str) -> list[dict]:
     """All rows of all tables in document order; a cell or row ends where the next begins."""
     rows: list[dict] = []
     tables: list[Table] = []
-    cells: list[Piece] = []
+    runs: list[str | None] = []
     count = 0
     for kind, name, attrs in tokens(html):
         if kind == "text":
-            for cell in cells:
-                cell.runs.append(name)
+            if tables:
+                runs.append(name)
             continue
         if name in BREAKS:
-            for cell in cells:
-                cell.runs.append(BREAK)
+            runs.append(BREAK)
         table = tables[-1] if tables else None
         if kind == "open":
             if name == "table":
@@ -119,52 +123,52 @@ def table_rows(html: str) -> list[dict]:
             elif table is None:
                 continue
             elif name == "tr":
-                table.close_row(cells)
+                table.close_row()
                 table.row = {"table_no": table.number, "row_no": table.rows, "part": table.part, "cells": []}
                 table.rows += 1
                 rows.append(table.row)
             elif name in ("td", "th"):
-                table.close_cell(cells)
+                table.close_cell()
                 if table.row is not None:
-                    table.cell = Piece(name, attributes(attrs))
-                    cells.append(table.cell)
+                    table.cell = Piece(name, attributes(attrs), runs)
             elif name in ("thead", "tbody", "tfoot"):
-                table.close_row(cells)
+                table.close_row()
                 table.part = name
-            elif name == "a" and cells:
+            elif name == "a":
                 link = attributes(attrs).get("href")
-                for cell in cells:
-                    cell.link = link if cell.link is None else cell.link
+                # Cells around one that has its first link have theirs.
+                for cell in (outer.cell for outer in reversed(tables) if outer.cell is not None):
+                    if cell.linked:
+                        break
+                    cell.link, cell.linked = link, True
         elif table is not None:
             if name in ("td", "th"):
-                table.close_cell(cells)
+                table.close_cell()
             elif name == "tr":
-                table.close_row(cells)
+                table.close_row()
             elif name in ("thead", "tbody", "tfoot"):
-                table.close_row(cells)
+                table.close_row()
                 table.part = ""
             elif name == "table":
-                table.close_row(cells)
+                table.close_row()
                 tables.pop()
     for table in reversed(tables):
-        table.close_row(cells)
+        table.close_row()
     return rows
 
 
 def elements(html: str, ids: frozenset[str], classes: frozenset[str], links: bool) -> list[dict]:
     """Elements with a wanted id or class, and links, in document order."""
     found: list[Piece] = []
-    collecting: list[Piece] = []
+    runs: list[str | None] = []
     stack: list[tuple[str, Piece | None]] = []
     opened: Counter[str] = Counter()
     for kind, name, attrs in tokens(html):
         if kind == "text":
-            for piece in collecting:
-                piece.runs.append(name)
+            runs.append(name)
             continue
         if name in BREAKS:
-            for piece in collecting:
-                piece.runs.append(BREAK)
+            runs.append(BREAK)
         if kind == "open":
             if name in VOID:
                 continue
@@ -175,8 +179,7 @@ def elements(html: str, ids: frozenset[str], classes: frozenset[str], links: boo
                     (links and name == "a" and "href" in given) or given.get("id") in ids
                     or not classes.isdisjoint(given.get("class", "").split())
                 ):
-                    piece = Piece(name, given)
-                    collecting.append(piece)
+                    piece = Piece(name, given, runs)
                     found.append(piece)
             stack.append((name, piece))
             opened[name] += 1
@@ -185,7 +188,7 @@ def elements(html: str, ids: frozenset[str], classes: frozenset[str], links: boo
                 tag, piece = stack.pop()
                 opened[tag] -= 1
                 if piece is not None:
-                    collecting.remove(piece)
+                    piece.close()
                 if tag == name:
                     break
     return [

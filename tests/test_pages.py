@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +110,15 @@ def test_reader_survives_broken_markup():
     assert elements("<div id=a>x<script>y</script><p>z", frozenset(["a"]), frozenset(), False)[0]["spaced"] == "x z"
 
 
+@pytest.mark.parametrize("junk", ["<", "<b", "<b '", '<a "x <a \'y ', "<!--", "<script>", "</p", "<td>", "<i class=x>", "&amp", "<a href=x>"])
+def test_reader_is_linear_on_junk(junk):
+    start = time.perf_counter()
+    table_rows(junk * 20_000)
+    table_rows("<table><tr><td>" + junk * 20_000)
+    elements(junk * 20_000, frozenset(["x"]), frozenset(["y"]), True)
+    assert time.perf_counter() - start < 5
+
+
 def test_visible_text(spark):
     htmls = ["a<b>b</b> 1 < 2 <SCRIPT>x</script>c", "a<style>p{}", "a<b title='x", "<!-- n -->", "<" * 200_000 + "<b" * 100_000]
     found = page_table(spark, *htmls).select(pages.visible_text("html").alias("t")).collect()
