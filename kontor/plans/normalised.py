@@ -34,11 +34,19 @@ class Model:
         ]
         return lines[0].unionByName(lines[1]).unionByName(lines[2])
 
-    def write(self, path: str) -> None:
+    def stored(self, path: str) -> Model:
+        """Write the four tables and give them back as read from there."""
         write_table(self.companies, f"{path}/companies", sort_by=["IDI"])
         write_table(self.categories, f"{path}/categories")
         write_table(self.subcategories, f"{path}/subcategories")
         write_table(self.links, f"{path}/company_categories", sort_by=["IDI"])
+        read = self.companies.sparkSession.read
+        return Model(
+            read.schema(self.companies.schema).parquet(f"{path}/companies"),
+            read.schema(self.categories.schema).parquet(f"{path}/categories"),
+            read.schema(self.subcategories.schema).parquet(f"{path}/subcategories"),
+            read.schema(self.links.schema).parquet(f"{path}/company_categories"),
+        )
 
 
 def label_tables(rows: DataFrame, ordinal: str) -> tuple[DataFrame, DataFrame]:

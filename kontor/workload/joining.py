@@ -181,8 +181,9 @@ def company_categories(spark, sf):
     UNION ALL SELECT 'fk_link_subcategory', count(*) FROM link
         WHERE subcategory_id NOT IN (SELECT subcategory_id FROM v_subcategory)""".strip()))
 def constraint_report(spark, sf):
-    """The model made from the register keeps all its constraints."""
-    return normalised.normalise(B.company(spark, sf), "ordinal").report()
+    """The stored model made from the register keeps all its constraints."""
+    model = normalised.normalise(B.company(spark, sf), "ordinal")
+    return model.stored(scratch_path(spark, "model")).report()
 
 
 @query("constraint_violations", sql="""
