@@ -11,7 +11,6 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kontor.operators.projection import quoted
 
