@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import mixing
+from kontor.llm import mixing, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,15 @@ FROM placed
 def op1_mixing(spark, sf):
     rows = mixing.mixed_sizes(_table(spark, sf, "documents"))
     return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op9_token_files")
+def op9_token_files(spark, sf):
+    files = tokenfiles.write_tokens(_table(spark, sf, "documents"), tokenizer_path())
+    return tokenfiles.read_back(spark, files).withColumnRenamed("key", "doc_id")
