@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import mixing, tokenfiles
+from kontor.llm import mixing, simhash, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 def op9_token_files(spark, sf):
     files = tokenfiles.write_tokens(_table(spark, sf, "documents"), tokenizer_path())
     return tokenfiles.read_back(spark, files).withColumnRenamed("key", "doc_id")
+
+
+@query("op10_simhash_dedup")
+def op10_simhash_dedup(spark, sf):
+    found = simhash.groups(_table(spark, sf, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"), simhash.hexadecimal(F.col("f")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
