@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import mixing, simhash, tokenfiles
+from kontor.llm import langid, mixing, quality, simhash, tokenfiles
+from kontor.llm.frames import learn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +85,19 @@ def op10_simhash_dedup(spark, sf):
         F.col("key").alias("doc_id"), simhash.hexadecimal(F.col("f")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query("op2_language_id")
+def op2_language_id(spark, sf):
+    docs = _table(spark, sf, "documents")
+    model = langid.train(docs.filter(learn_rows(F.col("doc_id"))))
+    found = docs.select("doc_id", langid.predicted(spark, model, F.col("text")).alias("found"))
+    return found.select(
+        "doc_id", (~learn_rows(F.col("doc_id"))).alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score",
+    )
+
+
+@query("op8_quality")
+def op8_quality(spark, sf):
+    rows = quality.quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+    return rows.withColumnRenamed("key", "doc_id")
