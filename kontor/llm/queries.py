@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import langid, mixing, quality, simhash, tokenfiles
+from kontor.llm import decontamination, langid, mixing, quality, simhash, tokenfiles
 from kontor.llm.frames import learn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,38 @@ def op2_language_id(spark, sf):
 def op8_quality(spark, sf):
     rows = quality.quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
     return rows.withColumnRenamed("key", "doc_id")
+
+
+LEAK_SQL = r"""
+WITH cut AS (
+    SELECT doc_id, list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) AS part
+    FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM documents)
+), known AS (
+    SELECT item, item_id, list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) AS part
+    FROM (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words
+          FROM (SELECT DISTINCT item_id, text FROM benchmark))
+), ours AS (
+    SELECT doc_id, unnest(part) AS h, unnest(range(len(part))) AS p FROM cut
+), theirs AS (
+    SELECT item, len(part) AS m, unnest(part) AS h, unnest(range(len(part))) AS q FROM known
+), windows AS (
+    SELECT DISTINCT doc_id, item, m, p - q AS at FROM ours JOIN theirs USING (h)
+), inside AS (
+    SELECT w.doc_id, w.item, w.m, w.at, o.h, count(*) AS a
+    FROM windows w JOIN ours o ON o.doc_id = w.doc_id AND o.p >= w.at AND o.p < w.at + w.m GROUP BY ALL
+), weights AS (
+    SELECT item, h, count(*) AS b FROM theirs GROUP BY ALL
+), sums AS (
+    SELECT i.doc_id, i.item, i.m, i.at, sum(i.a) AS length, sum(least(i.a, coalesce(b, 0))) AS common
+    FROM inside i LEFT JOIN weights t ON t.item = i.item AND t.h = i.h GROUP BY ALL
+)
+SELECT doc_id, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS item_ids, count(DISTINCT item) AS n_items,
+    max(common::BIGINT / (length::BIGINT + m - common::BIGINT)) AS similarity
+FROM sums JOIN known USING (item) WHERE common::BIGINT / (length::BIGINT + m - common::BIGINT) >= 0.8 GROUP BY doc_id
+"""
+
+
+@query("op6_decontamination", LEAK_SQL)
+def op6_decontamination(spark, sf):
+    rows = decontamination.leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return rows.select(F.col("key").alias("doc_id"), F.array_join("item_ids", ",").alias("item_ids"), "n_items", "similarity")
