@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import decontamination, langid, mixing, quality, simhash, tokenfiles
+from kontor.llm import decontamination, langid, mixing, quality, simhash, tokenfiles, topk
 from kontor.llm.frames import learn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,24 @@ FROM sums JOIN known USING (item) WHERE common::BIGINT / (length::BIGINT + m - c
 def op6_decontamination(spark, sf):
     rows = decontamination.leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
     return rows.select(F.col("key").alias("doc_id"), F.array_join("item_ids", ",").alias("item_ids"), "n_items", "similarity")
+
+
+TOPK_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+    FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op7_top_k", TOPK_SQL)
+def op7_top_k(spark, sf):
+    vectors = _table(spark, sf, "embeddings")
+    found = topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score")
