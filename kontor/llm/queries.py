@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import decontamination, langid, mixing, quality, simhash, tokenfiles, topk
+from kontor.llm import decontamination, langid, mixing, quality, secretscan, simhash, tokenfiles, topk
 from kontor.llm.frames import learn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,12 @@ def op7_top_k(spark, sf):
     vectors = _table(spark, sf, "embeddings")
     found = topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
     return found.select(F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score")
+
+
+@query("op4_secrets")
+def op4_secrets(spark, sf):
+    found = secretscan.scan(_table(spark, sf, "documents"))
+    spans = F.transform("spans", lambda one: F.concat_ws(":", one["kind"], one["start"], one["end"]))
+    return found.select(
+        F.col("key").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(spans, ",").alias("spans"),
+    )
