@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import decontamination, langid, mixing, quality, secretscan, simhash, tokenfiles, topk
+from kontor.llm import decontamination, langid, maintext, mixing, quality, secretscan, simhash, tokenfiles, topk
 from kontor.llm.frames import learn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,9 @@ def op4_secrets(spark, sf):
     return found.select(
         F.col("key").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(spans, ",").alias("spans"),
     )
+
+
+@query("op5_main_text")
+def op5_main_text(spark, sf):
+    rows = maintext.extract(_table(spark, sf, "pages").select("page_id", "url", "html"))
+    return rows.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
