@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import decontamination, langid, maintext, mixing, quality, secretscan, simhash, tokenfiles, topk
+from kontor.llm import decontamination, langid, maintext, mixing, pii, quality, secretscan, simhash, tokenfiles, topk
 from kontor.llm.frames import learn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,14 @@ def op4_secrets(spark, sf):
 def op5_main_text(spark, sf):
     rows = maintext.extract(_table(spark, sf, "pages").select("page_id", "url", "html"))
     return rows.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+# A key of the tests' own; in use it comes from the caller's key store.
+PII_KEY = b"kontor example key"
+
+
+@query("op3_pii_surrogates")
+def op3_pii_surrogates(spark, sf):
+    rows = pii.pseudonymise(_table(spark, sf, "documents").select("doc_id", "text"), PII_KEY)
+    spans = F.transform("entities", lambda one: F.concat_ws(":", one["kind"], one["start"], one["end"]))
+    return rows.select("doc_id", "text", F.size("entities").alias("n_entities"), F.array_join(spans, ",").alias("spans"))
