@@ -12,8 +12,10 @@ names, and only the names of those that succeeded reach the manifest.
 from __future__ import annotations
 
 import io
+import json
 import os
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,7 +34,8 @@ from kontor.llm import mph
 from kontor.session import scratch_path
 
 TEXTS_AT_ONCE = 256
-PIECES_KEPT = 400_000
+# Pieces a worker remembers in each of two generations, about 200 bytes each.
+PIECES_KEPT = 500_000
 READ_BYTES = 8 * 1024 * 1024
 
 
@@ -41,11 +44,16 @@ class PieceEncoder:
     """The tokenizer's ids of whole texts, as little-endian bytes, with a memory of pieces.
 
     A byte-level BPE encodes word by word.  A single space between two characters that
-    are no white space always begins a word, so the text is cut there, and each
-    different piece is encoded once while it is remembered.
+    are no white space always begins a word, a single line break there is one, and Latin
+    letters before other ASCII marks than an apostrophe always end one: the text is cut
+    there, and each different piece is encoded once while it is remembered.  A piece that
+    is one word of Latin letters goes to the tokenizer's model at once, all others through
+    the whole tokenizer.
     """
 
+    LINE = re.compile(r"\n(?=\S)(?<=\S\n)")
     CUT = re.compile(r" (?=\S)(?<=\S )")
+    WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
@@ -53,23 +61,66 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(self.tokenizer)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.CUT.split(text) for text in texts]
-        if len(self.first) + len(self.later) > PIECES_KEPT:
-            self.first, self.later = {}, {}
-        self._learn(self.first, {pieces[0] for pieces in cut}, "")
-        self._learn(self.later, {piece for pieces in cut for piece in pieces[1:]}, " ")
-        later = self.later
-        return [self.first[pieces[0]] + b"".join([later[piece] for piece in pieces[1:]]) for pieces in cut]
-
-    def _learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> None:
-        new = [piece for piece in pieces if piece not in known]
-        encoded = self.tokenizer.encode_batch_fast([before + piece for piece in new], add_special_tokens=False)
-        for piece, one in zip(new, encoded):
-            known[piece] = np.array(one.ids, self.dtype).tobytes()
+        self.model = self.tokenizer.model if _byte_level(self.tokenizer) else None
+        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # by what stands before the piece
+        self.older: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
+
+    def encode(self, text: str) -> bytes:
+        if sum(map(len, self.known.values())) > PIECES_KEPT:
+            self.known, self.older = {"": {}, " ": {}}, self.known
+        return self.piece("", "\n").join(map(self.line, self.LINE.split(text)))
+
+    def line(self, text: str) -> bytes:
+        pieces = self.CUT.split(text)
+        found = list(map(self.known[" "].get, pieces))
+        found[0] = self.piece("", pieces[0])
+        if None in found:
+            found = [self.piece(" ", piece) if one is None else one for piece, one in zip(pieces, found)]
+        return b"".join(found)
+
+    def piece(self, before: str, piece: str) -> bytes:
+        """Ids of a piece that follows `before`: remembered, taken over from the last generation, or new."""
+        known = self.known[before].get(piece) or self.older[before].get(piece)
+        if known is None:
+            parts = self.WORD.fullmatch(piece)
+            if parts is None:
+                known = self.ids(before + piece)
+            elif not parts[2]:
+                known = self.word_ids(before + piece)
+            else:
+                known = self.piece(before, parts[1]) + self.piece("", parts[2])
+        self.known[before][piece] = known
+        return known
+
+    def ids(self, piece: str) -> bytes:
+        encoded = self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0]
+        return self.packed(encoded.ids)
+
+    def word_ids(self, word: str) -> bytes:
+        if self.model is None:
+            return self.ids(word)
+        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))
+        return self.packed([token.id for token in tokens])
+
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
+
+
+def _byte_level(tokenizer) -> bool:
+    """Whether words reach the model unchanged but for the letters that stand for bytes."""
+    parts = json.loads(tokenizer.to_str())
+    plain = (parts["pre_tokenizer"] or {}).get("type") == "ByteLevel" and not parts["pre_tokenizer"]["add_prefix_space"]
+    return plain and parts["normalizer"] is None
+
+
+def _byte_letters() -> dict[int, str]:
+    """Fixed by the byte-level format: printable Latin-1 stands for itself, the rest for 256 upwards in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(byte) for byte in shown} | {byte: chr(256 + i) for i, byte in enumerate(hidden)}
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 def id_type(tokenizer) -> str:
@@ -238,7 +289,7 @@ def _write_shard(batches, folder, tokenizer, dtype, end_id) -> Iterator[pa.Recor
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)
                 keys.append(part.column(0))
-                for payload in encode(part.column(1).to_pylist()):
+                for payload in map(encode, part.column(1).to_pylist()):
                     out.write(payload + end)
                     lengths.append(len(payload) // width + 1)
             batch = next(batches, None)
