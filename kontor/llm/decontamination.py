@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kontor.llm.frames import field, packed, unpacked
+from kontor.llm.frames import ROW, field, packed, unpacked
 from kontor.operators.sizing import written
 
 SHINGLE = 5
@@ -36,6 +36,8 @@ PRINT = (
     "aggregate(sequence(0, 63), 0L, (f, b) -> f | shiftleft(cast(2 * aggregate(part, 0L, "
     "(n, h) -> n + (shiftright(h, b) & 1)) > size(part) AS bigint), b))"
 )
+# Bitmaps that drop rows before an exchange have 16 bits for each hash, between these powers of two: 2 MB at most.
+LEAST_BITS, MOST_BITS = 16, 24
 BLOCK = f"shiftright(f, {BLOCK_BITS} * block) & {2**BLOCK_BITS - 1}"
 
 
@@ -44,6 +46,24 @@ def shingled(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("words", F.expr(WORDS.format(text=text))).withColumn("shingles", F.expr(SHINGLES))
 
 
+def held(hashes: DataFrame, column: str):
+    """A test of whether a hash may be among the hashes of a written table: a bitmap, passed on as a scalar subquery."""
+    bits = max(LEAST_BITS, min(MOST_BITS, (16 * hashes.count()).bit_length()))
+    place = hashes.select(F.expr(f"shiftrightunsigned({column}, {64 - bits})").alias("place"))
+    marks = place.select(F.expr("shiftright(place, 6)").alias("id"), F.expr("shiftleft(1L, cast(place & 63 AS int))").alias("mark"))
+    marks = marks.groupBy("id").agg(F.bit_or("mark").alias("mark"))
+    every = hashes.sparkSession.range(2 ** (bits - 6)).join(marks, "id", "left")
+    rows = every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("mark", F.lit(0)).alias("mark")))).alias("rows"))
+    words = rows.select(F.transform("rows", lambda one: one["mark"])).scalar()
+
+    def may_hold(number: Column) -> Column:
+        at = F.shiftrightunsigned(number, 64 - bits)
+        word = F.get(words, F.shiftright(at, 6).cast("int"))
+        return F.call_function("shiftright", word, at.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+
+    return may_hold
+
+
 def text_key(text: Column) -> Column:
     return F.md5(text.cast("binary"))
 
@@ -58,19 +78,21 @@ def items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
 
 def anchors(texts: DataFrame, known: DataFrame) -> DataFrame:
     """(text_key, start, stop, m): where a window of some item's length lies, from every shared shingle."""
-    places = known.select("m", F.posexplode("part").alias("q", "h")).distinct()
+    places = written(known.select("m", F.posexplode("part").alias("q", "h")).distinct(), "leak-shingles")
+    shared = held(places, "h")
     # Outer, or the optimiser tests the array's size below the words' projection, cutting the text for each word.
     each = F.posexplode_outer("shingles").alias("p", "h")
     rows = shingled(texts, "text").select("text_key", F.size("shingles").alias("n"), each)
-    shared = rows.join(places, "h").select("text_key", "n", (F.col("p") - F.col("q")).alias("at"), "m")
-    return shared.select(
+    rows = rows.filter(shared(F.col("h"))).join(places, "h")
+    return rows.select("text_key", "n", (F.col("p") - F.col("q")).alias("at"), "m").select(
         "text_key", F.greatest("at", F.lit(0)).alias("start"), F.least(F.col("at") + F.col("m"), "n").alias("stop"), "m"
     ).distinct()
 
 
 def windows(texts: DataFrame, places: DataFrame) -> DataFrame:
     """(text_key, start, m, part): the shingles of each window; equal texts are cut once."""
-    wanted = texts.join(places.select("text_key").distinct(), "text_key", "left_semi")
+    found = places.select("text_key", F.xxhash64("text_key").alias("h")).distinct()
+    wanted = texts.filter(held(found, "h")(F.xxhash64("text_key"))).join(found, "text_key", "left_semi")
     once = wanted.groupBy("text_key").agg(F.first("text").alias("text"))
     cut = shingled(once, "text").select("text_key", "shingles").join(places, "text_key")
     return cut.select("text_key", "start", "m", F.expr("slice(shingles, start + 1, stop - start)").alias("part"))
@@ -132,6 +154,8 @@ def leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
 
 def clean(df: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of `df` that hold no benchmark item, columns unchanged; rows with a null text stay."""
-    found = written(matches(df, benchmark, text, **options).select("text_key"), "leaks")
+    found = written(matches(df, benchmark, text, **options).select("text_key", F.xxhash64("text_key").alias("h")), "leaks")
     rows = packed(df).withColumn("text_key", text_key(field(text)))
-    return unpacked(rows.join(found, "text_key", "left_anti").select("__row"))
+    suspect = F.coalesce(held(found, "h")(F.xxhash64("text_key")), F.lit(False))
+    checked = rows.filter(suspect).join(found, "text_key", "left_anti")  # only these rows are moved
+    return unpacked(rows.filter(~suspect).select(ROW).unionByName(checked.select(ROW)))
