@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kontor.operators.dedup import repeated_keys
-from kontor.operators.joins import not_done
-from kontor.operators.projection import pick, quoted
+from kontor.operators.projection import quoted
 
 COMPANIES = (
     "IDI string, Ditta string, `Forma giuridica` string, Sede string, Registration_date string, "
@@ -21,46 +19,68 @@ SUBCATEGORIES = "subcategory_id bigint, category_id bigint, Subcategory string"
 COMPANY_CATEGORIES = "IDI string, category_id bigint, subcategory_id bigint"
 
 
-def _named(name: str, violations: DataFrame) -> DataFrame:
-    return violations.agg(F.count("*").alias("violations")).select(F.lit(name).alias("constraint"), "violations")
+def _counts(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    return df.groupBy(*(quoted(column) for column in columns)).agg(F.count("*").alias(name))
 
 
-def _filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.filter(reduce(lambda a, b: a & b, (quoted(name).isNotNull() for name in columns)))
+def _missing(column: str, known: str) -> Column:
+    """1 for a value that refers to nothing; a missing value refers to nothing to begin with."""
+    return (quoted(column).isNotNull() & F.col(known).isNull()).cast("bigint")
 
 
-def unique(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Number of repeated values; rows with a missing part do not conflict."""
-    return _named(name, repeated_keys(_filled(df, columns), columns))
+def _flagged(df: DataFrame, column: str, target: DataFrame, name: str) -> DataFrame:
+    """Add whether `target` has the value, as a column that is null if not."""
+    keys = target.select(quoted(column)).distinct().withColumn(name, F.lit(True))
+    return df.join(keys, column, "left")
 
 
-def primary_key(name: str, df: DataFrame, column: str) -> DataFrame:
-    """Number of repeated values, a missing key counting as one more."""
-    per_key = df.groupBy(quoted(column)).agg(F.count("*").alias("n"))
-    return _named(name, per_key.filter((F.col("n") > 1) | quoted(column).isNull()))
+def _repeated(count: str, *parts: str) -> Column:
+    """Number of keys that more than one row holds; keys with a missing part do not conflict."""
+    filled = reduce(lambda a, b: a & b, (quoted(part).isNotNull() for part in parts))
+    return F.count_if((F.col(count) > 1) & filled)
 
 
-def foreign_key(name: str, df: DataFrame, column: str, target: DataFrame, target_column: str) -> DataFrame:
-    """Number of rows whose value the target lacks; missing values refer to nothing."""
-    wanted = _filled(pick(df, [column]), [column])
-    there = pick(target, [target_column]).withColumnRenamed(target_column, column)
-    return _named(name, not_done(wanted, there, column))
+def _primary(count: str, key: str) -> Column:
+    """Number of repeated keys, a missing key counting as one more."""
+    return F.count_if((F.col(count) > 1) | (quoted(key).isNull() & F.col(count).isNotNull()))
 
 
 def model_report(
     companies: DataFrame, categories: DataFrame, subcategories: DataFrame, links: DataFrame
 ) -> DataFrame:
-    """One row per declared constraint of the model with its number of violations."""
-    checks = [
-        primary_key("pk_companies", companies, "IDI"),
-        primary_key("pk_categories", categories, "category_id"),
-        unique("uq_category", categories, ["Category"]),
-        primary_key("pk_subcategories", subcategories, "subcategory_id"),
-        unique("uq_subcategory", subcategories, ["category_id", "Subcategory"]),
-        primary_key("pk_company_categories", links, "IDI"),
-        foreign_key("fk_subcategory_category", subcategories, "category_id", categories, "category_id"),
-        foreign_key("fk_link_company", links, "IDI", companies, "IDI"),
-        foreign_key("fk_link_category", links, "category_id", categories, "category_id"),
-        foreign_key("fk_link_subcategory", links, "subcategory_id", subcategories, "subcategory_id"),
+    """One row per declared constraint of the model with its number of violations.
+
+    The large tables are read once: links with the label tables' keys joined as flags and
+    counted per company id, companies counted per id, and both counts put side by side.
+    """
+    labelled = _flagged(_flagged(links, "category_id", categories, "__category"), "subcategory_id", subcategories, "__sub")
+    per_id = labelled.groupBy("IDI").agg(
+        F.count("*").alias("links"), F.sum(_missing("category_id", "__category")).alias("no_category"),
+        F.sum(_missing("subcategory_id", "__sub")).alias("no_sub"),
+    )
+    sides = _counts(companies, ["IDI"], "companies").join(per_id, "IDI", "full")
+    large = sides.agg(
+        _primary("companies", "IDI").alias("pk_companies"), _primary("links", "IDI").alias("pk_company_categories"),
+        F.sum(F.when(quoted("IDI").isNotNull() & F.col("companies").isNull(), F.col("links"))).alias("fk_link_company"),
+        F.sum("no_category").alias("fk_link_category"), F.sum("no_sub").alias("fk_link_subcategory"),
+    )
+    owned = _flagged(subcategories, "category_id", categories, "__category")
+    small = [
+        _counts(categories, ["category_id"], "n").agg(_primary("n", "category_id").alias("pk_categories")),
+        _counts(categories, ["Category"], "n").agg(_repeated("n", "Category").alias("uq_category")),
+        _counts(subcategories, ["subcategory_id"], "n").agg(_primary("n", "subcategory_id").alias("pk_subcategories")),
+        _counts(subcategories, ["category_id", "Subcategory"], "n").agg(
+            _repeated("n", "category_id", "Subcategory").alias("uq_subcategory")
+        ),
+        owned.agg(F.sum(_missing("category_id", "__category")).alias("fk_subcategory_category")),
     ]
-    return reduce(DataFrame.unionByName, checks)
+    return reduce(DataFrame.unionByName, (_lines(one) for one in (large, *small)))
+
+
+def _lines(counts: DataFrame) -> DataFrame:
+    """One row for each column of a one-row table."""
+    each = F.array(*(
+        F.struct(F.lit(name).alias("constraint"), F.coalesce(quoted(name), F.lit(0)).cast("bigint").alias("violations"))
+        for name in counts.columns
+    ))
+    return counts.select(F.inline(each))

@@ -77,11 +77,15 @@ def overlay(
 
 def merge_progress(
     rows: DataFrame, progress: DataFrame, key: str = "IDI",
-    labels: Sequence[str] = ("Category", "Subcategory"),
+    labels: Sequence[str] = ("Category", "Subcategory"), order: Sequence[str] = (),
 ) -> DataFrame:
-    """Fill labels from an earlier output, matched by key; own labels stay where progress has none."""
-    right = pick(progress, [key, *labels]).withColumnsRenamed({name: f"__done_{name}" for name in labels})
-    joined = left_join_null_safe(rows, latest_per_key(right, [key], [f"__done_{name}" for name in labels]), key)
+    """Fill labels from an earlier output, matched by key; own labels stay where progress has none.
+
+    Of repeated progress rows the last by `order` counts, and among equals the last by label.
+    """
+    right = pick(progress, [key, *labels, *order]).withColumnsRenamed({name: f"__done_{name}" for name in (*labels, *order)})
+    last = latest_per_key(right, [key], [f"__done_{name}" for name in (*order, *labels)])
+    joined = left_join_null_safe(rows, last.drop(*(f"__done_{name}" for name in order if name not in labels)), key)
     present = set(rows.columns)
     filled = {
         name: F.coalesce(quoted(f"__done_{name}"), quoted(name) if name in present else F.lit(None).cast("string"))
@@ -98,12 +102,15 @@ def spread_join(
     `hot` is a condition on the key column, e.g. `F.col("IDI").isNull()` or a list
     of names; it holds for few keys.  Left rows of a hot key are dealt out by row
     position, right rows of a hot key (few, since the right side is unique or
-    nearly so) are copied to each piece.  Nothing is lost or doubled.
+    nearly so) are copied to each piece.  Nothing is lost or doubled; kinds of join that
+    keep unmatched right rows, of which there would be copies, raise.
 
     The position is taken after a local sort by row hash: a task that is run again
     after a lost executor deals the same rows to the same pieces whatever order
     they are fetched in, and even identical rows are spread.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter", "left_anti", "left_semi"):
+        raise ValueError(f"a {how} join cannot be spread")
     keys = [key, "__piece"]
     ordered = left.sortWithinPartitions(F.xxhash64(*(quoted(name) for name in left.columns)))
     dealt = ordered.withColumn(
@@ -149,8 +156,7 @@ def with_surrogate_ids(
 ) -> DataFrame:
     """Category id by name, then subcategory id by (category id, name).
 
-    Left joins: a row without category or subcategory keeps NULL ids.  Pass the id
-    tables through `sizing.small_side`, or from `label_tables`, which has measured them.
+    Left joins without a hint: a row without category or subcategory keeps NULL ids.
     """
     first = category_ids.select("category_id", F.col("Category").alias("__category"))
     second = subcategory_ids.select(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kontor.operators.projection import quoted
-from kontor.operators.sizing import is_small, written
+from kontor.operators.sizing import written
 
 # monotonically_increasing_id puts the partition above bit 33, the place below.
 _PLACE_BITS = 33
@@ -89,22 +89,13 @@ def progress(df: DataFrame, order: Sequence[str], done: Column) -> DataFrame:
     return counted.drop("__done").withColumn("done_share", F.col("done_so_far") / total)
 
 
-def number_few(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
-    """The same numbers from one window; only for tables whose small size was measured."""
-    window = Window.orderBy(*(quoted(one).asc_nulls_last() for one in order))
-    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-
 def surrogate_ids(df: DataFrame, keys: Sequence[str], ordinal: str, name: str) -> DataFrame:
     """Dense ids 1..n for the distinct non-NULL keys, in order of first appearance.
 
-    The distinct keys are written once.  If they are measurably few, one window
-    numbers them; otherwise they are numbered slice by slice like any large table.
+    The distinct keys are numbered slice by slice like any table.
     """
     present = df
     for key in keys:
         present = present.filter(quoted(key).isNotNull())
     firsts = present.groupBy(*(quoted(key) for key in keys)).agg(F.min(quoted(ordinal)).alias("__first"))
-    firsts = written(firsts, "distinct-keys")
-    number = number_few if is_small(firsts) else number_rows
-    return number(firsts, ["__first", *keys], name).drop("__first")
+    return number_rows(firsts, ["__first", *keys], name).drop("__first")

@@ -129,9 +129,9 @@ def key_set(df: DataFrame, record: str) -> DataFrame:
     return df.select(F.explode(F.map_keys(quoted(record))).alias("key")).distinct()
 
 
-def items_per_page(df: DataFrame, page: str) -> DataFrame:
-    """Records found on each page."""
-    return df.groupBy(quoted(page)).agg(F.count("*").alias("found"))
+def items_per_page(df: DataFrame, page: str, item: str) -> DataFrame:
+    """Records found on each page; a page whose rows have no `item` has none."""
+    return df.groupBy(quoted(page)).agg(F.count(quoted(item)).alias("found"))
 
 
 def token_estimate(

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kontor.operators.joins import left_join_null_safe
+from kontor import fixed_values as V
 from kontor.operators.projection import quoted
 
 
@@ -21,25 +21,19 @@ def best_label(scores: DataFrame, entity: str, label: str = "label", score: str
 
 
 def softmax_scores(scores: DataFrame, entity: str, label: str = "label", score: str = "score") -> DataFrame:
-    """Scores of each entity made to add to one.
-
-    Maximum and sum are aggregates with map-side combine, so an entity with very
-    many labels never sits in one window; AQE splits the joins back.
-    """
-    tops = scores.groupBy(quoted(entity)).agg(F.max(quoted(score)).alias("__top"))
-    topped = left_join_null_safe(scores, tops, entity)
-    shifted = topped.withColumn("__power", F.exp(quoted(score) - F.col("__top"))).drop("__top")
-    sums = shifted.groupBy(quoted(entity)).agg(F.sum("__power").alias("__sum"))
-    return left_join_null_safe(shifted, sums, entity).select(
-        quoted(entity), quoted(label).alias("label"), (F.col("__power") / F.col("__sum")).alias("score")
+    """Scores of each entity made to add to one: one exchange, as an entity has no more rows than there are labels."""
+    own = Window.partitionBy(quoted(entity))
+    shifted = scores.withColumn("__power", F.exp(quoted(score) - F.max(quoted(score)).over(own)))
+    return shifted.select(
+        quoted(entity), quoted(label).alias("label"), (F.col("__power") / F.sum("__power").over(own)).alias("score")
     )
 
 
-def scorer(load: Callable[[], Callable[[list[str], list[list[str]]], list[list[float]]]]):
+def scorer(load: Callable[[], Callable[[list[str], list[list[str]]], list[list[float]]]], rows_at_once: int = V.MODEL_BATCH):
     """Wrap a model as a function of (text, candidate labels) giving one score per label.
 
-    `load` runs once per Python worker and returns a callable over a batch of texts
-    and their label lists.  Rows without text or candidates are not scored.
+    `load` runs once per Python worker and returns a callable over a few texts and their
+    label lists, `rows_at_once` in a call.  Rows without text or candidates are not scored.
     """
 
     @F.arrow_udf("array<double>")
@@ -49,9 +43,10 @@ def scorer(load: Callable[[], Callable[[list[str], list[list[str]]], list[list[f
             rows = list(zip(texts.to_pylist(), labels.to_pylist()))
             wanted = [i for i, (text, names) in enumerate(rows) if text is not None and names]
             result: list[list[float] | None] = [None] * len(rows)
-            if wanted:
-                given = model([rows[i][0] for i in wanted], [rows[i][1] for i in wanted])
-                for i, values in zip(wanted, given):
+            for at in range(0, len(wanted), rows_at_once):
+                some = wanted[at:at + rows_at_once]
+                given = model([rows[i][0] for i in some], [rows[i][1] for i in some])
+                for i, values in zip(some, given):
                     result[i] = list(values)
             yield pa.array(result, type=pa.list_(pa.float64()))
 

@@ -1,41 +1,14 @@
-"""Size checks behind every broadcast, and lineage cuts in the shared folder."""
+"""Lineage cuts in the shared folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from kontor.session import scratch_path
 
-MAX_ROWS = 50_000
-MAX_BYTES = 64 * 1024 * 1024
-
-
-def is_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Whether the whole of `df` stays within the bounds; reads at most `max_rows + 1` rows."""
-    size = F.length(F.to_json(F.struct(*df.columns)))
-    probe = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(size).alias("chars")).first()
-    return probe["n"] <= max_rows and (probe["chars"] or 0) <= max_bytes
-
-
-def small_side(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Broadcast hint if the measured size allows it; otherwise leave the join to AQE."""
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
-
 
 def written(df: DataFrame, label: str = "step") -> DataFrame:
     """Write `df` below the shared folder and read it back: one pass, columnar, survives lost executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread_small(df: DataFrame, bytes_per_core: int = 16 * 1024 * 1024) -> DataFrame:
-    """Deal a small table out over all cores before work that costs far more than an exchange.
-
-    A file of a few megabytes is one task, however heavy each row is.  Tables beyond
-    `bytes_per_core` per core have enough splits of their own and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(estimate) <= cores * bytes_per_core else df

@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 from kontor import fixed_values as V
 from kontor.functions.links import search_url
 from kontor.functions.text import blank_to_null, join_list
-from kontor.operators.joins import by_distinct_name, not_done, overlay
+from kontor.operators.dedup import latest_per_key
+from kontor.operators.joins import by_distinct_name, not_done
+from kontor.operators.numbering import batches
 from kontor.operators.projection import quoted, reshape
 from kontor.operators.sizing import written
 from kontor.sources.pages import contact_records, result_links, with_page
 from kontor.sources.store import delete, exists, replace_csv
-from kontor.sources.tabular import append_csv, scan_or_empty
+from kontor.sources.tabular import ORDINAL, append_csv, scan_or_empty
+
+KEYS = ["Company Name", "IDI"]
+# The original saves after 50 names, one after the other; here many are looked up at once.
+NAMES_AT_ONCE = V.DIRECTORY_BATCH * 2_000
 
 
 @dataclass(frozen=True)
@@ -54,25 +60,55 @@ def as_listing(records: DataFrame, name: str = "Ditta", key: str = "IDI") -> Dat
     return reshape(records, dict(zip(V.DIRECTORY_COLUMNS, sources)))
 
 
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """The listing's rows with their order in the files; empty if there is none yet."""
+    rows = scan_or_empty(spark, path, V.DIRECTORY_COLUMNS, strip_blanks=True, ordinal=True)
+    return rows if ORDINAL in rows.columns else rows.withColumn(ORDINAL, F.lit(None))
+
+
+def finish(spark: SparkSession, output: str, temporary: str) -> None:
+    """Put the rows of an interrupted run's unfinished output over the listing's, by name and id."""
+    if not exists(spark, temporary):
+        return
+    both = [listing(spark, path).drop(ORDINAL) if path == output else listing(spark, path) for path in (output, temporary)]
+    last = latest_per_key(both[1], KEYS, ORDINAL).drop(ORDINAL)
+    replace_csv(not_done(both[0], last, KEYS).unionByName(last), output)
+    delete(spark, temporary)
+
+
 def run(
-    spark: SparkSession, companies: DataFrame, pages: DataFrame, output: str, site: Site, temporary: str | None = None
+    spark: SparkSession, companies: DataFrame, pages: DataFrame, output: str, site: Site, temporary: str | None = None,
+    chunk: int = NAMES_AT_ONCE, chunks: int | None = None,
 ) -> DataFrame:
     """Look up the companies without a listing and append theirs; a second run adds nothing.
 
-    `temporary` is the unfinished output of an interrupted run; its records win
-    over the finished ones, and only then is the listing rewritten.  Returns the
-    listing.
+    A company is a name with an id: namesakes keep their own ids and share a lookup, and a
+    new id of a listed name gets a copy of that name's contacts.  The other names are looked
+    up `chunk` at a time, and each chunk is saved before the next begins, so a run that
+    breaks off, or stops after `chunks`, goes on where it was.  `temporary` is the unfinished
+    output of an interrupted run; its records win over the finished ones.  Returns the listing.
     """
-    done = scan_or_empty(spark, output, V.DIRECTORY_COLUMNS, strip_blanks=True)
-    if temporary is not None and exists(spark, temporary):
-        partial = scan_or_empty(spark, temporary, V.DIRECTORY_COLUMNS, strip_blanks=True)
-        replace_csv(overlay(done, partial, "Company Name", order=V.DIRECTORY_COLUMNS[1:]), output)
-        delete(spark, temporary)
-        done = scan_or_empty(spark, output, V.DIRECTORY_COLUMNS, strip_blanks=True)
-    wanted = companies.select(blank_to_null("Ditta").alias("Ditta"), "IDI").filter(F.col("Ditta").isNotNull())
-    open_rows = written(not_done(wanted, done.select(F.col("Company Name").alias("Ditta")), "Ditta"), "open-names")
-    if open_rows.isEmpty():
-        return done
-    fresh = by_distinct_name(open_rows, "Ditta", lambda names: look_up(names, "Ditta", pages, site))
-    append_csv(as_listing(fresh), output)
-    return scan_or_empty(spark, output, V.DIRECTORY_COLUMNS, strip_blanks=True)
+    if temporary is not None:
+        finish(spark, output, temporary)
+    done = listing(spark, output)
+    wanted = companies.select(blank_to_null("Ditta").alias("Company Name"), "IDI").filter(quoted("Company Name").isNotNull())
+    open_rows = written(not_done(wanted.distinct(), done, KEYS), "open-names")
+    if not open_rows.isEmpty():
+        known = latest_per_key(done, "Company Name", ORDINAL).drop(ORDINAL, "IDI")
+        copies = open_rows.join(known, "Company Name").select(*(quoted(name) for name in V.DIRECTORY_COLUMNS))
+        copies = written(copies, "copies")
+        if not copies.isEmpty():
+            append_csv(copies, output)
+        rest = not_done(open_rows, known, "Company Name").withColumnRenamed("Company Name", "Ditta")
+        names = written(batches(rest.select("Ditta").distinct(), ["Ditta"], chunk, "chunk"), "names")
+        count = names.agg(F.max("chunk")).first()[0]
+        for number in range(_rounds(count, chunks)):
+            some = rest.join(names.filter(F.col("chunk") == number).select("Ditta"), "Ditta")
+            fresh = by_distinct_name(some, "Ditta", lambda asked: look_up(asked, "Ditta", pages, site))
+            append_csv(as_listing(fresh), output)
+    return listing(spark, output).drop(ORDINAL)
+
+
+def _rounds(last: int | None, chunks: int | None) -> int:
+    found = 0 if last is None else last + 1
+    return found if chunks is None else min(found, chunks)

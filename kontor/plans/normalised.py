@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from kontor import fixed_values as V
 from kontor.operators import constraints
-from kontor.operators.dedup import first_per_key, has_duplicates
+from kontor.operators.dedup import first_per_key
 from kontor.operators.joins import with_surrogate_ids
-from kontor.operators.numbering import number_few, number_rows
+from kontor.operators.numbering import number_rows
 from kontor.operators.projection import pick, quoted
-from kontor.operators.sizing import is_small, written
+from kontor.operators.sizing import written
 from kontor.sources.store import create_if_missing, write_table
 
 
@@ -53,37 +53,30 @@ def label_tables(rows: DataFrame, ordinal: str) -> tuple[DataFrame, DataFrame]:
     """Category and subcategory tables with ids in order of first appearance.
 
     The base rows are grouped once, to distinct pairs; both tables come from those.
-    They carry a broadcast hint if the pairs were measured small.
     """
     pairs = written(rows.groupBy("Category", "Subcategory").agg(F.min(quoted(ordinal)).alias("__seen")), "pairs")
     pairs = pairs.filter(F.col("Category").isNotNull())
-    few = is_small(pairs)
-    number, hint = (number_few, F.broadcast) if few else (number_rows, lambda df: df)
     firsts = pairs.groupBy("Category").agg(F.min("__seen").alias("__seen"))
-    categories = number(firsts, ["__seen", "Category"], "category_id").select(
+    categories = number_rows(firsts, ["__seen", "Category"], "category_id").select(
         "category_id", "Category", F.lit(None).cast("string").alias("description")
     )
     named = pairs.filter(F.col("Subcategory").isNotNull())
-    numbered = number(named, ["__seen", "Category", "Subcategory"], "subcategory_id")
-    subcategories = numbered.join(hint(categories.select("Category", "category_id")), "Category").select(
+    numbered = number_rows(named, ["__seen", "Category", "Subcategory"], "subcategory_id")
+    subcategories = numbered.join(categories.select("Category", "category_id"), "Category").select(
         "subcategory_id", "category_id", "Subcategory"
     )
-    return hint(categories), hint(subcategories)
+    return categories, subcategories
 
 
 def normalise(flat: DataFrame, ordinal: str, key: str = "IDI") -> Model:
     """First row per id, label tables, and one link per company.
 
-    A company without a known category or subcategory keeps a link with NULL ids.
-    The probe for repeated ids moves keys only; the wide rows are exchanged only if
-    there are any.  The deduplicated rows feed all four tables, so they are written once and each
-    use reads its own columns.
+    A company without a known category or subcategory keeps a link with NULL ids.  The
+    deduplicated rows feed all four tables, so they are written once, from one reading of
+    the input, and each use reads its own columns.
     """
     columns = [*V.COMPANY_COLUMNS, "Category", "Subcategory", ordinal]
-    rows = pick(flat, columns)
-    if has_duplicates(rows, key):
-        rows = first_per_key(rows, key, ordinal)
-    rows = written(rows, "deduplicated")
+    rows = written(first_per_key(pick(flat, columns), key, ordinal), "deduplicated")
     categories, subcategories = label_tables(rows, ordinal)
     linked = with_surrogate_ids(pick(rows, [key, "Category", "Subcategory"]), categories, subcategories)
     return Model(

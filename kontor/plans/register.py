@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from kontor import fixed_values as V
 from kontor.functions.text import blank_to_null
+from kontor.operators.dedup import first_per_key
 from kontor.operators.filters import drop_failed, with_all
 from kontor.operators.joins import not_done
 from kontor.operators.projection import quoted, reshape
 from kontor.operators.sizing import written
 from kontor.sources.pages import extract_records, table_records, with_page
-from kontor.sources.tabular import append_csv, append_reconciled, records_to_columns, scan_csv, scan_or_empty
+from kontor.sources.tabular import append_csv, append_reconciled, records_to_columns, scan_or_empty
 
 # The extract layout with the request's id under a name of its own: Spark holds
 # `idi` and `IDI` for one column.
+PAGE, POSITION = "page", "position"
 EXTRACT_COLUMNS = ["source_idi", *V.EXTRACT_COLUMNS[1:]]
 
 
@@ -32,11 +34,11 @@ def result_rows(pages: DataFrame, page: str = "page_id", names: list[str] | None
 
 
 def extract_requests(register: DataFrame) -> DataFrame:
-    """Rows with both a link and an id, in the layout of a request."""
-    return reshape(
-        with_all(register, [V.LINK_HEADER, V.ID_HEADER]),
-        {"source_idi": V.ID_HEADER, "company_name": "Ditta", "url": V.LINK_HEADER},
-    )
+    """Rows with both a link and an id, in the layout of a request: for each id its first row, by page and place."""
+    place = [F.coalesce(quoted(name).try_cast("bigint"), F.lit(0)) for name in (PAGE, POSITION) if name in register.columns]
+    placed = with_all(register, [V.LINK_HEADER, V.ID_HEADER]).withColumn("__place", F.array(*place, F.lit(0).cast("bigint")))
+    first = first_per_key(placed, V.ID_HEADER, ["__place", V.LINK_HEADER, "Ditta"])
+    return reshape(first, {"source_idi": V.ID_HEADER, "company_name": "Ditta", "url": V.LINK_HEADER})
 
 
 def extracts(requests: DataFrame, pages: DataFrame) -> DataFrame:
@@ -49,10 +51,17 @@ def extracts(requests: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def collect_results(spark: SparkSession, pages: DataFrame, output: str, page: str = "page_id") -> DataFrame:
-    """Add the rows of new result pages to the register list, whose header wins; returns the list."""
-    rows = result_rows(pages, page).drop(page, "position")
-    append_reconciled(rows, output)
-    return scan_csv(spark, output, strip_blanks=True)
+    """Add the rows of result pages the list does not have yet, whose header wins; returns the list.
+
+    Each row keeps its page and its place there, so a page read again adds nothing.
+    """
+    asked = pages.withColumn(page, quoted(page).cast("string"))
+    done = scan_or_empty(spark, output, [PAGE]).select(quoted(PAGE).alias(page))
+    rows = result_rows(not_done(asked, done, page), page).withColumnsRenamed({page: PAGE, "position": POSITION})
+    rows = written(rows, "results")
+    if not rows.isEmpty():
+        append_reconciled(rows, output)
+    return scan_or_empty(spark, output, rows.columns, strip_blanks=True)
 
 
 def collect_extracts(spark: SparkSession, register: DataFrame, pages: DataFrame, output: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,8 +46,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a folder of its own: no
-    executor of a cluster could read a driver-local path.
+    Without that setting a local session uses a folder of its warehouse, and a cluster
+    raises: no executor could read a path of the driver's machine.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -57,9 +57,9 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = context.getCheckpointDir()
     if current is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="kontor-"))
+        context.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch")
         current = context.getCheckpointDir()
     return os.path.dirname(current.rstrip("/"))
 

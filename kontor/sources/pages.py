@@ -18,7 +18,6 @@ from kontor import fixed_values as V
 from kontor.functions.contacts import register_id, route_blocks
 from kontor.functions.links import resolve
 from kontor.functions.text import as_col, fold_newlines, strip, title_fields
-from kontor.operators.sizing import is_small
 from kontor.sources import markup
 
 CELL = "struct<tag:string,class:string,href:string,text:string,lines:string>"
@@ -68,15 +67,11 @@ def with_page(
 ) -> DataFrame:
     """Rows with what `parse` makes of the page their URL names; NULL columns where there is no page.
 
-    `parse` takes pages with `url, html` and keeps `url` as the first column.  Pages
-    are always read where they are scanned, so markup never crosses an exchange:
-    for measurably few rows only the pages they name are read (their URLs are
-    broadcast), otherwise all pages are, and the small records are joined.
+    `parse` takes pages with `url, html` and keeps `url` as the first column.  Only the
+    pages the rows name are parsed: a semi-join on the URL comes first, at any size.
     """
-    found = pages.select("url", "html")
     wanted = rows.select(as_col(url).alias("url")).filter(F.col("url").isNotNull()).distinct()
-    if is_small(wanted):
-        found = found.join(F.broadcast(wanted), "url", "left_semi")
+    found = pages.select("url", "html").join(wanted, "url", "left_semi")
     parsed = parse(found).withColumnRenamed("url", "__page_url")
     return rows.join(parsed, rows[f"`{url}`"] == parsed["__page_url"], "left").drop("__page_url")
 

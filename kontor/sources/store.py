@@ -31,6 +31,15 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).mkdirs(_path(spark, path))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    return [entry.getPath().getName() for entry in _fs(spark, path).listStatus(_path(spark, path))]
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     if not _fs(spark, source).rename(_path(spark, source), _path(spark, target)):
         raise OSError(f"could not move {source} to {target}")

@@ -17,7 +17,7 @@ from kontor.operators.projection import ensure_columns, pick, quoted, require_di
 from kontor.operators.reports import key_set
 from kontor.sources.store import data_files, exists
 
-READ = {"header": "true", "multiLine": "true", "escape": '"', "mode": "PERMISSIVE"}
+READ = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
 WRITE = {
     "header": "true", "escape": '"', "emptyValue": "", "nullValue": "",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -36,18 +36,19 @@ def header(spark: SparkSession, path: str) -> list[str] | None:
 
 def scan_csv(
     spark: SparkSession, path: str, rename: Mapping[str, str] | None = None,
-    tokens: Sequence[str] = V.MISSING_TOKENS, strip_blanks: bool = False, ordinal: bool = False,
+    tokens: Sequence[str] = V.MISSING_TOKENS, strip_blanks: bool = False, ordinal: bool = False, multi_line: bool = True,
 ) -> DataFrame:
     """A CSV file or folder with a header line, every column as text.
 
     * columns are named by position after `rename` (exact case), because Spark
       cannot tell `idi` from `IDI` later; names that still clash raise
+    * without `rename` a file whose header differs from the first one's raises
     * missing-value tokens, or with `strip_blanks` any blank text, become NULL
     * header lines repeated by earlier appends are dropped
-    * `ordinal` adds a sortable row order: file, place of the split, row
+    * `ordinal` adds a sortable row order: time the file was written, file, place of the split, row
 
-    A quoted cell may hold line breaks, so a file is read by one task: write many
-    moderate files rather than one large one.
+    With `multi_line` a quoted cell may hold line breaks, so a file is read by one task:
+    write many moderate files, or turn it off where no cell holds any.
     """
     written = header(spark, path)
     if written is None:
@@ -55,10 +56,11 @@ def scan_csv(
     names = [(rename or {}).get(name, name) for name in written]
     require_distinct_names(names)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = spark.read.schema(schema).options(**READ).csv(path)
+    checked = "true" if names != written else "false"  # enforceSchema: headers are not compared
+    rows = spark.read.schema(schema).options(**READ, multiLine=str(multi_line).lower(), enforceSchema=checked).csv(path)
     if ordinal:
         place = F.struct(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+            F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         )
         rows = rows.withColumn(ORDINAL, place)
@@ -94,8 +96,16 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def append_csv(df: DataFrame, path: str) -> None:
-    """Add rows; every file carries its own header, so none is repeated inside one."""
-    as_text(df).write.mode("append").options(**WRITE).csv(path)
+    """Add rows; every file carries its own header, so none is repeated inside one.
+
+    Columns go in the order of the present header; other names than its raise.
+    """
+    spark = df.sparkSession
+    present = header(spark, path) if exists(spark, path) else None
+    if present is not None and sorted(present) != sorted(df.columns):
+        raise ValueError(f"columns {df.columns} do not fit the header {present} below {path}")
+    rows = as_text(df if present is None else pick(df, present))
+    rows.write.mode("append").options(**WRITE).csv(path)
 
 
 def append_reconciled(df: DataFrame, path: str) -> None:
@@ -116,16 +126,13 @@ def write_with_rejects(df: DataFrame, valid: Column, path: str, error_path: str)
     write_csv(bad, error_path)
 
 
-def records_to_columns(df: DataFrame, record: str, names: Sequence[str] | None = None, max_keys: int = 10_000) -> DataFrame:
+def records_to_columns(df: DataFrame, record: str, names: Sequence[str] | None = None) -> DataFrame:
     """A map column to one column per key, missing keys NULL.
 
-    The names come to the driver; more than `max_keys` of them raise, because a
-    map with unbounded keys is no table.
+    The names become the table's schema.  Where the caller does not state them, all keys
+    are looked up and come to the driver in order.
     """
     if names is None:
-        found = key_set(df, record).limit(max_keys + 1).collect()
-        if len(found) > max_keys:
-            raise ValueError(f"more than {max_keys} distinct keys in {record}")
-        names = sorted(row[0] for row in found)
+        names = sorted(row[0] for row in key_set(df, record).collect())
     kept = [quoted(name) for name in df.columns if name != record]
     return df.select(*kept, *(F.try_element_at(quoted(record), F.lit(name)).alias(name) for name in names))

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.operators.sizing import MAX_BYTES, MAX_ROWS, is_small
-
 SCHEMA = "categories array<struct<category:string, subcategories:array<string>>>"
 
 
@@ -16,32 +12,22 @@ class Taxonomy:
     """Categories in file order, each with its subcategories in file order.
 
     `categories` has the columns `position, category, subcategories`.  Prompts and
-    scorers hold the whole taxonomy in every row, so its size is checked once, here.
+    scorers hold the whole taxonomy in every row: it is a fixed dimension.
     """
 
-    def __init__(self, categories: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES):
+    def __init__(self, categories: DataFrame):
         self.categories = categories.select("position", "category", "subcategories")
-        self._bounds = (max_rows, max_bytes)
 
     @classmethod
-    def read_json(cls, spark: SparkSession, path: str, **bounds: int) -> "Taxonomy":
+    def read_json(cls, spark: SparkSession, path: str) -> "Taxonomy":
         nested = spark.read.schema(SCHEMA).option("multiLine", True).json(path)
-        return cls.from_nested(nested, **bounds)
+        return cls.from_nested(nested)
 
     @classmethod
-    def from_nested(cls, nested: DataFrame, **bounds: int) -> "Taxonomy":
+    def from_nested(cls, nested: DataFrame) -> "Taxonomy":
         """From a table with the document's `categories` array."""
         rows = nested.select(F.posexplode("categories").alias("position", "c"))
-        return cls(rows.select("position", "c.category", "c.subcategories"), **bounds)
-
-    @cached_property
-    def small(self) -> bool:
-        return is_small(self.categories, *self._bounds)
-
-    def _whole(self) -> DataFrame:
-        if not self.small:
-            raise ValueError("the taxonomy is too large to be put into every row")
-        return self.categories
+        return cls(rows.select("position", "c.category", "c.subcategories"))
 
     def pairs(self) -> DataFrame:
         """One row per (category, subcategory) with both list positions."""
@@ -55,22 +41,21 @@ class Taxonomy:
 
     def labels(self) -> Column:
         """All categories as an array, in file order: a scalar subquery."""
-        return self._whole().agg(self._in_order(F.col("category"))).scalar()
+        return self.categories.agg(self._in_order(F.col("category"))).scalar()
 
     def categories_text(self) -> Column:
-        return self._whole().agg(F.array_join(self._in_order(F.col("category")), ", ")).scalar()
+        return self.categories.agg(F.array_join(self._in_order(F.col("category")), ", ")).scalar()
 
     def text(self) -> Column:
         """The block of the single prompt: category, colon, comma-separated subcategories."""
         line = F.concat(
             F.lit("\n"), "category", F.lit(":\n"), F.array_join("subcategories", ", "), F.lit("\n")
         )
-        return self._whole().agg(F.array_join(self._in_order(line), "")).scalar()
+        return self.categories.agg(F.array_join(self._in_order(line), "")).scalar()
 
     def label_lists(self) -> DataFrame:
-        """`category, subcategories` for joins, with a broadcast hint if the size was found small."""
-        lists = self.categories.select("category", "subcategories")
-        return F.broadcast(lists) if self.small else lists
+        """`category, subcategories` for joins; no hint, Spark goes by the size."""
+        return self.categories.select("category", "subcategories")
 
     def add_labels(self, df: DataFrame, category: str, name: str = "labels") -> DataFrame:
         """Add the subcategory array of the row's category; NULL for an unknown category."""

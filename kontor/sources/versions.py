@@ -1,8 +1,10 @@
 """A keyed table that takes upserts batch by batch.
 
 Each batch lands in a folder of its own, so a batch costs its own rows and not a
-rewrite of the table, and a replayed batch overwrites only itself.  Readers take
-the latest row per key.  `compact` folds everything into one folder now and then.
+rewrite of the table, and a replayed batch overwrites only itself.  A folder is named
+by its place in the order of arrival, and by the run and number of its batch: two
+runs count from 0 each without meeting.  Readers take the latest row per key.
+`compact` folds all folders into one now and then.
 """
 
 from __future__ import annotations
@@ -15,48 +17,67 @@ from pyspark.sql import functions as F
 from kontor.operators.dedup import latest_per_key
 from kontor.sources import store
 
+FOLD = "fold"
+
 
 class VersionedTable:
-    """Rows at `path/version=N`; batch b is version 2b+1, the fold up to it 2b+2."""
+    """Rows at `path/version=<place>.<run>.<batch>`; a fold is `<place>.fold`, names of folded batches at `path/_folded`."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], schema):
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.order, self.schema = list(keys), list(order), schema
 
-    def upsert(self, rows: DataFrame, batch: int) -> None:
-        """Write one batch, reduced to its latest row per key; the same batch again replaces itself."""
-        latest = latest_per_key(rows, self.keys, self.order)
-        latest.write.mode("overwrite").parquet(f"{self.path}/version={2 * batch + 1}")
+    def upsert(self, rows: DataFrame, batch: int, run: str = "") -> None:
+        """Write one batch of a run, reduced to its latest row per key.
+
+        The same batch of the same run again replaces itself; once folded it adds nothing.
+        """
+        name = f"{run}.{batch}"
+        if store.exists(self.spark, f"{self.path}/_folded/{name}"):
+            return
+        found = self.versions()
+        places = [version for version in found if version.partition(".")[2] == name]
+        place = places[0] if places else f"{self._next(found)}.{name}"
+        latest_per_key(rows, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}/version={place}")
+
+    @staticmethod
+    def _next(found: list[str]) -> str:
+        return f"{1 + max((int(version.partition('.')[0]) for version in found), default=0):012d}"
 
-    def versions(self) -> list[int]:
+    def versions(self) -> list[str]:
+        """Names of the folders in order of arrival."""
         if not store.exists(self.spark, self.path):
             return []
-        entries = store._fs(self.spark, self.path).listStatus(store._path(self.spark, self.path))
-        names = (entry.getPath().getName() for entry in entries)
-        return sorted(int(name.split("=")[1]) for name in names if name.startswith("version="))
+        names = store.folders(self.spark, self.path)
+        return sorted(name.partition("=")[2] for name in names if name.startswith("version="))
 
-    def _all(self) -> DataFrame:
-        if not self.versions():
-            return self.spark.createDataFrame([], self.schema).withColumn("version", F.lit(0).cast("bigint"))
-        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
-        return reader.parquet(f"{self.path}/version=*").withColumn("version", F.col("version").cast("bigint"))
+    def _all(self, versions: list[str]) -> DataFrame:
+        if not versions:
+            return self.spark.createDataFrame([], self.schema).withColumn("version", F.lit(""))
+        paths = [f"{self.path}/version={version}" for version in versions]
+        place = F.regexp_extract(F.col("_metadata.file_path"), r"/version=(\d{12})\.", 1)
+        return self.spark.read.schema(self.schema).parquet(*paths).withColumn("version", place)
 
     def current(self) -> DataFrame:
         """The latest row of each key: by `order`, and by arrival where that ties."""
-        return latest_per_key(self._all(), self.keys, [*self.order, "version"]).drop("version")
+        return latest_per_key(self._all(self.versions()), self.keys, [*self.order, "version"]).drop("version")
 
     def compact(self) -> None:
-        """Fold all versions into one.  The fold is moved in whole before the old folders go."""
+        """Fold all folders present into one, and remove just these.
+
+        The fold is moved in whole, and its batches are noted, before the old folders go; what
+        is left of an interrupted fold is folded again, which changes nothing.
+        """
         found = self.versions()
         if len(found) < 2:
             return
-        fold = found[-1]
-        if fold % 2:
-            # The next even number: above every folded version, below the next batch.
-            fold += 1
-            staging = f"{self.path}/_fold"
-            self.current().write.mode("overwrite").parquet(staging)
-            store.rename(self.spark, staging, f"{self.path}/version={fold}")
-        # An even top version is a fold whose clean-up was cut off.
-        for version in (one for one in found if one < fold):
+        staging = f"{self.path}/_fold"
+        latest = latest_per_key(self._all(found), self.keys, [*self.order, "version"]).drop("version")
+        latest.write.mode("overwrite").parquet(staging)
+        for version in found:
+            name = version.partition(".")[2]
+            if name != FOLD:
+                store.make_folder(self.spark, f"{self.path}/_folded/{name}")
+        store.rename(self.spark, staging, f"{self.path}/version={self._next(found)}.{FOLD}")
+        for version in found:
             store.delete(self.spark, f"{self.path}/version={version}")

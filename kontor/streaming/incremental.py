@@ -6,6 +6,7 @@ micro-batch, and writes in a way that a repeated micro-batch does not show.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,12 +45,26 @@ def for_each_batch(stream: DataFrame, save: Callable[[DataFrame, int], None], ch
 def upsert(
     stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
 ) -> VersionedTable:
-    """Insert or replace by key.  Each micro-batch writes only its own rows."""
+    """Insert or replace by key.  Each micro-batch writes only its own rows.
+
+    A batch is known by the id the checkpoint gave its query and by its number, so a new
+    checkpoint, which counts from 0 again, replaces nothing.
+    """
     table = VersionedTable(stream.sparkSession, target, keys, order, stream.schema)
-    for_each_batch(stream, table.upsert, checkpoint)
+
+    def save(rows: DataFrame, batch: int) -> None:
+        table.upsert(rows, batch, _query_id(stream.sparkSession, checkpoint))
+
+    for_each_batch(stream, save, checkpoint)
     return table
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id in the checkpoint's metadata, written before the first batch."""
+    line = spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0]
+    return json.loads(line)["id"]
+
+
 def first_of_key(
     stream: DataFrame, keys: Sequence[str], event_time: str | None = None, delay: str = "1 hour"
 ) -> DataFrame:

@@ -8,12 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kontor.functions.contacts import first_email, phones_in_text
 from kontor.functions.text import join_list
-from kontor.operators.sizing import spread_small
 from kontor.sources.taxonomy import Taxonomy
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -50,11 +49,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def heavy(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table whose rows cost much work each: dealt out over the cores if it is small."""
-    return spread_small(table(spark, sf, name))
-
-
 # --- keys -----------------------------------------------------------------------
 def idi(key: Column | str) -> Column:
     digits = F.lpad((F.col(key) if isinstance(key, str) else key).cast("string"), 9, "0")
@@ -132,7 +126,7 @@ PHONE = r"\(\d{3}\) \d{3}-\d{4}"
 
 def contact(spark: SparkSession, sf: str) -> DataFrame:
     """E-mail and phones from the texts, websites from the pages, by id."""
-    texts = heavy(spark, sf, "documents").select(
+    texts = table(spark, sf, "documents").select(
         F.col("doc_id").alias("key"), join_list(phones_in_text("text", PHONE)).alias("Phone Numbers"),
         first_email("text").alias("Email"),
     )
@@ -175,9 +169,9 @@ def event_shares(spark: SparkSession, sf: str) -> DataFrame:
     """Score table in long form: each user's share of events by type, an exact ratio."""
     events = table(spark, sf, "events")
     per_type = events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    totals = per_type.groupBy("user_id").agg(F.sum("n").alias("whole"))
-    return per_type.join(totals, "user_id").select(
-        F.col("user_id").alias("entity"), F.col("event_type").alias("label"), (F.col("n") / F.col("whole")).alias("score")
+    whole = F.sum("n").over(Window.partitionBy("user_id"))
+    return per_type.select(
+        F.col("user_id").alias("entity"), F.col("event_type").alias("label"), (F.col("n") / whole).alias("score")
     )
 
 

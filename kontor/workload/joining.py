@@ -193,7 +193,7 @@ def constraint_report(spark, sf):
     UNION ALL SELECT 'pk_categories', count(*) - count(DISTINCT r_regionkey) FROM region
     UNION ALL SELECT 'uq_category', count(*) - count(DISTINCT r_name) FROM region
     UNION ALL SELECT 'pk_subcategories', count(*) - count(DISTINCT n_nationkey) FROM nation
-    UNION ALL SELECT 'uq_subcategory', 0
+    UNION ALL SELECT 'uq_subcategory', count(*) FROM (SELECT n_regionkey FROM nation GROUP BY n_regionkey, n_name HAVING count(*) > 1)
     UNION ALL SELECT 'pk_company_categories', count(*) FROM (SELECT idi FROM link GROUP BY 1 HAVING count(*) > 1)
     UNION ALL SELECT 'fk_subcategory_category', count(*) FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region)
     UNION ALL SELECT 'fk_link_company', count(*) FROM link WHERE idi NOT IN (SELECT c_nationkey FROM customer)

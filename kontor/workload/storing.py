@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from kontor.plans import cleanup, enrichment
+from kontor.plans import cleanup, enrichment, normalised
 from kontor.session import scratch_path
 from kontor.sources import store, tabular
+from kontor.sources.taxonomy import Taxonomy
+from kontor.sources.versions import VersionedTable
 from kontor.streaming import incremental
 from kontor.workload import bindings as B
 from kontor.workload.bindings import query, table
@@ -86,8 +90,8 @@ def incremental_upsert(spark, sf):
     target, checkpoint = scratch_path(spark, "latest"), scratch_path(spark, "progress")
     kept = incremental.upsert(_events(spark, sf), target, checkpoint, ["user_id"], ["ts", "event_id"])
     kept.upsert(table(spark, sf, "events"), 0)
-    kept.upsert(table(spark, sf, "events").filter(F.col("event_type") == "click"), 1)
     kept.compact()
+    kept.upsert(table(spark, sf, "events").filter(F.col("event_type") == "click"), 0)
     return kept.current().select("user_id", "event_id", "event_type", "value")
 
 
@@ -119,3 +123,76 @@ def table_replace(spark, sf):
     old = spark.read.parquet(path)
     store.replace_parquet(old.unionByName(old.withColumn("c_custkey", F.col("c_custkey") + 1_000_000_000)), path)
     return spark.read.parquet(path)
+
+
+@query("upsert_two_sources", sql="""
+    SELECT user_id, event_id, event_type FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def upsert_two_sources(spark, sf):
+    """Clicks from one run, folded, then the other events from a run that counts from 0 again, folded once more."""
+    events = table(spark, sf, "events")
+    kept = VersionedTable(spark, scratch_path(spark, "latest"), ["user_id"], ["ts", "event_id"], events.schema)
+    for run, rows in (("clicks", events.filter("event_type = 'click'")), ("rest", events.filter("event_type <> 'click'"))):
+        for batch in range(2):
+            kept.upsert(rows.filter(F.col("event_id") % 2 == batch), batch, run)
+        kept.compact()
+    return kept.current().select("user_id", "event_id", "event_type")
+
+
+@query("stream_in_batches", sql="""
+    SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id""")
+def stream_in_batches(spark, sf):
+    """A stream in two starts of several micro-batches of one file each."""
+    source, target, checkpoint = (scratch_path(spark, name) for name in ("arriving", "latest", "progress"))
+    events = table(spark, sf, "events").select("event_id", "user_id")
+    for start in range(2):
+        for part in range(3):
+            events.filter(F.col("event_id") % 6 == 3 * start + part).coalesce(1).write.mode("append").parquet(source)
+        stream = incremental.file_stream(spark, source, events.schema, files_per_batch=1)
+        kept = incremental.upsert(stream, target, checkpoint, ["user_id"], ["event_id"])
+    return kept.current()
+
+
+@query("dedup_after_appends", sql="SELECT c_custkey AS key, 'old' AS value FROM customer")
+def dedup_after_appends(spark, sf):
+    """Of a row appended twice the one written first stays, whatever the files are called."""
+    path = scratch_path(spark, "appended")
+    keys = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("IDI"))
+    tabular.append_csv(keys.withColumn("value", F.lit("old")), path)
+    tabular.append_csv(keys.select(F.lit("new").alias("value"), "IDI"), path)
+    cleanup.remove_duplicates(spark, path)
+    return tabular.scan_csv(spark, path).select(F.col("IDI").cast("bigint").alias("key"), "value")
+
+
+@query("promote_temporary", sql="SELECT p_partkey, p_name FROM part")
+def promote_temporary(spark, sf):
+    """An old table, and a finished temporary one that takes its place."""
+    final, temporary = scratch_path(spark, "final"), scratch_path(spark, "temporary")
+    rows = table(spark, sf, "part").select("p_partkey", "p_name")
+    store.replace_parquet(rows.limit(1), final)
+    rows.write.parquet(temporary)
+    store.promote(spark, temporary, final)
+    return spark.read.parquet(final)
+
+
+@query("create_and_insert", views=("v_place",), sql="""
+    SELECT n_nationkey::BIGINT AS subcategory_id, n_name AS subcategory FROM v_place""")
+def create_and_insert(spark, sf):
+    """The normalised tables made if missing, twice, and one of them filled."""
+    database = "made_" + uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE {database}")
+    for _ in range(2):
+        normalised.create_schema(spark, database)
+    nations = table(spark, sf, "nation")
+    nations.select(
+        F.col("n_nationkey").cast("bigint"), F.col("n_regionkey").cast("bigint"), "n_name"
+    ).write.insertInto(f"{database}.subcategories")
+    return spark.table(f"{database}.subcategories").select("subcategory_id", F.col("Subcategory").alias("subcategory"))
+
+
+@query("taxonomy_from_json", views=("v_place",), sql="SELECT r_name AS category, n_name AS subcategory FROM v_place")
+def taxonomy_from_json(spark, sf):
+    """The nested document written as a JSON file and read from there."""
+    path = scratch_path(spark, "taxonomy")
+    B.nested_taxonomy(spark, sf).coalesce(1).write.json(path)
+    return Taxonomy.read_json(spark, path).pairs().select("category", "subcategory")

@@ -84,7 +84,7 @@ def reject_split(spark, sf):
 @query("phone_normalise", sql=f"""
     SELECT doc_id, len({B.PHONES_SQL}) AS phones, array_to_string({B.PHONES_SQL}, ',') AS phone_numbers FROM documents""")
 def phone_normalise(spark, sf):
-    found = B.heavy(spark, sf, "documents").select("doc_id", contacts.phones_in_text("text", B.PHONE).alias("found"))
+    found = table(spark, sf, "documents").select("doc_id", contacts.phones_in_text("text", B.PHONE).alias("found"))
     return found.select(
         "doc_id", F.size("found").cast("bigint").alias("phones"), F.array_join("found", ",").alias("phone_numbers")
     )
@@ -115,7 +115,7 @@ def email_extract_validate(spark, sf):
         .when(kind == 1, F.concat(F.lit("mailto:"), "source", F.lit("@"), "lang", F.lit(".example.org")))
         .otherwise(F.concat(F.lit("mailto:"), "lang", F.lit("@example.org?subject=x")))
     )
-    rows = B.heavy(spark, sf, "documents").withColumn("found", found)
+    rows = table(spark, sf, "documents").withColumn("found", found)
     return rows.select("doc_id", "found", contacts.email_from_link(href).alias("linked"))
 
 
@@ -148,7 +148,7 @@ def website_normalise(spark, sf):
     FROM block WHERE length(regexp_replace(url, '\D', '', 'g')) = 10""")
 def contact_router(spark, sf):
     """Blocks of one entity: the phones of its text as written, then its page's address."""
-    texts, sites = B.heavy(spark, sf, "documents"), table(spark, sf, "pages").select("page_id", "url")
+    texts, sites = table(spark, sf, "documents"), table(spark, sf, "pages").select("page_id", "url")
     rows = texts.join(sites, F.col("doc_id") == F.col("page_id"), "left")
     phones = F.regexp_extract_all("text", F.lit(f"({B.PHONE})"), F.lit(1))
     blocks = F.concat(phones, F.when(F.col("url").isNull(), F.array().cast("array<string>")).otherwise(F.array("url")))
@@ -200,13 +200,13 @@ def resolve_links(spark, sf):
 # --- cleaning -----------------------------------------------------------------------
 @query("clean_text", sql=f"SELECT doc_id, array_to_string({words_sql('text')}, ' ') AS cleaned FROM documents")
 def clean_text(spark, sf):
-    return B.heavy(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("cleaned"))
+    return table(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("cleaned"))
 
 
 @query("clean_token_counts", sql=f"""
     SELECT word, count(*) AS n FROM (SELECT unnest({words_sql('text')}) AS word FROM documents) GROUP BY 1""")
 def clean_token_counts(spark, sf):
-    found = B.heavy(spark, sf, "documents").select(F.explode(text.words("text")).alias("word"))
+    found = table(spark, sf, "documents").select(F.explode(text.words("text")).alias("word"))
     return value_counts(found, "word")
 
 
@@ -235,3 +235,21 @@ def list_text(spark, sf):
     return rows.select(
         "c_custkey", F.size("items").cast("bigint").alias("parts"), text.text_or_empty(text.join_list("items")).alias("joined")
     )
+
+
+@query("email_as_phone", sql="""
+    SELECT doc_id, concat_ws('@', lpad(CAST(doc_id AS varchar), 10, '0'), 'mail.example.com') AS email FROM documents""")
+def email_as_phone(spark, sf):
+    """An address of ten digits before the at sign, filed as a phone, is recognised as an address."""
+    address = F.concat(F.lpad(F.col("doc_id").cast("string"), 10, "0"), F.lit("@mail.example.com"))
+    rows = table(spark, sf, "documents").select("doc_id", F.array(address).alias("blocks"), F.array().cast("array<string>").alias("hrefs"))
+    return rows.select("doc_id", contacts.route_blocks("blocks", "hrefs").alias("r")).select("doc_id", F.col("r.email").alias("email"))
+
+
+@query("percent_texts", sql="""
+    SELECT c_nationkey AS nation, printf('%.1f%%', 100.0 * count(*) FILTER (c_mktsegment = 'BUILDING') / count(*)) AS share
+    FROM customer GROUP BY 1""")
+def percent_texts(spark, sf):
+    rows = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("nation"))
+    some = rows.agg(F.count_if(F.col("c_mktsegment") == "BUILDING").alias("part"), F.count("*").alias("whole"))
+    return some.select("nation", text.percent_text(F.col("part"), F.col("whole")).alias("share"))

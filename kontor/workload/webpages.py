@@ -10,7 +10,7 @@ from kontor.operators import numbering, reports
 from kontor.operators.sizing import written
 from kontor.plans import directory, register
 from kontor.session import scratch_path
-from kontor.sources import pages
+from kontor.sources import pages, tabular
 from kontor.workload import bindings as B
 from kontor.workload.bindings import query, table
 from kontor.workload.texts import LINKS_SQL
@@ -35,7 +35,7 @@ def page_titles(spark, sf):
     FROM pages""")
 def page_titles_parsed(spark, sf):
     """The markup reader against patterns: headings by class or id would be the same call."""
-    found = B.heavy(spark, sf, "pages").select(
+    found = table(spark, sf, "pages").select(
         "page_id", F.regexp_replace("html", "<h1", '<h1 id="head"').alias("html")
     ).select("page_id", pages.elements("html", ids=["head"], links=True).alias("found"))
     return found.select(
@@ -56,21 +56,21 @@ def page_links(spark, sf):
         '[\s\x0b]+', ' ', 'g')) AS visible
     FROM pages""")
 def page_text(spark, sf):
-    return B.heavy(spark, sf, "pages").select("page_id", pages.visible_text("html").alias("visible"))
+    return table(spark, sf, "pages").select("page_id", pages.visible_text("html").alias("visible"))
 
 
 @query("page_link_counts", sql=f"""
     SELECT page_id, found, CAST(sum(found) OVER (ORDER BY page_id) AS bigint) AS found_so_far
-    FROM (SELECT page_id, len({LINKS_SQL}) AS found FROM pages) WHERE found > 0""")
+    FROM (SELECT page_id, len({LINKS_SQL}) AS found FROM pages)""")
 def page_link_counts(spark, sf):
-    links = table(spark, sf, "pages").select("page_id", F.explode(pages.page_links("html")).alias("href"))
-    return numbering.running_total(reports.items_per_page(links, "page_id"), ["page_id"], "found", "found_so_far")
+    links = table(spark, sf, "pages").select("page_id", F.explode_outer(pages.page_links("html")).alias("href"))
+    return numbering.running_total(reports.items_per_page(links, "page_id", "href"), ["page_id"], "found", "found_so_far")
 
 
 # --- register pages made from the tables -------------------------------------------
 def result_pages(spark, sf):
     """One result page per customer: header, the company's row, a row without an id, an unusable row."""
-    rows = B.placed(B.heavy(spark, sf, "customer"), spark, sf)
+    rows = B.placed(table(spark, sf, "customer"), spark, sf)
     html = F.concat(
         F.lit("<html><script>var t='<table>';</script><table><thead><tr><th>Ditta</th><th> IDI </th>"
               "<th>Estratto cantonale</th><th>Sede</th></tr></thead><tbody><tr><td> "),
@@ -98,7 +98,7 @@ def page_table_records(spark, sf):
 
 def extract_pages(spark, sf):
     """One extract page per customer, with struck rows and rows of the wrong width; every fifth unreadable."""
-    rows = B.placed(B.heavy(spark, sf, "customer"), spark, sf)
+    rows = B.placed(table(spark, sf, "customer"), spark, sf)
     full = F.concat(
         F.lit('<div id="Titel">'), "c_name", F.lit("<br>"), "c_mktsegment", F.lit("<br/>"), "n_name", F.lit("<br>"),
         B.idi("c_custkey"), F.lit('<br>Registered on 01.02.1999</div><div id="idAuszugForm:auszugContentPanel">'
@@ -123,8 +123,13 @@ def extract_pages(spark, sf):
     FROM customer JOIN v_place ON c_nationkey = n_nationkey WHERE c_custkey % 5 <> 0""")
 def register_pipeline(spark, sf):
     """Result pages to a register list to extract records; the second run finds all of it done."""
+    return _extracts(spark, sf, 1)
+
+
+def _extracts(spark, sf, runs):
     listing, output = scratch_path(spark, "register"), scratch_path(spark, "extracts")
-    found = register.collect_results(spark, result_pages(spark, sf), listing)
+    for _ in range(runs):
+        found = register.collect_results(spark, result_pages(spark, sf), listing)
     sheets = extract_pages(spark, sf)
     for _ in range(2):
         records = register.collect_extracts(spark, found, sheets, output)
@@ -143,7 +148,7 @@ SITE = directory.Site(
 
 def directory_pages(spark, sf):
     """A search page per company, and a detail page with the company's contacts."""
-    names = B.heavy(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    names = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     contacts = B.contact(spark, sf)
     rows = names.join(contacts, B.idi("c_custkey") == contacts["IDI"], "left")
     blank = F.lit("")
@@ -183,3 +188,67 @@ def directory_pipeline(spark, sf):
     names = dict(zip(V.DIRECTORY_COLUMNS, [
         "name", "idi", "address", "phone_numbers", "email", "website", "detail_url", "search_url"]))
     return listing.withColumnsRenamed(names)
+
+
+REGISTER_SQL = f"""
+    SELECT {B.idi_sql('c_custkey')} AS idi, c_name AS ditta, c_mktsegment AS form, n_name AS sede,
+        'Registered on 01.02.1999' AS registered, 'Street 1, ' || r_name AS address,
+        'Trade of ' || c_mktsegment || ' and more' AS purpose
+    FROM customer JOIN v_place ON c_nationkey = n_nationkey WHERE c_custkey % 5 <> 0"""
+
+
+@query("register_rerun", views=("v_place",), sql=REGISTER_SQL)
+def register_rerun(spark, sf):
+    """The result pages collected twice: no row and no extract is doubled."""
+    return _extracts(spark, sf, 2)
+
+
+@query("directory_chunks", views=("v_contact",), sql=f"""
+    SELECT c_name AS name, {B.idi_sql('c_custkey')} AS idi, phone_numbers, email
+    FROM customer LEFT JOIN v_contact k ON k."IDI" = {B.idi_sql('c_custkey')}""")
+def directory_chunks(spark, sf):
+    """A run broken off after the first of three chunks, and started again."""
+    output = scratch_path(spark, "listing")
+    names = B.register(spark, sf)
+    found = written(directory_pages(spark, sf), "pages")
+    third = -(-names.count() // 3)
+    directory.run(spark, names, found, output, SITE, chunk=third, chunks=1)
+    listing = directory.run(spark, names, found, output, SITE, chunk=third)
+    return listing.select(
+        F.col("Company Name").alias("name"), F.col("IDI").alias("idi"), F.col("Phone Numbers").alias("phone_numbers"),
+        F.col("Email").alias("email"),
+    )
+
+
+@query("directory_resume", sql=f"""
+    SELECT 'Firm ' || c_custkey % 100 AS name, {B.idi_sql('c_custkey')} AS idi,
+        'https://directory.example/d/' || c_custkey % 100 AS detail_url FROM customer""")
+def directory_resume(spark, sf):
+    """Namesakes keep their own ids over an interrupted run, and new ids of known names get a row."""
+    output, temporary = scratch_path(spark, "listing"), scratch_path(spark, "unfinished")
+    number = (F.col("c_custkey") % 100).cast("string")
+    firms = table(spark, sf, "customer").select(F.concat(F.lit("Firm "), number).alias("Ditta"), B.idi("c_custkey").alias("IDI"), "c_custkey")
+    names = firms.select("Ditta").distinct()
+    search = names.select(
+        search_url("Ditta", SITE.search_base, SITE.search_suffix).alias("url"),
+        F.concat(F.lit('<a class="hit" href="/d/'), F.substring("Ditta", 6, 9), F.lit('">hit</a>')).alias("html"),
+    )
+    found = written(search, "pages")
+    directory.run(spark, firms.filter(F.col("c_custkey") % 3 == 0), found, output, SITE)
+    unfinished = directory.listing(spark, output).drop("ordinal").limit(1)
+    tabular.write_csv(unfinished, temporary)
+    listing = directory.run(spark, firms, found, output, SITE, temporary)
+    return listing.select(
+        F.col("Company Name").alias("name"), F.col("IDI").alias("idi"), F.col("Detail URL").alias("detail_url")
+    )
+
+
+@query("pages_from_files", sql="SELECT count(*) AS pages, CAST(sum(length(html)) AS bigint) AS chars FROM pages")
+def pages_from_files(spark, sf):
+    """Every page as a text file of its own partition folder, read as whole texts."""
+    path = scratch_path(spark, "files")
+    rows = table(spark, sf, "pages").select("page_id", F.regexp_replace("html", "[\\r\\n]", " ").alias("value"))
+    rows.withColumn("bucket", F.col("page_id") % 4).select("bucket", "value").write.partitionBy("bucket").text(path)
+    read = pages.read_pages(spark, f"{path}/*/*.txt")
+    lines = read.select(F.explode(F.split("html", "\n")).alias("line")).filter("line <> ''")
+    return lines.agg(F.count("*").alias("pages"), F.sum(F.length("line")).alias("chars"))

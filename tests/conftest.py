@@ -6,7 +6,7 @@ import pytest
 ROOT = pathlib.Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from kontor.session import build_session  # noqa: E402
+from kontor.session import build_session, drop_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -18,4 +18,5 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()

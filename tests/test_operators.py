@@ -45,6 +45,29 @@ def test_spread_join_equals_plain_join(spark, how):
         assert dealt.groupBy("p").count().agg(F.max("count")).first()[0] < 300
 
 
+@pytest.mark.parametrize("how", ["full", "right", "full_outer", "cross"])
+def test_spread_join_rejects_kinds_it_would_double(spark, how):
+    frame = spark.createDataFrame([("a", 1)], "k string, x int")
+    with pytest.raises(ValueError, match=how):
+        joins.spread_join(frame, frame.toDF("k", "y"), "k", F.col("k") == "a", how=how)
+
+
+def test_last_progress_row_wins(spark):
+    frame = spark.createDataFrame([("1", None), ("2", "own")], "IDI string, Category string")
+    progress = spark.createDataFrame([("1", "Z", 1), ("1", "A", 2)], "IDI string, Category string, row int")
+    merged = joins.merge_progress(frame, progress, labels=["Category"], order=["row"])
+    assert rows(merged, "IDI", "Category") == [("1", "A"), ("2", "own")]
+
+
+def test_softmax_is_one_exchange(spark):
+    from kontor.operators.scoring import softmax_scores
+
+    frame = spark.createDataFrame([("a", "x", 1000.0), ("a", "y", 1000.0), ("b", "x", 1.0)], "e string, label string, score double")
+    found = softmax_scores(frame, "e")
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert rows(found, "e", "label", "score") == [("a", "x", 0.5), ("a", "y", 0.5), ("b", "x", 1.0)]
+
+
 def test_anti_join_keeps_missing_right_harmless(spark):
     left = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     assert rows(joins.not_done(left, spark.createDataFrame([("a",), ("a",)], "k string"), "k"), "k") == [("b",), (None,)]
@@ -112,11 +135,9 @@ def shuffled(spark, n, partitions):
     return spark.createDataFrame(values, "a int, b int, v int").repartition(partitions)
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_numbers_are_dense_and_ordered(spark, few):
+def test_numbers_are_dense_and_ordered(spark):
     frame = shuffled(spark, 5000, 6)
-    number = numbering.number_few if few else numbering.number_rows
-    found = {(r["a"], r["b"]): r["row_no"] for r in number(frame, ["a", "b"]).collect()}
+    found = {(r["a"], r["b"]): r["row_no"] for r in numbering.number_rows(frame, ["a", "b"]).collect()}
     assert found == {key: i + 1 for i, key in enumerate(sorted(found))}
 
 
@@ -225,13 +246,6 @@ def test_constraints_find_breaches(spark):
     }
 
 
-def test_broadcast_only_when_small(spark):
-    frame = spark.range(100).withColumn("t", F.lit("x" * 10))
-    assert sizing.is_small(frame, 100) and not sizing.is_small(frame, 99) and not sizing.is_small(frame, 100, 500)
-    assert "ResolvedHint" in sizing.small_side(frame)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in sizing.small_side(frame, 10)._jdf.queryExecution().analyzed().toString()
-
-
 # --- scores and attempts ----------------------------------------------------------
 def test_best_label_ties(spark):
     frame = spark.createDataFrame([(1, "b", 0.5), (1, "a", 0.5), (2, "z", 0.9), (2, "y", 0.1)], "e int, label string, score double")
@@ -330,12 +344,9 @@ def test_taxonomy(spark, tmp_path):
     assert rows(taxonomy.known(claimed, "c", "s"), "c", "known") == [("A", False), ("Z & Y", True), ("z & y", False), (None, False)]
 
 
-def test_large_taxonomy_is_not_put_into_rows(spark):
+def test_taxonomy_join_has_no_hint(spark):
     nested = spark.sql("SELECT transform(sequence(1, 50), i -> named_struct('category', string(i), 'subcategories', array('x'))) AS categories")
-    taxonomy = Taxonomy.from_nested(nested, max_rows=49)
-    assert not taxonomy.small
-    with pytest.raises(ValueError):
-        taxonomy.text()
+    taxonomy = Taxonomy.from_nested(nested)
     assert taxonomy.known(spark.createDataFrame([("7", "x")], "c string, s string"), "c", "s").first()["known"]
 
 

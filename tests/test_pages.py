@@ -157,8 +157,35 @@ def test_directory_run(spark, tmp_path):
     write_csv(partial, str(tmp_path / "partial"))
     merged = directory.run(spark, companies, site_pages, output, SITE, str(tmp_path / "partial"))
     assert merged.filter("Address IS NOT NULL").count() == 1
-    # a keyed overlay keeps one record per name
-    assert merged.count() == 3
+    # namesakes keep a record each
+    assert sorted(row["IDI"] for row in merged.select("IDI").collect()) == ["1", "2", "3", "4"]
+
+
+def test_directory_keeps_namesakes_and_new_ids(spark, tmp_path):
+    from kontor.sources.tabular import write_csv
+
+    site_pages = spark.createDataFrame([
+        ("https://h.ch/s/Acme?r=1", "<a class='hit' href='/d/1'></a>"), ("https://h.ch/d/1", "<p class='contact'>091 123 45 67</p>"),
+    ], "url string, html string")
+    output, temporary = str(tmp_path / "listing"), str(tmp_path / "temporary")
+    first = spark.createDataFrame([("Acme", "CHE-1"), ("Acme", "CHE-2"), ("Zed", "CHE-3")], "Ditta string, IDI string")
+    directory.run(spark, first, site_pages, output, SITE)
+    partial = directory.listing(spark, output).drop("ordinal").filter("IDI = 'CHE-3'").withColumn("Address", F.lit("late"))
+    write_csv(partial, temporary)
+    more = first.unionByName(spark.createDataFrame([("Acme", "CHE-9"), ("Acme", None)], "Ditta string, IDI string"))
+    found = directory.run(spark, more, site_pages.limit(0), output, SITE, temporary)
+    assert sorted(((row["IDI"], row["Phone Numbers"], row["Address"]) for row in found.collect()), key=repr) == sorted([
+        ("CHE-1", "0911234567", None), ("CHE-2", "0911234567", None), ("CHE-3", None, "late"), ("CHE-9", "0911234567", None),
+        (None, "0911234567", None)], key=repr)
+    assert directory.run(spark, more, site_pages, output, SITE).count() == 5
+
+
+def test_directory_goes_on_after_a_break(spark, tmp_path):
+    companies = spark.createDataFrame([(f"N{i}", str(i)) for i in range(7)], "Ditta string, IDI string")
+    none = spark.createDataFrame([], "url string, html string")
+    output = str(tmp_path / "listing")
+    assert directory.run(spark, companies, none, output, SITE, chunk=3, chunks=1).count() == 3
+    assert directory.run(spark, companies, none, output, SITE, chunk=3).count() == 7
 
 
 def test_register_skips_what_is_done(spark):

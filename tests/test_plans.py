@@ -94,7 +94,9 @@ def test_register_collection_is_incremental(spark, tmp_path):
     found = register.collect_results(spark, first, listing)
     assert rows(register.collect_extracts(spark, found, extracts, output), "source_idi", "Purpose") == [("CHE-000.000.001", "does one")]
     found = register.collect_results(spark, second, listing)
-    assert found.columns == ["Ditta", "Estratto cantonale", "IDI"] and found.count() == 2
+    assert found.columns == ["Ditta", "Estratto cantonale", "IDI", "page", "position"] and found.count() == 2
+    found = register.collect_results(spark, first.unionByName(second), listing)
+    assert found.count() == 2
     for _ in range(2):
         all_rows = register.collect_extracts(spark, found, extracts, output)
     assert rows(all_rows, "source_idi", "Purpose") == [("CHE-000.000.001", "does one"), ("CHE-000.000.002", "does two")]

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from kontor.operators.projection import pick
 from kontor.plans import cleanup, enrichment, normalised
-from kontor.session import scratch_path, scratch_root
+from kontor.session import drop_scratch, scratch_path, scratch_root
 from kontor.sources import store, tabular
 from kontor.sources.versions import VersionedTable
 
@@ -71,8 +71,7 @@ def test_append_reconciles_columns(spark, tmp_path):
 def test_records_to_columns(spark):
     frame = spark.sql("SELECT map('b', '1', 'a', '2') AS r UNION ALL SELECT map('c', '3')")
     assert tabular.records_to_columns(frame, "r").columns == ["a", "b", "c"]
-    with pytest.raises(ValueError):
-        tabular.records_to_columns(frame, "r", max_keys=2)
+    assert tabular.records_to_columns(frame, "r", ["c"]).columns == ["c"]
 
 
 # --- staged replacement -----------------------------------------------------------
@@ -108,6 +107,33 @@ def test_promote(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "final")).count() == 5 and not (tmp_path / "temp").exists()
 
 
+def test_append_goes_by_the_header(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tabular.append_csv(spark.createDataFrame([("1", "2")], "a string, b string"), path)
+    tabular.append_csv(spark.createDataFrame([("4", "3")], "b string, a string"), path)
+    assert rows(tabular.scan_csv(spark, path), "a", "b") == [("1", "2"), ("3", "4")]
+    with pytest.raises(ValueError, match="do not fit"):
+        tabular.append_csv(spark.createDataFrame([("4", "3")], "b string, c string"), path)
+
+
+def test_scan_rejects_files_with_other_headers(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    (path / "1.csv").write_text("a,b\n1,2\n")
+    (path / "2.csv").write_text("b,a\n4,3\n")
+    with pytest.raises(Exception, match="header"):
+        tabular.scan_csv(spark, str(path)).collect()
+
+
+def test_first_after_appends_is_the_older_row(spark, tmp_path):
+    for i in range(4):
+        path = str(tmp_path / f"t{i}")
+        for value in ("old", "new"):
+            tabular.append_csv(spark.createDataFrame([("k", value)], "IDI string, v string"), path)
+        cleanup.remove_duplicates(spark, path)
+        assert rows(tabular.scan_csv(spark, path), "v") == [("old",)]
+
+
 def test_insert_absent(spark, tmp_path):
     path = str(tmp_path / "t")
     store.insert_absent(spark.createDataFrame([("a", 2), ("a", 1), (None, 3)], "k string, v int"), path, ["k"], ["v"])
@@ -128,14 +154,38 @@ def test_versions(spark, tmp_path):
     assert rows(kept.current(), "k", "o", "v") == expected
     kept.upsert(two, 1)
     kept.compact()
-    assert rows(kept.current(), "k", "o", "v") == expected and kept.versions() == [4]
+    assert rows(kept.current(), "k", "o", "v") == expected and len(kept.versions()) == 1
     kept.upsert(one, 0)
     assert rows(kept.current(), "k", "o", "v") == expected
     kept.compact()
-    assert kept.versions() == [4]
+    assert len(kept.versions()) == 1
     kept.upsert(spark.createDataFrame([("a", 2, "newest")], schema), 2)
     kept.compact()
-    assert rows(kept.current(), "k", "v") == [("a", "newest"), ("b", "z")] and kept.versions() == [6]
+    assert rows(kept.current(), "k", "v") == [("a", "newest"), ("b", "z")] and len(kept.versions()) == 1
+
+
+def test_a_new_run_after_a_fold_loses_nothing(spark, tmp_path):
+    schema = spark.createDataFrame([], "k int, o int").schema
+    kept = VersionedTable(spark, str(tmp_path / "t"), ["k"], ["o"], schema)
+    kept.upsert(spark.createDataFrame([(1, 1)], schema), 0, "old")
+    kept.upsert(spark.createDataFrame([(2, 1)], schema), 1, "old")
+    kept.compact()
+    kept.upsert(spark.createDataFrame([(3, 1), (1, 1)], schema), 0, "new")
+    kept.compact()
+    assert rows(kept.current(), "k") == [(1,), (2,), (3,)]
+
+
+def test_interrupted_fold_is_folded_again(spark, tmp_path):
+    schema = spark.createDataFrame([], "k int, o int").schema
+    kept = VersionedTable(spark, str(tmp_path / "t"), ["k"], ["o"], schema)
+    for batch in range(3):
+        kept.upsert(spark.createDataFrame([(batch, 1)], schema), batch)
+    left = kept.versions()[0]
+    spark.read.parquet(f"{tmp_path}/t/version={left}").write.parquet(f"{tmp_path}/kept")
+    kept.compact()
+    store.rename(spark, f"{tmp_path}/kept", f"{tmp_path}/t/version={left}")
+    kept.compact()
+    assert rows(kept.current(), "k") == [(0,), (1,), (2,)] and len(kept.versions()) == 1
 
 
 # --- tables -----------------------------------------------------------------------
@@ -201,6 +251,30 @@ def test_scratch_is_the_named_folder(spark):
     assert scratch_path(spark, "x").startswith(scratch_root(spark)) and scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_local_scratch_lies_in_the_warehouse_and_goes(spark, tmp_path):
+    class Here:
+        class sparkContext:
+            master, applicationId, given = "local[2]", "test", []
+            getCheckpointDir = staticmethod(lambda: f"{Here.sparkContext.given[0]}/id" if Here.sparkContext.given else None)
+            setCheckpointDir = staticmethod(lambda path: Here.sparkContext.given.append(path))
+            getConf = staticmethod(dict)
+
+        class conf:
+            get = staticmethod(lambda key, default=None: str(tmp_path) if key == "spark.sql.warehouse.dir" else default)
+
+    assert scratch_root(Here) == f"{tmp_path}/scratch"
+
+
+def test_scratch_is_dropped(spark):
+    from kontor.operators.sizing import written
+
+    path = scratch_path(spark, "x").rpartition("/")[0]
+    written(spark.range(1))
+    assert store.exists(spark, path)
+    drop_scratch(spark)
+    assert not store.exists(spark, path)
+
+
 class Elsewhere:
     """A cluster session without a shared folder."""
 

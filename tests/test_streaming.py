@@ -47,7 +47,7 @@ def test_a_batch_that_fails_is_repeated_without_a_trace(spark, tmp_path):
     except Exception as error:
         assert "executor lost" in str(error)
     incremental.for_each_batch(stream(spark, source, schema), table.upsert, checkpoint)
-    assert state(table) == [("a", "one")] and table.versions() == [1]
+    assert state(table) == [("a", "one")] and len(table.versions()) == 1
 
 
 def test_append_once(spark, tmp_path):
