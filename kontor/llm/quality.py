@@ -145,7 +145,7 @@ def train(
     rows = features.select("label", "x.*", "o").toPandas().sort_values(["o", "label"])
     if rows.empty:
         return None
-    return fit(list(rows["words"]), np.array(rows["numbers"].tolist()), rows["label"].to_numpy(float))
+    return fit([np.asarray(one, np.int64) for one in rows["words"]], np.array(rows["numbers"].tolist()), rows["label"].to_numpy(float))
 
 
 def _inputs(docs: DataFrame, text: str, metadata: Sequence[str], *keys: str) -> DataFrame:
