@@ -23,9 +23,12 @@ from kontor.operators.numbering import batches
 from kontor.operators.projection import ensure_columns, quoted
 from kontor.operators.reports import two_level_distribution
 from kontor.operators.sizing import written
+from kontor.sources.tabular import append_csv, scan_or_empty
 from kontor.sources.taxonomy import Taxonomy
 
 LABELS = ("Category", "Subcategory")
+# The original saves after a handful of rows, one after the other; here many are asked at once.
+ROWS_AT_ONCE = V.SINGLE_PROMPT_BATCH * 2_000
 
 
 # --- score based --------------------------------------------------------------
@@ -145,6 +148,38 @@ def run_single_prompt(
     return apply_labels(prepared, single_outcome(replies, key, taxonomy), key)
 
 
+def run_saved(
+    rows: DataFrame, progress: DataFrame | None, key: str, name: str, purpose: str, taxonomy: Taxonomy,
+    answer: Callable[[DataFrame], DataFrame], output: str, errors: str, size: int = ROWS_AT_ONCE,
+    rounds: int | None = None,
+) -> DataFrame:
+    """The single-prompt round batch by batch, each one's labels saved before the next is asked.
+
+    Labels go to the CSV folder `output`, failed attempts to `errors`.  A run that breaks off,
+    or stops after `rounds` batches, goes on with the rows that have no label yet; rows that
+    were only rate-limited are asked again.  Only keys are numbered.  Returns all rows.
+    """
+    spark = rows.sparkSession
+    known = prepare(rows, progress, key)
+
+    def with_saved() -> DataFrame:
+        return prepare(known, scan_or_empty(spark, output, [key, *LABELS]), key)
+
+    prepared = with_saved()
+    open_keys = prepared.filter(pending(needed=purpose)).select(quoted(key)).filter(quoted(key).isNotNull()).distinct()
+    numbered = written(batches(open_keys, [key], size), "open-rows")
+    last = numbered.agg(F.max("batch_no")).first()[0]
+    found = 0 if last is None else last + 1
+    for number in range(found if rounds is None else min(found, rounds)):
+        asked = prepared.join(numbered.filter(F.col("batch_no") == number).select(quoted(key)), key)
+        replies = written(answer(single_requests(asked, key, name, purpose, taxonomy)), "replies")
+        failed = replies.filter(F.col("error").isNotNull()).select(quoted(key), "attempt", "error")
+        append_csv(failed, errors)
+        labels = single_outcome(replies, key, taxonomy).filter(F.col("category").isNotNull())
+        append_csv(labels.toDF(key, *LABELS), output)
+    return with_saved()
+
+
 def run_two_prompts(
     rows: DataFrame, progress: DataFrame | None, key: str, taxonomy: Taxonomy,
     answer: Callable[[DataFrame], DataFrame],

@@ -15,7 +15,7 @@ from kontor.sources.tabular import ORDINAL, scan_csv
 def remove_duplicates(
     spark: SparkSession, source: str, target: str | None = None, key: str = "IDI"
 ) -> DataFrame:
-    """Keep the first row per key in file order; returns the one-row report (total, unique, duplicates).
+    """Keep the first row per key, in the order rows were written; returns the one-row report (total, unique, duplicates).
 
     Without duplicates nothing is sorted, and an input that is its own target is left alone.
     """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from kontor.operators.joins import not_done
 from kontor.operators.projection import quoted, reshape
 from kontor.operators.sizing import written
 from kontor.sources.pages import extract_records, table_records, with_page
+from kontor.sources.store import replace_csv
 from kontor.sources.tabular import append_csv, append_reconciled, records_to_columns, scan_or_empty
 
 # The extract layout with the request's id under a name of its own: Spark holds
@@ -41,9 +44,25 @@ def extract_requests(register: DataFrame) -> DataFrame:
     return reshape(first, {"source_idi": V.ID_HEADER, "company_name": "Ditta", "url": V.LINK_HEADER})
 
 
+def linked_records(requests: DataFrame, pages: DataFrame) -> DataFrame:
+    """Requests with `record`: missing without a page, a struct of NULLs from a page that could not be read."""
+    return with_page(requests, "url", pages, lambda some: extract_records(some, keep=["url"]))
+
+
+def failures(linked: DataFrame) -> DataFrame:
+    """The requests without a readable record, and why."""
+    fields = [F.col("record")[name].isNotNull() for name in linked.schema["record"].dataType.names]
+    readable = F.col("record").isNotNull() & reduce(lambda a, b: a | b, fields)
+    why = F.when(F.col("record").isNull(), "no page").otherwise("unreadable page")
+    return linked.filter(~readable).select(*EXTRACT_COLUMNS[:3], why.alias("error"))
+
+
 def extracts(requests: DataFrame, pages: DataFrame) -> DataFrame:
     """The extract record of each request; requests without a readable record are dropped."""
-    linked = with_page(requests, "url", pages, lambda some: extract_records(some, keep=["url"]))
+    return as_extracts(linked_records(requests, pages))
+
+
+def as_extracts(linked: DataFrame) -> DataFrame:
     records = drop_failed(linked, "record")
     return records.select(
         *EXTRACT_COLUMNS[:3], *(F.col("record")[name].alias(name) for name in EXTRACT_COLUMNS[3:])
@@ -64,11 +83,19 @@ def collect_results(spark: SparkSession, pages: DataFrame, output: str, page: st
     return scan_or_empty(spark, output, rows.columns, strip_blanks=True)
 
 
-def collect_extracts(spark: SparkSession, register: DataFrame, pages: DataFrame, output: str) -> DataFrame:
-    """Add the extracts of register rows that have none yet; a second run adds nothing.  Returns all."""
+def collect_extracts(
+    spark: SparkSession, register: DataFrame, pages: DataFrame, output: str, errors: str | None = None
+) -> DataFrame:
+    """Add the extracts of register rows that have none yet; a second run adds nothing.  Returns all.
+
+    Requests that fail now are written to `errors`, with the reason; the next run asks them again.
+    """
     done = scan_or_empty(spark, output, EXTRACT_COLUMNS)
     open_rows = written(not_done(extract_requests(register), done, "source_idi"), "open-requests")
     if open_rows.isEmpty():
         return done
-    append_csv(extracts(open_rows, pages), output)
+    linked = written(linked_records(open_rows, pages), "linked")
+    append_csv(as_extracts(linked), output)
+    if errors is not None:
+        replace_csv(failures(linked), errors)
     return scan_or_empty(spark, output, EXTRACT_COLUMNS)

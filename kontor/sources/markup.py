@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 # One token: comment, silent element, tag, declaration, or text.
@@ -102,13 +102,29 @@ class Table:
         self.row = None
 
 
+def inside(parts: Iterable[tuple[str, str, str]], panel: str) -> Iterator[tuple[str, str, str]]:
+    """The tokens within the elements whose id is `panel`."""
+    tag, depth = "", 0
+    for kind, name, attrs in parts:
+        if depth:
+            depth += (name == tag) * ((kind == "open") - (kind == "close"))
+            if depth:
+                yield kind, name, attrs
+        elif kind == "open" and panel in attrs and attributes(attrs).get("id") == panel:
+            tag, depth = name, 1
+
+
 def table_rows(html: str) -> list[dict]:
     """All rows of all tables in document order; a cell or row ends where the next begins."""
+    return rows_of(tokens(html))
+
+
+def rows_of(parts: Iterable[tuple[str, str, str]]) -> list[dict]:
     rows: list[dict] = []
     tables: list[Table] = []
     runs: list[str | None] = []
     count = 0
-    for kind, name, attrs in tokens(html):
+    for kind, name, attrs in parts:
         if kind == "text":
             if tables:
                 runs.append(name)
@@ -159,11 +175,17 @@ def table_rows(html: str) -> list[dict]:
 
 def elements(html: str, ids: frozenset[str], classes: frozenset[str], links: bool) -> list[dict]:
     """Elements with a wanted id or class, and links, in document order."""
+    return elements_of(tokens(html), ids, classes, links)
+
+
+def elements_of(
+    parts: Iterable[tuple[str, str, str]], ids: frozenset[str], classes: frozenset[str], links: bool
+) -> list[dict]:
     found: list[Piece] = []
     runs: list[str | None] = []
     stack: list[tuple[str, Piece | None]] = []
     opened: Counter[str] = Counter()
-    for kind, name, attrs in tokens(html):
+    for kind, name, attrs in parts:
         if kind == "text":
             runs.append(name)
             continue

@@ -62,6 +62,23 @@ def elements(html: Column | str, ids: Sequence[str] = (), classes: Sequence[str]
     return found.asNondeterministic()(as_col(html))
 
 
+def sheets(html: Column | str, panel: str, block: str) -> Column:
+    """struct<rows, blocks> of a page read once: table rows of the panel, and the elements with the block's id."""
+
+    @F.arrow_udf(f"struct<rows:{ROWS},blocks:{ELEMENTS}>")
+    def read(pages: pa.Array) -> pa.Array:
+        both = []
+        for page in pages:
+            parts = list(markup.tokens(page.as_py() or ""))
+            both.append({
+                "rows": markup.rows_of(markup.inside(parts, panel)),
+                "blocks": markup.elements_of(parts, frozenset([block]), frozenset(), False),
+            })
+        return pa.array(both, type=pa.struct([("rows", _ROWS_ARROW), ("blocks", _ELEMENTS_ARROW)]))
+
+    return read.asNondeterministic()(as_col(html))
+
+
 def with_page(
     rows: DataFrame, url: str, pages: DataFrame, parse: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
@@ -160,11 +177,10 @@ def current_text(
 def extract_records(pages: DataFrame, keep: Sequence[str] = ("page_id",), html: str = "html") -> DataFrame:
     """Register extract pages to title fields, current address and current purpose.
 
-    A page without any of them has a record of NULLs; see `filters.drop_failed`.
+    Headers count inside the content panel only.  A page without any of the fields has a
+    record of NULLs; see `filters.drop_failed`.
     """
-    read = pages.select(
-        *keep, table_rows(html).alias("rows"), elements(html, ids=[V.TITLE_ID]).alias("blocks")
-    )
+    read = pages.select(*keep, sheets(html, V.PANEL_ID, V.TITLE_ID).alias("sheet")).select(*keep, "sheet.*")
     title = title_fields(F.get("blocks", F.lit(0))["lines"])
     return read.withColumn("title", title).select(
         *keep,

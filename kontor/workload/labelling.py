@@ -10,6 +10,7 @@ from kontor.functions.text import hypothesis, model_text
 from kontor.operators import attempts, joins, numbering, reports, scoring
 from kontor.operators.filters import pending
 from kontor.plans import classification
+from kontor.session import scratch_path
 from kontor.sources.taxonomy import SCHEMA, Taxonomy
 from kontor.workload import bindings as B
 from kontor.workload.bindings import query, table
@@ -358,6 +359,31 @@ def single_prompt_round(spark, sf):
     )
 
 
+@query("classification_resume", views=("v_registered", "v_company"), sql=DRIVER_SQL)
+def classification_resume(spark, sf):
+    """The round saved batch by batch, broken off after the first of about three and started again."""
+    rows = B.company(spark, sf).drop("Category", "Subcategory")
+    done = B.classified(spark, sf).join(
+        table(spark, sf, "labels").select(B.idi("doc_id").alias("IDI")), "IDI", "left_semi"
+    )
+    replies = B.responses(spark, sf).select(B.idi("entity").alias("IDI"), "text")
+
+    def answer(requests):
+        return requests.select("IDI").join(replies, "IDI").select(
+            "IDI", F.lit(1).alias("attempt"), "text", F.lit(None).cast("string").alias("error")
+        )
+
+    output, errors = scratch_path(spark, "labels"), scratch_path(spark, "errors")
+    size = -(-table(spark, sf, "documents").count() // 3)
+    for rounds in (1, None):
+        found = classification.run_saved(
+            rows, done, "IDI", "Ditta", "Purpose", B.taxonomy(spark, sf), answer, output, errors, size, rounds
+        )
+    return found.select(
+        F.col("IDI").alias("idi"), F.col("Category").alias("category"), F.col("Subcategory").alias("subcategory")
+    )
+
+
 @query("two_prompt_round", views=("v_classified",), sql="""
     SELECT "IDI" AS idi,
         CASE WHEN quality = 1 THEN "Category" WHEN c_custkey % 5 = 0 THEN 'Other' ELSE "Category" END AS category,

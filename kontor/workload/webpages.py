@@ -252,3 +252,18 @@ def pages_from_files(spark, sf):
     read = pages.read_pages(spark, f"{path}/*/*.txt")
     lines = read.select(F.explode(F.split("html", "\n")).alias("line")).filter("line <> ''")
     return lines.agg(F.count("*").alias("pages"), F.sum(F.length("line")).alias("chars"))
+
+
+@query("extract_errors", sql=f"""
+    SELECT {B.idi_sql('c_custkey')} AS idi, c_name AS company,
+        CASE WHEN c_custkey % 7 = 0 THEN 'no page' ELSE 'unreadable page' END AS error
+    FROM customer WHERE c_custkey % 5 = 0 OR c_custkey % 7 = 0""")
+def extract_errors(spark, sf):
+    """Every fifth page is unreadable and every seventh is missing: both are kept, with the reason."""
+    listing, output, errors = (scratch_path(spark, name) for name in ("register", "extracts", "errors"))
+    found = register.collect_results(spark, result_pages(spark, sf), listing)
+    number = F.regexp_extract("url", "(\\d+)$", 1).cast("bigint")
+    register.collect_extracts(spark, found, extract_pages(spark, sf).filter(number % 7 != 0), output, errors)
+    return tabular.scan_csv(spark, errors).select(
+        F.col("source_idi").alias("idi"), F.col("company_name").alias("company"), "error"
+    )

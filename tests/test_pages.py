@@ -3,6 +3,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from kontor import fixed_values as V
 from kontor.operators.filters import drop_failed
 from kontor.operators.joins import not_done
 from kontor.plans import directory, register
@@ -47,7 +48,7 @@ def test_short_rows_and_equal_headers(spark):
 
 def section(header, *rows):
     lines = "".join("<tr>" + "".join(f"<td class='{c}'>{t}</td>" for t, c in row) + "</tr>" for row in rows)
-    return f"<table><tr><th>In</th><th>Out</th><th>{header}</th></tr>{lines}</table>"
+    return f"<div id='{V.PANEL_ID}'><table><tr><th>In</th><th>Out</th><th>{header}</th></tr>{lines}</table></div>"
 
 
 def row(value, cls="", width=3):
@@ -86,6 +87,19 @@ def test_unreadable_extracts_are_dropped(spark):
     assert [r["page_id"] for r in drop_failed(found, "record").collect()] == [2]
 
 
+def test_headers_outside_the_panel_do_not_count(spark):
+    table = "<table><tr><th>In</th><th>Out</th><th>Purpose</th></tr><tr><td>1</td><td>2</td><td>advert</td></tr></table>"
+    assert extract(spark, table)["Purpose"] is None
+    html = table + "<div>" + section("Purpose", row("<div>real</div> text")) + table + "</div>" + table
+    assert extract(spark, html)["Purpose"] == "real text"
+
+
+def test_failures_keep_the_reason(spark):
+    requests = spark.createDataFrame([("1", "A", "u0"), ("2", "B", "u1"), ("3", "C", "gone")], "source_idi string, company_name string, url string")
+    linked = register.linked_records(requests, page_table(spark, section("Purpose", row("p")), "<p>busy</p>"))
+    assert sorted((r["source_idi"], r["error"]) for r in register.failures(linked).collect()) == [("2", "unreadable page"), ("3", "no page")]
+
+
 def test_contact_records(spark):
     html = (
         "<div class='place x'> Way 1 <br><span> 6900 </span><span>Lugano</span></div><div class='place'>second</div>"

@@ -83,7 +83,7 @@ def test_low_scores_are_not_asked_again(spark):
 
 
 RESULT = "<table><thead><tr><th>Ditta</th><th>IDI</th><th>Estratto cantonale</th></tr></thead><tbody><tr><td>{0}</td><td>CHE-000.000.00{1}</td><td><a href='u{1}'>x</a></td></tr></tbody></table>"
-EXTRACT = "<table><tr><th>1</th><th>2</th><th>Purpose</th></tr><tr><td></td><td></td><td>does {0}</td></tr></table>"
+EXTRACT = "<div id='idAuszugForm:auszugContentPanel'><table><tr><th>1</th><th>2</th><th>Purpose</th></tr><tr><td></td><td></td><td>does {0}</td></tr></table>"
 
 
 def test_register_collection_is_incremental(spark, tmp_path):
