@@ -23,6 +23,7 @@ _PLACE_BITS = 33
 
 def _sliced(df: DataFrame, order: Sequence[str]) -> DataFrame:
     columns = [quoted(name).asc_nulls_last() for name in order]
+    columns.append(F.xxhash64(*(quoted(name) for name in df.columns)))
     slot = F.monotonically_increasing_id()
     ordered = df.repartitionByRange(*columns).sortWithinPartitions(*columns).withColumn("__slot", slot)
     kept = written(ordered, "ordered")
@@ -45,7 +46,7 @@ def _with_offset(sliced: DataFrame, measure: Column, name: str) -> DataFrame:
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
-    """Dense numbers 1..n by `order`, which must be a full order of the rows."""
+    """Dense numbers 1..n by `order`; ties go by the row's hash, so only equal rows could change places in a rerun."""
     numbered = _with_offset(_sliced(df, order), F.count("*"), "__before")
     return numbered.select(*(quoted(c) for c in df.columns), (F.col("__before") + F.col("__place") + 1).alias(name))
 

@@ -115,10 +115,11 @@ def prepare(df: DataFrame, progress: DataFrame | None, key: str) -> DataFrame:
 
 
 def request_batches(
-    rows: DataFrame, order: Sequence[str], size: int, is_pending: Column | None = None
+    rows: DataFrame, order: Sequence[str], size: int, is_pending: Column | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Pending rows cut into numbered batches."""
-    return batches(rows.filter(pending() if is_pending is None else is_pending), order, size)
+    """Pending rows cut into numbered batches: the order's columns and those to `keep`, no others are written."""
+    open_rows = rows.filter(pending() if is_pending is None else is_pending)
+    return batches(open_rows.select(*(quoted(name) for name in dict.fromkeys([*order, *keep]))), order, size)
 
 
 def apply_labels(rows: DataFrame, labels: DataFrame, key: str) -> DataFrame:

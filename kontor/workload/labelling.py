@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kontor import fixed_values as V
@@ -215,9 +216,9 @@ def score_cascade(spark, sf):
     ).agg(F.count("*").alias("n"))
     won = first.select("entity", F.col("label").alias("category"))
     asked = parts.join(won, ["entity", "category"])
-    whole = asked.groupBy("entity").agg(F.sum("n").alias("whole"))
+    whole = F.sum("n").over(Window.partitionBy("entity"))
     second = scoring.best_label(
-        asked.join(whole, "entity").select("entity", "label", (F.col("n") / F.col("whole")).alias("score")), "entity"
+        asked.select("entity", "label", (F.col("n") / whole).alias("score")), "entity"
     ).withColumnsRenamed({"label": "sub", "score": "sub_score"})
     both = first.join(second, "entity")
     outcome = scores.cascade("label", "score", "sub", "sub_score", CASCADE_SCORE)
@@ -315,7 +316,7 @@ def _driver(spark, sf):
         table(spark, sf, "labels").select(B.idi("doc_id").alias("IDI")), "IDI", "left_semi"
     )
     prepared = classification.prepare(rows, done, "IDI")
-    planned = classification.request_batches(prepared.select("ordinal", "IDI", "Category", "Purpose"), ["ordinal"], V.SINGLE_PROMPT_BATCH)
+    planned = classification.request_batches(prepared, ["ordinal"], V.SINGLE_PROMPT_BATCH, keep=["IDI"])
     replies = planned.join(B.responses(spark, sf), F.col("ordinal") == F.col("entity")).select("IDI", "batch_no", "text")
     labels = classification.parse_replies(replies, B.taxonomy(spark, sf))
     return classification.apply_labels(prepared, labels, "IDI")

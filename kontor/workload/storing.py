@@ -64,7 +64,8 @@ def table_layout(spark, sf):
     main = enrichment.flat_model(rows).companies
     store.write_table(main, path, partition_by=["category"], sort_by=["idi"])
     stored = enrichment.Directory(spark.read.schema(main.schema).parquet(path), main)
-    return stored.with_contacts().select("category", "idi", "phone_numbers", "email", "website")
+    stored.register_views()
+    return spark.table(enrichment.CONTACTS_VIEW).select("category", "idi", "phone_numbers", "email", "website")
 
 
 def _events(spark, sf):
