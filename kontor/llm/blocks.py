@@ -28,6 +28,8 @@ HINTS = frozenset(
     "masthead topbar toolbar comment comments disqus reply replies respond popup modal overlay skip pagination pager "
     "copyright legal disclaimer search form".split()
 )
+# What holds the text where no article or main element does.
+CONTENT = frozenset("article post entry story content main".split())
 # Of the page, not of an article.
 OUTER = frozenset("header site-header page-header".split())
 UNHINTED = frozenset("html body article main".split())
@@ -45,7 +47,7 @@ NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 FEATURES = (
     "words", "link density", "words before", "link density before", "words after", "link density after",
-    "around", "hinted", "in article", "heading", "list item", "sentence end",
+    "around", "hinted", "in article", "heading", "list item", "paragraph", "sentence end",
 )
 
 
@@ -58,6 +60,7 @@ class Block:
     article: bool
     heading: bool
     item: bool
+    paragraph: bool
     words: int = field(init=False)
 
     def __post_init__(self):
@@ -68,9 +71,9 @@ class Block:
         return min(1.0, self.linked / self.words)
 
 
-def hinted(attributes: str) -> tuple[bool, bool]:
-    """Whether class, id, role or style say that a tag is no content; whether they say so outside articles."""
-    inner = outer = False
+def hinted(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether class, id, role or style say that a tag is no content; that it is none outside articles; that it is."""
+    inner = outer = content = False
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden":
@@ -79,15 +82,21 @@ def hinted(attributes: str) -> tuple[bool, bool]:
             inner |= "display:none" in value.replace(" ", "").lower()
         elif name == "role":
             inner |= value.strip().lower() in ROLES
+            content |= value.strip().lower() in ("main", "article")
         else:
             for one in value.split():
                 parts = [part.lower() for part in NAME_PART.findall(one)]
                 outer |= one.lower() in OUTER
+                content |= not CONTENT.isdisjoint(parts)
                 inner |= any(
                     part in HINTS and (i == 0 or parts[i - 1] not in ("has", "with", "no", "without"))
                     for i, part in enumerate(parts)
                 )
-    return inner, outer
+    return inner, outer, content and not inner
+
+
+def _kinds(tag: str) -> tuple[bool, bool, bool]:
+    return tag in HEADINGS, tag in ("li", "dd", "dt"), tag in ("p", "blockquote", "pre", "td", "th", "figcaption")
 
 
 class _Reader:
@@ -111,7 +120,7 @@ class _Reader:
             text = " ".join(html.unescape("".join(self.parts)).split())
             if text:
                 top = self.open[-1] if self.open else ("", False, False, False)
-                self.blocks.append(Block(text, self.linked, top[1], top[2], top[3], self.last in HEADINGS, self.last in ("li", "dd", "dt")))
+                self.blocks.append(Block(text, self.linked, top[1], top[2], top[3], *_kinds(self.last)))
         self.parts, self.linked = [], 0
 
     def start(self, tag: str, attributes: str) -> None:
@@ -127,8 +136,8 @@ class _Reader:
             return
         self.last = tag
         _, around, hint, article = self.open[-1] if self.open else ("", False, False, False)
-        inner, outer = hinted(attributes) if attributes and tag not in UNHINTED else (False, False)
-        article = article or tag in ("article", "main")
+        inner, outer, content = hinted(attributes) if attributes and tag not in UNHINTED else (False, False, False)
+        article = article or content or tag in ("article", "main")
         around = around or tag in AROUND or (tag == "header" and not article)
         if tag == "p" and self.open and self.open[-1][0] == "p":
             self.open.pop()  # a paragraph ends where the next begins
@@ -172,6 +181,6 @@ def features(rows: list[Block]) -> list[list[float]]:
     for i, one in enumerate(rows):
         before, after = rows[i - 1] if i else None, rows[i + 1] if i + 1 < len(rows) else None
         near = [x for other in (before, after) for x in ((other.words, other.density) if other else (-1, -1))]
-        flags = [one.around, one.hinted, one.article, one.heading, one.item, one.text[-1] in ".!?…\"”»:;。"]
+        flags = [one.around, one.hinted, one.article, one.heading, one.item, one.paragraph, one.text[-1] in ".!?…\"”»:;。"]
         result.append([float(x) for x in (one.words, one.density, *near, *flags)])
     return result

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kontor.llm.blocks import blocks, features
 
-DEPTH, LEAF = 6, 2
+DEPTH, LEAF = 8, 2
 
 _SENTENCE = "the council agreed on a new plan for the old harbour after a long debate among all its members"
 
@@ -39,7 +39,7 @@ PAGES = (
     "<form><label>-{2}</label><p>-{15}</p></form><article><p>+{26}</p><table><tr><td>+{2}</td><td>+{3}</td></tr></table></article><footer><p>-{26}</p></footer>",
     "<article><h2>+{4}</h2><p>+{3}</p><aside><p>-{28}</p></aside><p>+{31}</p><form>-{9}</form><footer>-{10}</footer></article>",
     "<div role='alert'>-{16}</div><main><p>+{38}</p><p>+{1}</p><nav><a href='/x'>-next</a></nav></main>",
-    "<p><a href='/1'>-{6}</a></p><p><a href='/2'>-{7}</a></p><p>+{48}</p><p>+{52}</p><p><a href='/3'>-{9}</a></p><p>-{3}</p>",
+    "<p><a href='/1'>-{6}</a></p><p><a href='/2'>-{7}</a></p><p>+{48}</p><p>+{52}</p><p><a href='/3'>-{9}</a></p><div>-{3}</div>",
     "<article><p>+{20}</p><p>+{15} <a href='/in'>{5}</a></p><p>+{44}</p></article><div class='related'><a href='/r'>-{8}</a></div><div class='newsletter'>-{18}</div>",
     "<body><div class='page has-sidebar'><article><p>+{22}</p><p>+{6}</p></article></div><div class='widget'>-{21}</div></body>",
     "<article><h1>+{3}</h1><p>+{2}</p></article><section class='reader-comments'><article><p>-{30}</p></article></section>",
@@ -51,6 +51,15 @@ PAGES = (
     "<div class='cookie-consent'><p>-{38}</p></div><div class='text'><p>+{40}</p><p>+{29}</p></div><div class='sponsored'><p>-{34}</p></div>",
     "<div class='promo'><p>-{29}</p></div><div class='entry'><p>+{36}</p><p>+{44}</p></div><div class='sidebar-widget'><p>-{31}</p></div>",
     "<nav><p>-{30}</p><p>-{47}</p></nav><div><p>+{50}</p><p>+{29}</p></div><form><p>-{42}</p></form><header><p>-{28}</p></header>",
+    "<div>-{3}</div><h1>+{4}</h1><p>+{9}</p><p>+{12}</p><p>+{5}</p><div>-{6}</div>",
+    "<div><a href='/'>-home</a></div><h2>+{6}</h2><p>+{3}</p><p>+{20}</p><h2>+{2}</h2><p>+{8}</p><div>-{2}</div>",
+    "<div>-{2}</div><div>-{3}</div><p>+{11}</p><p>+{30}</p>",
+    "<div>-{4}</div><h1>+{3}</h1><p>+{17}</p><p>+{6}</p>",
+    "<h1>+{5}</h1><p>+{22}</p><div>-{5}</div><p>+{13}</p><div>-{2}</div><p>+{9}</p>",
+    "<div>-{3}</div><div>+{35}</div><div>+{50}</div><div>-{4}</div>",
+    "<div>-{8}</div><p>+{4}</p><p>+{2}</p><p>+{3}</p><div>-{6}</div><div>-{5}</div>",
+    "<h2>+{2}</h2><p>+{3}</p><p>+{4}</p><div>-{7}</div>",
+    "+{40}",
     "<article><div class='advert'><p>-{14}</p></div><p>+{18}</p></article><ul class='menu'>{menu}</ul><div class='copyright'>-{6}</div>",
 )
 

@@ -42,6 +42,8 @@ def test_table_pages(spark):
     ("<article><p title='a>b'>kept &lt;b&gt; &#233;&nbsp;x</p></article>", "kept <b> é x"),
     ("<header><p>site</p></header><article><header><h1>T</h1></header><p>b</p><form>f</form><aside>s</aside></article>", "T\n\nb"),
     ("<main><p>b c d</p><section class='reader-comments'><p>says a reader</p></section></main><footer>f</footer>", "b c d"),
+    ("<div class='logo'>Site</div><div id='content'><h1>T</h1><p>a b</p><div class='ad'>x</div><p>c</p></div><div id='footer'>f</div>", "T\n\na b\n\nc"),
+    ("<ul class='menu'><li>m</li></ul><h1>T</h1><p>some words here</p><p>and some more</p><div class='sidebar'><p>s</p></div>", "T\n\nsome words here\n\nand some more"),
     ("<div class='page with-sidebar'><article><p>b</p></article></div><div class='cookie-bar'>We use cookies</div>", "b"),
 ])
 def test_pages(page, text):
