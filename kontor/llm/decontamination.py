@@ -92,9 +92,10 @@ def anchors(texts: DataFrame, known: DataFrame) -> DataFrame:
 def windows(texts: DataFrame, places: DataFrame) -> DataFrame:
     """(text_key, start, m, part): the shingles of each window; equal texts are cut once."""
     found = places.select("text_key", F.xxhash64("text_key").alias("h")).distinct()
-    wanted = texts.filter(held(found, "h")(F.xxhash64("text_key"))).join(found, "text_key", "left_semi")
-    once = wanted.groupBy("text_key").agg(F.first("text").alias("text"))
-    cut = shingled(once, "text").select("text_key", "shingles").join(places, "text_key")
+    likely = texts.filter(held(found, "h")(F.xxhash64("text_key")))
+    once = likely.groupBy("text_key").agg(F.first("text").alias("text"))  # copies go before anything is moved
+    wanted = once.join(found, "text_key", "left_semi")
+    cut = shingled(wanted, "text").select("text_key", "shingles").join(places, "text_key")
     return cut.select("text_key", "start", "m", F.expr("slice(shingles, start + 1, stop - start)").alias("part"))
 
 

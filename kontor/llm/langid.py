@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from kontor.llm.frames import ROW, field, packed, unpacked
 
@@ -17,7 +18,7 @@ ORDERS = 3
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 SMOOTHING = 0.5
-# Learned from about this many documents of a language, picked by a hash of their text.
+# Learned from about this many documents of a language, picked by a hash of their rows.
 DOCUMENTS_PER_LANGUAGE = 2_000
 # A text is counted in blocks, so that a very long one needs no more memory.
 BLOCK = 1 << 18
@@ -80,17 +81,19 @@ class Model:
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = DOCUMENTS_PER_LANGUAGE) -> Model:
     """A model from rows with a text and a language; rows without either are left out.
 
-    About `per_language` documents of each language are read, in any order with the same
-    result.  The matrix is languages x 32,768 numbers: its size depends on the closed set
+    About `per_language` documents of each language are read, picked by a hash of the row, in
+    any order with the same result.  The matrix is languages x 32,768 numbers: its size depends on the closed set
     of language codes alone.  Without labelled rows the model knows no language.
     """
-    rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).dropna()
+    plain = [F.col(f"`{field.name}`") for field in labelled.schema if isinstance(field.dataType, AtomicType)]
+    share = (F.pmod(F.xxhash64(*plain), F.lit(1 << 20)) / (1 << 20)).alias("place")
+    rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), share).dropna()
     sizes = {row.lang: row.n for row in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model([], np.zeros(0), np.zeros((BUCKETS, 0)))
     languages = sorted(sizes)
-    share = F.create_map(*[F.lit(x) for one in languages for x in (one, min(1.0, per_language / sizes[one]))])
-    picked = rows.filter((F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)) < F.element_at(share, F.col("lang")))
+    bounds = F.create_map(*[F.lit(x) for one in languages for x in (one, min(1.0, per_language / sizes[one]))])
+    picked = rows.filter(F.col("place") < F.element_at(bounds, F.col("lang"))).drop("place")
     sums = picked.mapInPandas(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((BUCKETS, len(languages)))
     place = {one: i for i, one in enumerate(languages)}
