@@ -11,7 +11,8 @@ from pyspark.sql import SparkSession
 # Runtime SQL settings the operators are designed for.  AQE splits hot join
 # partitions by measured size; forcing it accepts one more exchange rather than
 # leaving a hot key in a single task when two joins share a partitioning.  Stream
-# state with one entry per key lives in RocksDB, not on the heap.
+# state with one entry per key lives in RocksDB, not on the heap.  Whole texts and pages
+# go to Python in batches of few rows, which bounds what a worker and its JVM hold twice.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,6 +22,7 @@ SQL_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
