@@ -35,7 +35,7 @@ from kontor.session import scratch_path
 
 TEXTS_AT_ONCE = 256
 # Pieces a worker remembers in each of two generations, about 200 bytes each.
-PIECES_KEPT = 500_000
+PIECES_KEPT = 300_000
 READ_BYTES = 8 * 1024 * 1024
 
 
