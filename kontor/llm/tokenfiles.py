@@ -35,7 +35,7 @@ from kontor.session import scratch_path
 
 TEXTS_AT_ONCE = 256
 # Pieces a worker remembers in each of two generations, about 200 bytes each.
-PIECES_KEPT = 300_000
+PIECES_KEPT = 500_000
 READ_BYTES = 8 * 1024 * 1024
 
 
@@ -71,35 +71,48 @@ class PieceEncoder:
         return self.piece("", "\n").join(map(self.line, self.LINE.split(text)))
 
     def line(self, text: str) -> bytes:
-        pieces = self.CUT.split(text)
-        found = list(map(self.known[" "].get, pieces))
+        pieces, known = self.CUT.split(text), self.known[" "]
+        found = list(map(known.get, pieces))
         found[0] = self.piece("", pieces[0])
-        if None in found:
-            found = [self.piece(" ", piece) if one is None else one for piece, one in zip(pieces, found)]
-        return b"".join(found)
+        try:
+            at = 0
+            while True:
+                at = found.index(None, at)
+                found[at] = known[pieces[at]] = self.new(" ", pieces[at])
+        except ValueError:
+            return b"".join(found)
 
     def piece(self, before: str, piece: str) -> bytes:
-        """Ids of a piece that follows `before`: remembered, taken over from the last generation, or new."""
-        known = self.known[before].get(piece) or self.older[before].get(piece)
-        if known is None:
+        """Ids of a piece that follows `before`."""
+        known = self.known[before]
+        found = known.get(piece)
+        if found is None:
+            found = known[piece] = self.new(before, piece)
+        return found
+
+    def new(self, before: str, piece: str) -> bytes:
+        """Ids of a piece this generation has not seen: the last one's, or encoded now."""
+        found = self.older[before].get(piece)
+        if found is None:
             parts = self.WORD.fullmatch(piece)
             if parts is None:
-                known = self.ids(before + piece)
+                found = self.ids(before + piece)
             elif not parts[2]:
-                known = self.word_ids(before + piece)
+                found = self.word_ids(before, piece)
             else:
-                known = self.piece(before, parts[1]) + self.piece("", parts[2])
-        self.known[before][piece] = known
-        return known
+                found = self.piece(before, parts[1]) + self.piece("", parts[2])
+        return found
 
     def ids(self, piece: str) -> bytes:
         encoded = self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0]
         return self.packed(encoded.ids)
 
-    def word_ids(self, word: str) -> bytes:
+    def word_ids(self, before: str, word: str) -> bytes:
         if self.model is None:
-            return self.ids(word)
-        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))
+            return self.ids(before + word)
+        if not word.isascii():  # ASCII letters stand for themselves
+            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        tokens = self.model.tokenize(before.translate(BYTE_LETTERS) + word)
         return self.packed([token.id for token in tokens])
 
     def packed(self, ids: list[int]) -> bytes:
