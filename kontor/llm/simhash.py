@@ -193,15 +193,21 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
     Of rows with that key the smallest fingerprint stays, of repeated rows any one.  A null
     key is larger than any other.  Null texts and empty tables as in `groups`.
     """
-    rows = packed(df).withColumn("f", fingerprints(field(text), size))
-    rows = written(rows, "simhash-docs").withColumn("key", field(key))
-    found = rooted(rows.select("key", "f"), radius)
-    each = found.groupBy("root", "key", "f").agg(F.count("*").alias("n"))
+    prints = df.select(F.col(f"`{key}`").alias("key"), fingerprints(F.col(f"`{text}`"), size).alias("f"))
+    prints = written(prints, "simhash")
+    each = rooted(prints, radius).groupBy("root", "key", "f").agg(F.count("*").alias("n"))
     best = each.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "f", "n")).alias("best"))
     winners = written(best.select(F.col("best.key").alias("__key"), F.col("best.f").alias("__f"), "best.n"), "simhash-best")
-    kept = rows.join(winners, F.col("key").eqNullSafe(F.col("__key")) & (F.col("f") == F.col("__f")))
-    alone = kept.filter("n = 1").select(ROW)
-    if winners.filter("n > 1").isEmpty():
-        return unpacked(alone)
+    shared = prints.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1 OR key IS NULL")
+    shared = written(shared.select(F.col("key").alias("__key")), "simhash-shared")
+    rows = packed(df)
+    if shared.isEmpty():
+        return unpacked(rows.join(winners, field(key) == F.col("__key")).select(ROW))
+    # Rows that share a key, or have none, are told apart by their fingerprints, which only they need again.
+    own = winners.join(shared, winners["__key"].eqNullSafe(shared["__key"]), "left_anti")
+    alone = rows.join(own, field(key) == F.col("__key")).select(ROW)
+    marked = rows.join(shared, field(key).eqNullSafe(F.col("__key")), "left_semi")
+    marked = marked.withColumn("f", fingerprints(field(text), size))
+    kept = marked.join(winners, field(key).eqNullSafe(F.col("__key")) & (F.col("f") == F.col("__f")))
     repeated = kept.filter("n > 1").groupBy("__key", "__f").agg(F.first(ROW).alias(ROW)).select(ROW)
-    return unpacked(alone.unionByName(repeated))
+    return unpacked(alone.unionByName(kept.filter("n = 1").select(ROW)).unionByName(repeated))

@@ -130,3 +130,10 @@ def test_one_of_each_keeps_one_row_and_all_columns(spark):
     assert sorted(((row.doc_id, row.key) for row in kept.collect()), key=repr) == sorted(
         [(3, "f"), (9, "g"), (None, "h"), (12, None)], key=repr
     )
+
+
+def test_one_of_each_with_keys_of_their_own(spark):
+    rows = [(i, f"text number {i % 7} of a few that repeat often") for i in range(40)] + [(99, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {component for _, _, component in plain_groups(rows)}
+    assert sorted(row.doc_id for row in simhash.one_of_each(docs).collect()) == sorted(want)
