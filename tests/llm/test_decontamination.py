@@ -59,6 +59,22 @@ def test_near_copies(spark):
     assert kept == sorted({key for key, _ in docs} - {key for key, _ in rows})
 
 
+def test_borderline_pairs(spark):
+    """Items with their last words changed, down to the least similarity that counts, within a text and at its start."""
+    chance = random.Random(5)
+    fresh = iter(f"v{i}" for i in range(1_000_000))
+    docs, items = [], []
+    for k in range(600):
+        m = chance.choice([9, 14, 18, 27, 45, 53])
+        item = [next(fresh) for _ in range(m + 4)]
+        same = next(c for c in range(m + 1) if c / (2 * m - c) >= 0.8)
+        around = [next(fresh) for _ in range(20)] if k % 2 else []
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join(around + item[:same + 4] + [next(fresh) for _ in range(m - same)] + around)))
+    _, _, rows = found(spark, docs, items)
+    assert sorted(rows) == [(k, [k]) for k in range(600)]
+
+
 def test_odd_rows(spark):
     passage = "one two three four five six seven eight nine ten"
     items = [(1, passage), (1, passage), (2, passage), (None, "alpha beta gamma delta epsilon zeta eta theta"), (3, None), (4, ""),
