@@ -2,8 +2,8 @@
 
 DataFrame functions only.  A text is its lower-case runs of letters and digits, in
 shingles of five words.  For an item of m shingles a window is m shingles of a document.
-A window that shares no shingle with an item has similarity 0, so only windows are cut
-that lie as an item would if one shared shingle fell on the same place in both.  Their
+Windows start at every offset and are clipped at the text's edges; those that hold too few
+shingles of any item of m shingles to be similar to one are not cut.  Their
 fingerprints are looked up in the index of the items of m shingles: of 64 bits in 8
 blocks, two fingerprints that differ in at most `RADIUS` bits differ in at most
 RADIUS // 8 bits of some block, and the index holds every item under all such
@@ -39,6 +39,13 @@ PRINT = (
 )
 # Bitmaps that drop rows before an exchange have 16 bits for each hash, between these powers of two: 2 MB at most.
 LEAST_BITS, MOST_BITS = 16, 24
+# The starts of all windows of m shingles that hold `k` of the sorted positions `ps`, each once.
+STARTS = (
+    "CASE WHEN size(ps) < {k} THEN array() ELSE flatten(transform(sequence(0, size(ps) - {k}), i -> "
+    "CASE WHEN greatest(ps[i + {k} - 1] - m, get(ps, i - 1)) < ps[i] "
+    "THEN sequence(greatest(ps[i + {k} - 1] - m, get(ps, i - 1)) + 1, ps[i]) ELSE array() END)) END"
+)
+WINDOW = ("text_key", "start", "stop", "m")
 BLOCK = f"shiftright(f, {BLOCK_BITS} * block) & {2**BLOCK_BITS - 1}"
 
 
@@ -77,53 +84,63 @@ def items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     return cut.select("item", "item_id", F.size("shingles").alias("m"), F.col("shingles").alias("part"))
 
 
-def anchors(texts: DataFrame, known: DataFrame) -> DataFrame:
-    """(text_key, start, stop, m): where a window of some item's length lies, from every shared shingle."""
-    places = written(known.select("m", F.posexplode("part").alias("q", "h")).distinct(), "leak-shingles")
-    shared = held(places, "h")
+def places(texts: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """(text_key, start, stop, m): the windows, at every offset, with enough shingles of items of m shingles to be similar.
+
+    A window of l shingles, c of them in some item of m, has similarity c / (l + m - c) at
+    most.  So it needs 2 * m * threshold / (1 + threshold) of them within the text, and,
+    clipped at an edge, m * threshold at least.
+    """
+    shingles = written(known.select("m", F.explode("part").alias("h")).distinct(), "leak-shingles")
+    shared = held(shingles, "h")
     # Outer, or the optimiser tests the array's size below the words' projection, cutting the text for each word.
     each = F.posexplode_outer("shingles").alias("p", "h")
     rows = shingled(texts, "text").select("text_key", F.size("shingles").alias("n"), each)
-    rows = rows.filter(shared(F.col("h"))).join(places, "h")
-    return rows.select("text_key", "n", (F.col("p") - F.col("q")).alias("at"), "m").select(
+    rows = rows.filter(shared(F.col("h"))).join(shingles, "h")
+    rows = rows.groupBy("text_key", "m").agg(F.first("n").alias("n"), F.collect_set("p").alias("ps"))
+    # Rounding must not drop a window that just reaches the threshold; the exact check decides.
+    whole, clipped = (f"greatest(1, cast(ceil({x} * m - 1e-6) AS int))" for x in (2 * threshold / (1 + threshold), threshold))
+    rows = rows.select("text_key", "m", "n", F.sort_array("ps").alias("ps"), F.expr(whole).alias("k"), F.expr(clipped).alias("e"))
+    rows = rows.filter("size(ps) >= e").withColumn("inside", F.expr(STARTS.format(k="k"))).withColumn("outside", F.expr(STARTS.format(k="e")))
+    at = F.explode(F.expr("concat(filter(inside, s -> s >= 0 AND s <= n - m), filter(outside, s -> s < 0 OR s > n - m))"))
+    rows = rows.select("text_key", "m", "n", at.alias("at"))
+    return rows.select(
         "text_key", F.greatest("at", F.lit(0)).alias("start"), F.least(F.col("at") + F.col("m"), "n").alias("stop"), "m"
     ).distinct()
 
 
-def windows(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """(text_key, start, m, part): the shingles of each window; equal texts are cut once."""
-    found = places.select("text_key", F.xxhash64("text_key").alias("h")).distinct()
+def windows(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """(text_key, start, stop, m, part): the shingles of each window; equal texts are cut once."""
+    found = spans.select("text_key", F.xxhash64("text_key").alias("h")).distinct()
     likely = texts.filter(held(found, "h")(F.xxhash64("text_key")))
     once = likely.groupBy("text_key").agg(F.first("text").alias("text"))  # copies go before anything is moved
     wanted = once.join(found, "text_key", "left_semi")
-    cut = shingled(wanted, "text").select("text_key", "shingles").join(places, "text_key")
-    return cut.select("text_key", "start", "m", F.expr("slice(shingles, start + 1, stop - start)").alias("part"))
+    cut = shingled(wanted, "text").select("text_key", "shingles").join(spans, "text_key")
+    return cut.select(*WINDOW, F.expr("slice(shingles, start + 1, stop - start)").alias("part"))
 
 
 def candidates(cut: DataFrame, known: DataFrame, radius: int) -> DataFrame:
-    """(text_key, start, m, item) of all windows and items of m shingles whose fingerprints differ in at most `radius` bits."""
+    """WINDOW and item of all windows and items of m shingles whose fingerprints differ in at most `radius` bits."""
     spread = radius // BLOCKS
     near = f"filter(sequence(0, {2**BLOCK_BITS - 1}), x -> bit_count(x) <= {spread})"
     blocks = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block")
     index = known.select("item", "m", F.expr(PRINT).alias("f")).select("item", "m", "f", blocks)
     index = index.select("item", "m", F.col("f").alias("g"), "block", F.expr(BLOCK).alias("own"), F.explode(F.expr(near)).alias("x"))
     index = index.withColumn("value", F.col("own").bitwiseXOR(F.col("x"))).drop("own", "x")
-    looked = cut.select("text_key", "start", "m", F.expr(PRINT).alias("f")).select("text_key", "start", "m", "f", blocks)
+    looked = cut.select(*WINDOW, F.expr(PRINT).alias("f")).select(*WINDOW, "f", blocks)
     looked = looked.withColumn("value", F.expr(BLOCK))
     found = looked.join(index, ["m", "block", "value"]).filter(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius)
-    return found.select("text_key", "start", "m", "item").distinct()
+    return found.select(*WINDOW, "item").distinct()
 
 
 def verified(found: DataFrame, cut: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """(text_key, start, m, item, similarity) of the candidates whose weighted shingles are similar enough."""
-    window = ["text_key", "start", "m"]
-    ours = cut.select(*window, F.explode("part").alias("h")).groupBy(*window, "h").agg(F.count("*").alias("a"))
+    """WINDOW, item and similarity of the candidates whose weighted shingles are similar enough."""
+    ours = cut.select(*WINDOW, F.explode("part").alias("h")).groupBy(*WINDOW, "h").agg(F.count("*").alias("a"))
     theirs = known.select("item", F.explode("part").alias("h")).groupBy("item", "h").agg(F.count("*").alias("b"))
-    common = found.join(ours, window).join(theirs, ["item", "h"])
-    common = common.groupBy(*window, "item").agg(F.sum(F.least("a", "b")).alias("common"))
-    sized = common.join(cut.select(*window, F.size("part").alias("length")), window)
-    similarity = F.col("common") / (F.col("length") + F.col("m") - F.col("common"))
-    return sized.withColumn("similarity", similarity).filter(F.col("similarity") >= threshold).drop("common", "length")
+    common = found.join(ours, list(WINDOW)).join(theirs, ["item", "h"])
+    common = common.groupBy(*WINDOW, "item").agg(F.sum(F.least("a", "b")).alias("common"))
+    similarity = F.col("common") / (F.col("stop") - F.col("start") + F.col("m") - F.col("common"))
+    return common.withColumn("similarity", similarity).filter(F.col("similarity") >= threshold).drop("common")
 
 
 def matches(
@@ -138,8 +155,8 @@ def matches(
     """
     known = written(items(benchmark, item, item_text), "leak-items")
     texts = df.select(text_key(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
-    places = written(anchors(texts, known), "leak-places")
-    cut = written(windows(texts, places), "leak-windows")
+    spans = written(places(texts, known, threshold), "leak-places")
+    cut = written(windows(texts, spans), "leak-windows")
     sure = verified(candidates(cut, known, radius), cut, known, threshold)
     return sure.join(known.select("item", "item_id"), "item").groupBy("text_key").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.count_distinct("item").alias("n_items"),

@@ -75,6 +75,53 @@ def test_borderline_pairs(spark):
     assert sorted(rows) == [(k, [k]) for k in range(600)]
 
 
+def every_start(docs, items, threshold=0.8):
+    """{(key, item id): greatest similarity} by trying each window of an item's size, clipped at the text's edges."""
+    result = {}
+    for key, text in docs:
+        ours = cut(text)
+        for item_id, item in items:
+            theirs = Counter(cut(item))
+            m = theirs.total()
+            for at in range(1 - m, len(ours)) if set(ours) & set(theirs) else ():
+                window = Counter(ours[max(0, at):at + m])
+                common = (window & theirs).total()
+                similarity = common / (window.total() + m - common)
+                if similarity >= threshold:
+                    result[key, item_id] = max(similarity, result.get((key, item_id), 0))
+    return result
+
+
+def test_windows_at_every_start(spark):
+    fresh = iter(f"v{i}" for i in range(1_000_000))
+    docs, items = [], []
+    for k, (size, off, new) in enumerate([(58, 1, 2), (66, 1, 2), (80, 2, 4)]):  # ends left out, new words in the middle
+        item = [next(fresh) for _ in range(size)]
+        body = item[off:-off]
+        middle = len(body) // 2
+        around = [next(fresh) for _ in range(100)]
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join(around + body[:middle] + [next(fresh) for _ in range(new)] + body[middle:] + around)))
+    swapped = [next(fresh) for _ in range(64)]
+    around = [next(fresh) for _ in range(100)]
+    items.append((3, " ".join(swapped)))
+    docs.append((3, " ".join(around + swapped[32:] + swapped[:32] + around)))  # aligned starts lie more than m apart
+    chance = random.Random(9)
+    few = [f"r{i}" for i in range(3)]
+    for k in range(4, 14):  # repeated shingles, and windows clipped at either edge
+        item = chance.choices(few[:2], k=30) if k % 2 else [next(fresh) for _ in range(30)]
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join([item[3:] + around, around + item[:-3], item[2:-1], item + item, item[1:-1]][k % 5])))
+    want = every_start(docs, items)
+    assert {(0, 0), (1, 1), (2, 2), (3, 3)} <= set(want)
+    _, _, rows = found(spark, docs, items)
+    assert rows == sorted(((key, sorted(i for one, i in want if one == key)) for key in {key for key, _ in want}), key=repr)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    best = {row.key: row.similarity for row in decontamination.leaks(frame, bench).collect()}
+    assert best == {key: max(value for (one, _), value in want.items() if one == key) for key in best}
+
+
 def test_odd_rows(spark):
     passage = "one two three four five six seven eight nine ten"
     items = [(1, passage), (1, passage), (2, passage), (None, "alpha beta gamma delta epsilon zeta eta theta"), (3, None), (4, ""),
