@@ -17,7 +17,11 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Their text is no markup, or not shown as text.
-RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|title|head|canvas|audio|video"
+RAW = frozenset("script style noscript template svg math iframe object textarea select title canvas audio video".split())
+# Without an end tag, these reach to the page's end; others are read as any tag.
+TO_END = frozenset("script style textarea title".split())
+# Empty if they end in />.
+SELF_CLOSED = frozenset("svg math".split())
 AROUND = frozenset("nav footer aside form menu dialog fieldset button".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
@@ -32,16 +36,16 @@ HINTS = frozenset(
 CONTENT = frozenset("article post entry story content main".split())
 # Of the page, not of an article.
 OUTER = frozenset("header site-header page-header".split())
-UNHINTED = frozenset("html body article main".split())
+UNHINTED = frozenset("html head body article main".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-z][a-z0-9:-]*)(?P<more2>[^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*\Z",
     re.IGNORECASE | re.DOTALL,
 )
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
 ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
@@ -156,20 +160,32 @@ class _Reader:
                 return
 
 
+def _raw_end(page: str, tag: str, at: int) -> int | None:
+    """Where the raw element whose start tag ends at `at` is over; None if it is never closed and read as any tag."""
+    found = RAW_END[tag].search(page, at)
+    return found.end() if found else len(page) if tag in TO_END else None
+
+
 def blocks(page: str) -> list[Block]:
-    """The blocks of a page in order; scripts, styles, comments and the head have none."""
-    reader, at = _Reader(), 0
-    for match in TOKEN.finditer(page):
+    """The blocks of a page in order; scripts, styles, comments and the title have none."""
+    reader, at, unclosed = _Reader(), 0, set()
+    while match := TOKEN.search(page, at):
         reader.text(page[at:match.start()])
         at = match.end()
-        tag = match["tag"] or match["tag2"]
-        if tag is not None:
-            if match["close"] or match["close2"]:
-                reader.end(tag.lower())
-            else:
-                reader.start(tag.lower(), match["more"] or match["more2"] or "")
-        elif match["raw"] is None and not match[0].startswith("<!--"):
+        tag = (match["tag"] or match["tag2"] or "").lower()
+        more = match["more"] or match["more2"] or ""
+        if not tag:
             continue
+        if match["close"] or match["close2"]:
+            reader.end(tag)
+        elif tag in SELF_CLOSED and more.endswith("/"):
+            continue
+        elif match["tag"] and tag in RAW and tag not in unclosed and (end := _raw_end(page, tag, at)) is not None:
+            at = end
+        else:
+            if match["tag"] and tag in RAW:
+                unclosed.add(tag)  # not searched for again, so many of them stay linear
+            reader.start(tag, more)
     reader.text(page[at:])
     reader.flush()
     return reader.blocks

@@ -50,6 +50,26 @@ def test_pages(page, text):
     assert maintext.main_text(page, TREE) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>a</p><svg class='i'/><p>b c d</p></article>", "a\n\nb c d"),
+    ("<article><p>a</p><math/><p>b c</p><svg><text>no</text></svg><p>d</p></article>", "a\n\nb c\n\nd"),
+    ("<article><p>a</p><video src='x'><p>b c d</p></article>", "a\n\nb c d"),
+    ("<html><head><title>no</title><meta name='a'><style>no</style><body><article><p>a b</p></article>", "a b"),
+    ("<head><title>no</title><link rel='x'><article><p>a b</p></article>", "a b"),
+    ("<head><title>no</title><script>no</script></head><body><article><p>a b</p></article>", "a b"),
+    ("<article><p>a</p><script>var x = '<p>no</p>'", "a"), ("<article><p>a</p><textarea><p>no</p>", "a"),
+])
+def test_raw_elements_without_end_tag(page, text):
+    assert maintext.main_text(page, TREE) == text
+
+
+def test_unclosed_raw_elements_stay_linear():
+    start = time.perf_counter()
+    for part in ("<svg>", "<svg/>", "<select>", "<video>x", "<head>", "<title>", "<svg x=\""):
+        blocks(part * 20_000)
+    assert time.perf_counter() - start < 30
+
+
 def test_nothing_is_capped():
     page = "<article>" + "".join(f"<p>{'w' * 50} {i}</p>" for i in range(5_000)) + "</article>"
     assert maintext.main_text(page, TREE).count("\n\n") == 4_999
