@@ -128,9 +128,9 @@ def named_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def secret_spans(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """The base spans, and with them the named ones that no base span touches."""
+    """The base spans, and with them the named ones that no single base span holds whole."""
     base = base_spans(text or "")
-    more = [one for one in named_spans(text or "") if not any(one[0] < end and start < one[1] for start, end, _ in base)]
+    more = [one for one in named_spans(text or "") if not any(start <= one[0] and one[1] <= end for start, end, _ in base)]
     return base, sorted(base + more, key=_order)
 
 

@@ -66,6 +66,17 @@ def test_named(text, values):
     assert set(base) <= set(spans)
 
 
+@pytest.mark.parametrize("text, values", [
+    ('db_password = "Summer2024!Rain#77xQ"', ["Summer2024!Rain#77xQ"]),
+    (f'signing_key = "Zq-{"0123456789abcdef" * 2}-Kx7"', [f'Zq-{"0123456789abcdef" * 2}-Kx7']),
+    ('secret = "abcdEFGH1234"', []),  # the base span holds it whole
+])
+def test_named_beside_base(text, values):
+    base, spans = secretscan.secret_spans(text)
+    assert len(base) == 1 and set(base) <= set(spans)
+    assert [text[a:b] for a, b, kind in spans if kind == "named"] == values
+
+
 def test_long_lines_stay_linear():
     import time
 
