@@ -38,14 +38,15 @@ PLACEHOLDER = re.compile(
     r"(?i)example|sample|dummy|placeholder|change_?me|your[_-]|^x+$|^\*+$|^<.*>$|^\$\{.*\}$|^\$\w+$|^%\(?\w+|^\{\{.*\}\}$"
     r"|^(true|false|null|none|undefined|nil|todo|test)$"
 )
-LEAST_LITERAL, LEAST_SCORE, MOST_NAME = 8, 0.5, 80
+LEAST_LITERAL, LEAST_SCORE = 8, 0.5
 
-_NAME = r"[A-Za-z_$][A-Za-z0-9_$.\-]{0,%d}" % (MOST_NAME - 1)
+_COPIED = r"[A-Za-z_$][A-Za-z0-9_$.\-]*"
+_NAME = _COPIED + "+"  # possessive, so names of any length are read in linear time
 _LITERAL = r'"(?:[^"\\\n]|\\.)*+"|' + r"'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`"
 STATEMENT = re.compile(
     rf"(?<![A-Za-z0-9_$.\-])(?:[\"']({_NAME})[\"']|({_NAME}))(?:\[[\"']({_NAME})[\"']\])?"
     rf"[ \t]*(?:\:[ \t]*[A-Za-z_][A-Za-z0-9_]*[ \t]*=|:=|=>|[:=])(?![=:])[ \t]*"
-    rf"(?:((?:{_LITERAL})(?:[ \t]*\+[ \t]*(?:{_LITERAL}))*+)|({_NAME}(?![\w(]))|([^\s\"'`,;#{{}}\[\]()<>]+))"
+    rf"(?:((?:{_LITERAL})(?:[ \t]*\+[ \t]*(?:{_LITERAL}))*+)|({_COPIED}(?![\w(]))|([^\s\"'`,;#{{}}\[\]()<>]+))"
 )
 _ONE = re.compile(_LITERAL)
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")

@@ -77,6 +77,21 @@ def test_named_beside_base(text, values):
     assert [text[a:b] for a, b, kind in spans if kind == "named"] == values
 
 
+@pytest.mark.parametrize("name", ["spring." + "cloud.config." * 8 + "credentials", "a-" * 500 + "signing-key", "x" * 200 + "_pwd"])
+def test_long_names(name):
+    for text in (f'{name} = "hG7!kq29ZpXw"', f'"{name}": "hG7!kq29ZpXw"', f'env["{name}"] = "hG7!kq29ZpXw"'):
+        assert [text[a:b] for a, b, kind in secretscan.secret_spans(text)[1] if kind == "named"] == ["hG7!kq29ZpXw"]
+
+
+def test_long_names_stay_linear():
+    import time
+
+    start = time.perf_counter()
+    for text in ("a" * 400_000 + " x=y", "k=" + "a" * 400_000 + "(", "k=" + "a.b(" * 100_000, "'a" * 100_000 + "=", "a[" * 100_000 + "="):
+        secretscan.secret_spans(text)
+    assert time.perf_counter() - start < 20
+
+
 def test_long_lines_stay_linear():
     import time
 
