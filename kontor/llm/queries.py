@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import decontamination, langid, maintext, mixing, pii, quality, secretscan, simhash, tokenfiles, topk
+from kontor.llm import decontamination, langid, maintext, mixing, pieces, pii, quality, secretscan, simhash, tokenfiles, topk
 from kontor.llm.frames import learn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,14 @@ def op3_pii_surrogates(spark, sf):
     rows = pii.pseudonymise(_table(spark, sf, "documents").select("doc_id", "text"), PII_KEY)
     spans = F.transform("entities", lambda one: F.concat_ws(":", one["kind"], one["start"], one["end"]))
     return rows.select("doc_id", "text", F.size("entities").alias("n_entities"), F.array_join(spans, ",").alias("spans"))
+
+
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark, sf):
+    model = tokenizer_path("piece_bpe_32k.model")
+    rows = pieces.encode(_table(spark, sf, "documents"), model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select(
+        F.col("key").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(pieces.decoded(F.col("ids"), model), 256).alias("decoded_sha256"),
+    )
