@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import decontamination, langid, maintext, mixing, pieces, pii, quality, secretscan, simhash, tokenfiles, topk
+from kontor.llm import decontamination, langid, maintext, mixing, pieces, pii, quality, secretscan, simhash, tokenfiles, topk, whitening
 from kontor.llm.frames import learn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +194,8 @@ def op11_sentencepiece(spark, sf):
         F.col("key").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2(pieces.decoded(F.col("ids"), model), 256).alias("decoded_sha256"),
     )
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf):
+    return whitening.whiten(_table(spark, sf, "embeddings")).withColumnRenamed("key", "vec_id")
