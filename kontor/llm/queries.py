@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import decontamination, langid, maintext, mixing, pieces, pii, quality, secretscan, simhash, tokenfiles, topk, whitening
+from kontor.llm import (
+    decontamination, langid, maintext, mixing, negatives, pieces, pii, quality, secretscan, simhash, tokenfiles, topk, whitening,
+)
 from kontor.llm.frames import learn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +201,32 @@ def op11_sentencepiece(spark, sf):
 @query("op12_whitening")
 def op12_whitening(spark, sf):
     return whitening.whiten(_table(spark, sf, "embeddings")).withColumnRenamed("key", "vec_id")
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, v.vec_id, v.label = a.label AS same, list_inner_product(a.x, v.x)::BIGINT AS score
+    FROM v a JOIN v ON v.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def op13_hard_negatives(spark, sf):
+    rows = _table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return negatives.mine(rows, rows.filter(F.col("vec_id") % 100 == 0))
