@@ -243,8 +243,9 @@ def _improve(held: tuple, row) -> None:
     scores = products(x, a[windows[which]].T, small)
     column = np.searchsorted(different, anchors[windows])
     for window, here in zip(windows, scores.T[column]):
-        good = np.flatnonzero((here >= max(row.low[window], best.floor[window])) & (here <= row.high[window]))
-        good = good[keys[good] != anchors[window]]
+        low = row.low[window]
+        good = (here >= max(low, best.floor[window])) & (here <= row.high[window]) & ((here > low) | (keys <= row.upto[window]))
+        good = np.flatnonzero(good & (keys != anchors[window]))
         if len(good):
             best.add(window, here[good], keys[good])
 
@@ -261,15 +262,16 @@ def best_in_windows(windows: DataFrame, stored: DataFrame, zones: DataFrame, k:
     """(anchor, place, rank, key, score): for each window (anchor, place, label, low, high, x) its k highest scores.
 
     Rows of the window's label take part if `same`, else those of any other; scores lie within
-    low and high, and the anchor's own key is left out.  Ties go to the smaller key.
+    low and high, and the anchor's own key is left out.  Ties go to the smaller key.  Behind the k-th
+    best of the first blocks nothing is read on: no lower score, and at that score no greater key.
     """
-    windows = windows.withColumn("dim", F.size("x"))
+    windows = windows.withColumns({"upto": F.lit(HIGHEST), "dim": F.size("x")})
     packs = _packs(windows, PACK, ("x",))
     first = _read(first_choice(packs, zones, same), packs, stored, k)
-    limits = first.filter(F.col("rank") == k).select("anchor", "place", F.col("score").alias("limit"))
-    raised = windows.join(limits, ["anchor", "place"], "left").withColumn(
-        "low", F.greatest("low", F.coalesce("limit", "low"))
-    ).drop("limit")
+    limits = first.filter(F.col("rank") == k).select("anchor", "place", "score", "key")
+    raised = windows.join(limits, ["anchor", "place"], "left").withColumns({
+        "low": F.coalesce("score", "low"), "upto": F.coalesce("key", "upto"),
+    }).drop("score", "key")
     packs = _packs(raised, PACK, ("x",))
     return _read(full_choice(packs, zones, same), packs, stored, k)
 
