@@ -66,6 +66,12 @@ def not_done(candidates: DataFrame, done: DataFrame, keys: Sequence[str] | str)
     return candidates.join(marked, _same(candidates, marked, keys), "left_anti")
 
 
+def with_key_in(rows: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows whose key occurs among `keys`, missing ones too; repeats there multiply nothing."""
+    marked = _marked(pick(keys, names).distinct(), names)
+    return rows.join(marked, _same(rows, marked, names), "left_semi")
+
+
 def overlay(
     base: DataFrame, newer: DataFrame, keys: Sequence[str] | str, order: Sequence[str] = ()
 ) -> DataFrame:

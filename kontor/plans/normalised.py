@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kontor import fixed_values as V
 from kontor.operators import constraints
@@ -14,6 +15,7 @@ from kontor.operators.joins import with_surrogate_ids
 from kontor.operators.numbering import number_rows
 from kontor.operators.projection import pick, quoted
 from kontor.operators.sizing import written
+from kontor.sources.dictionary import KeyDictionary
 from kontor.sources.store import create_if_missing, write_table
 
 
@@ -68,16 +70,37 @@ def label_tables(rows: DataFrame, ordinal: str) -> tuple[DataFrame, DataFrame]:
     return categories, subcategories
 
 
-def normalise(flat: DataFrame, ordinal: str, key: str = "IDI") -> Model:
+CATEGORY_KEY = T.StructType([T.StructField("Category", T.StringType())])
+SUBCATEGORY_KEY = T.StructType([T.StructField("category_id", T.LongType()), T.StructField("Subcategory", T.StringType())])
+
+
+def lasting_label_tables(rows: DataFrame, ordinal: str, path: str, load: str) -> tuple[DataFrame, DataFrame]:
+    """The label tables of all loads below `path`: known names keep their ids, this load's new ones are numbered on."""
+    pairs = written(rows.groupBy("Category", "Subcategory").agg(F.min(quoted(ordinal)).alias("__seen")), "pairs")
+    kept = KeyDictionary(rows.sparkSession, f"{path}/categories", CATEGORY_KEY, "category_id")
+    ids = kept.extend(pairs, "__seen", load)
+    named = pairs.join(ids, "Category").select("category_id", "Subcategory", "__seen")
+    subcategories = KeyDictionary(rows.sparkSession, f"{path}/subcategories", SUBCATEGORY_KEY, "subcategory_id")
+    return (
+        ids.select("category_id", "Category", F.lit(None).cast("string").alias("description")),
+        subcategories.extend(named, "__seen", load).select("subcategory_id", "category_id", "Subcategory"),
+    )
+
+
+def normalise(flat: DataFrame, ordinal: str, key: str = "IDI", ids: str | None = None, load: str | None = None) -> Model:
     """First row per id, label tables, and one link per company.
 
-    A company without a known category or subcategory keeps a link with NULL ids.  The
+    With `ids`, a folder, label ids last over loads, which `load` tells apart; without, each
+    call numbers from 1.  A company without a known category or subcategory keeps a link with NULL ids.  The
     deduplicated rows feed all four tables, so they are written once, from one reading of
     the input, and each use reads its own columns.
     """
     columns = [*V.COMPANY_COLUMNS, "Category", "Subcategory", ordinal]
     rows = written(first_per_key(pick(flat, columns), key, ordinal), "deduplicated")
-    categories, subcategories = label_tables(rows, ordinal)
+    if ids is None:
+        categories, subcategories = label_tables(rows, ordinal)
+    else:
+        categories, subcategories = lasting_label_tables(rows, ordinal, ids, load)
     linked = with_surrogate_ids(pick(rows, [key, "Category", "Subcategory"]), categories, subcategories)
     return Model(
         pick(rows, V.COMPANY_COLUMNS), categories, subcategories,

@@ -31,6 +31,11 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a job has written this folder to its end."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     _fs(spark, path).mkdirs(_path(spark, path))
 
@@ -128,9 +133,29 @@ def write_table(
     writer.parquet(path)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """A catalogue table bucketed and sorted by the key, so joins on it need no exchange."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
+    """Rewrite only the partitions that `df` has rows of; files of all others are not touched.
+
+    A first write makes the table.  `df` may come from the table itself: its new files lie in a staging
+    folder until all are there.  A job that ends while they are moved can leave partitions without files,
+    so `df` has to be one that can be made again.
+    """
+    rows = df.hint("rebalance", *partition_by)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*(quoted(name) for name in (*partition_by, *sort_by)))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A catalogue table with one sorted file a bucket, so that joins and groups by the key need no exchange.
+
+    Tables meet without one if they have the same number of buckets: pick it once, by the
+    largest table, so that a bucket fits a task.  `path` puts the files elsewhere than the warehouse.
+    """
+    writer = df.repartition(buckets, quoted(key)).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def create_if_missing(spark: SparkSession, table: str, ddl: str) -> None:

@@ -3,7 +3,8 @@
 Each batch lands in a folder of its own, so a batch costs its own rows and not a
 rewrite of the table, and a replayed batch overwrites only itself.  A folder is named
 by its place in the order of arrival, and by the run and number of its batch: two
-runs count from 0 each without meeting.  Readers take the latest row per key.
+runs count from 0 each without meeting.  A folder counts once its write has ended; one that broke
+off is neither read nor folded, and its batch writes it anew.  Readers take the latest row per key.
 `compact` folds all folders into one now and then.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor.operators.dedup import latest_per_key
+from kontor.operators.joins import with_key_in
 from kontor.sources import store
 
 FOLD = "fold"
@@ -35,7 +37,7 @@ class VersionedTable:
         name = f"{run}.{batch}"
         if store.exists(self.spark, f"{self.path}/_folded/{name}"):
             return
-        found = self.versions()
+        found = self._folders()
         places = [version for version in found if version.partition(".")[2] == name]
         place = places[0] if places else f"{self._next(found)}.{name}"
         latest_per_key(rows, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}/version={place}")
@@ -45,7 +47,10 @@ class VersionedTable:
         return f"{1 + max((int(version.partition('.')[0]) for version in found), default=0):012d}"
 
     def versions(self) -> list[str]:
-        """Names of the folders in order of arrival."""
+        """Names of the finished folders in order of arrival."""
+        return [name for name in self._folders() if store.finished(self.spark, f"{self.path}/version={name}")]
+
+    def _folders(self) -> list[str]:
         if not store.exists(self.spark, self.path):
             return []
         names = store.folders(self.spark, self.path)
@@ -58,12 +63,15 @@ class VersionedTable:
         place = F.regexp_extract(F.col("_metadata.file_path"), r"/version=(\d{12})\.", 1)
         return self.spark.read.schema(self.schema).parquet(*paths).withColumn("version", place)
 
-    def current(self) -> DataFrame:
-        """The latest row of each key: by `order`, and by arrival where that ties."""
-        return latest_per_key(self._all(self.versions()), self.keys, [*self.order, "version"]).drop("version")
+    def current(self, keys: DataFrame | None = None) -> DataFrame:
+        """The latest row of each key: by `order`, and by arrival where that ties; with `keys` only of those."""
+        rows = self._all(self.versions())
+        if keys is not None:
+            rows = with_key_in(rows, keys, self.keys)
+        return latest_per_key(rows, self.keys, [*self.order, "version"]).drop("version")
 
     def compact(self) -> None:
-        """Fold all folders present into one, and remove just these.
+        """Fold all finished folders into one, and remove just these.
 
         The fold is moved in whole, and its batches are noted, before the old folders go; what
         is left of an interrupted fold is folded again, which changes nothing.
@@ -74,10 +82,11 @@ class VersionedTable:
         staging = f"{self.path}/_fold"
         latest = latest_per_key(self._all(found), self.keys, [*self.order, "version"]).drop("version")
         latest.write.mode("overwrite").parquet(staging)
+        place = self._next(self._folders())
         for version in found:
             name = version.partition(".")[2]
             if name != FOLD:
                 store.make_folder(self.spark, f"{self.path}/_folded/{name}")
-        store.rename(self.spark, staging, f"{self.path}/version={self._next(found)}.{FOLD}")
+        store.rename(self.spark, staging, f"{self.path}/version={place}.{FOLD}")
         for version in found:
             store.delete(self.spark, f"{self.path}/version={version}")

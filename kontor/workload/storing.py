@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from kontor.plans import cleanup, enrichment, normalised
+from kontor.plans.coverage import MaintainedCoverage
 from kontor.session import scratch_path
 from kontor.sources import store, tabular
 from kontor.sources.taxonomy import Taxonomy
@@ -140,6 +141,22 @@ def upsert_two_sources(spark, sf):
     return kept.current().select("user_id", "event_id", "event_type")
 
 
+@query("upsert_broken_off", sql="""
+    SELECT user_id, event_id, event_type FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def upsert_broken_off(spark, sf):
+    """The second of three batches breaks off, everything is folded, then the batch comes again."""
+    events = table(spark, sf, "events")
+    kept = VersionedTable(spark, scratch_path(spark, "latest"), ["user_id"], ["ts", "event_id"], events.schema)
+    parts = [events.filter(F.col("event_id") % 3 == part) for part in range(3)]
+    kept.upsert(parts[0], 0)
+    store.make_folder(spark, f"{kept.path}/version=000000000002.run.1/_temporary")
+    kept.upsert(parts[2], 2)
+    kept.compact()
+    kept.upsert(parts[1], 1, "run")
+    return kept.current().select("user_id", "event_id", "event_type")
+
+
 @query("stream_in_batches", sql="""
     SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id""")
 def stream_in_batches(spark, sf):
@@ -197,3 +214,85 @@ def taxonomy_from_json(spark, sf):
     path = scratch_path(spark, "taxonomy")
     B.nested_taxonomy(spark, sf).coalesce(1).write.json(path)
     return Taxonomy.read_json(spark, path).pairs().select("category", "subcategory")
+
+
+@query("surrogate_ids_resume", sql="""
+    WITH pair AS (
+        SELECT p_brand AS category, p_name AS subcategory, min(p_partkey) AS place, min(p_partkey) FILTER (p_partkey % 2 = 0) AS early
+        FROM part GROUP BY 1, 2
+    ), category AS (
+        SELECT category, row_number() OVER (ORDER BY min(early) IS NULL, coalesce(min(early), min(place))) AS category_id
+        FROM pair GROUP BY 1
+    )
+    SELECT category, subcategory, category_id,
+        row_number() OVER (ORDER BY early IS NULL, coalesce(early, place)) AS subcategory_id
+    FROM pair JOIN category USING (category)""")
+def surrogate_ids_resume(spark, sf):
+    """Ids from two loads, the even parts, then all of them, and the second once more: no id of the first changes."""
+    path = scratch_path(spark, "ids")
+    parts = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("ordinal"), F.col("p_brand").alias("Category"), F.col("p_name").alias("Subcategory")
+    )
+    for load, rows in (("even", parts.filter("ordinal % 2 = 0")), ("all", parts), ("all", parts)):
+        categories, subcategories = normalised.lasting_label_tables(rows, "ordinal", path, load)
+    return subcategories.join(categories, "category_id").select(
+        F.col("Category").alias("category"), F.col("Subcategory").alias("subcategory"), "category_id", "subcategory_id"
+    )
+
+
+@query("coverage_maintained", sql="""
+    WITH latest AS (
+        SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    )
+    SELECT event_type AS category, count(*) AS total, count(*) FILTER (value >= 50) AS has_phone,
+        count(*) FILTER (event_id % 3 > 0) AS has_email, count(*) FILTER (event_id % 7 = 0) AS has_website
+    FROM latest GROUP BY 1""")
+def coverage_maintained(spark, sf):
+    """Counts of the latest row of each user after three upserts, one of them twice; never counted as a whole."""
+    text = F.col("event_id").cast("string")
+    rows = table(spark, sf, "events").select(
+        "user_id", "ts", "event_id", F.col("event_type").alias("category"), F.when(F.col("value") >= 50, text).alias("phone_numbers"),
+        F.when(F.col("event_id") % 3 > 0, text).alias("email"), F.when(F.col("event_id") % 7 == 0, text).alias("website"),
+    )
+    kept = MaintainedCoverage(spark, scratch_path(spark, "coverage"), "user_id", "category", ["ts", "event_id"], rows.schema)
+    for batch, part in enumerate((0, 1, 1, 2)):
+        kept.apply(rows.filter(F.col("event_id") % 3 == part), min(batch, part))
+    return kept.coverage()
+
+
+@query("partition_replace", views=("v_place",), sql="""
+    SELECT n_name AS place, c_custkey AS key, CASE WHEN r_name = 'ASIA' THEN 2 * c_acctbal ELSE c_acctbal END AS balance
+    FROM customer JOIN v_place ON n_nationkey = c_nationkey WHERE r_name < 'B'""")
+def partition_replace(spark, sf):
+    """A table by nation, one region's partitions replaced, then read through a filtered dimension that prunes the others."""
+    path = scratch_path(spark, "balances")
+    places = B.placed(table(spark, sf, "customer"), spark, sf)
+    rows = places.select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("balance"), "r_name", F.col("n_name").alias("place"))
+    store.replace_partitions(rows.drop("r_name"), path, ["place"], ["key"])
+    changed = rows.filter("r_name = 'ASIA'").drop("r_name").withColumn("balance", 2 * F.col("balance"))
+    store.replace_partitions(changed, path, ["place"], ["key"])
+    return pruned_balances(spark, sf, path)
+
+
+def pruned_balances(spark, sf, path):
+    region = table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    wanted = table(spark, sf, "nation").join(region, "n_regionkey").filter("r_name < 'B'")
+    stored = spark.read.schema("key bigint, balance double, place string").parquet(path)
+    return stored.join(wanted.select(F.col("n_name").alias("place")), "place")
+
+
+@query("bucketed_rejoin", sql="""
+    SELECT o_orderkey AS key, o_orderpriority AS priority, o_totalprice AS price, o_custkey AS customer FROM orders""")
+def bucketed_rejoin(spark, sf):
+    """Both halves of a split table, bucketed and sorted by the key, put together again without an exchange."""
+    from kontor.operators.joins import rejoin
+
+    orders = table(spark, sf, "orders").withColumnRenamed("o_orderkey", "key")
+    halves = []
+    for columns in (("o_orderpriority", "o_custkey"), ("o_totalprice",)):
+        name = "half_" + uuid.uuid4().hex
+        store.save_bucketed(orders.select("key", *columns), name, "key", 8, scratch_path(spark, "half"))
+        halves.append(spark.table(name))
+    return rejoin(*halves, key="key").select(
+        "key", F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("price"), F.col("o_custkey").alias("customer")
+    )
