@@ -17,7 +17,9 @@ from kontor.operators.projection import ensure_columns, pick, quoted, require_di
 from kontor.operators.reports import key_set
 from kontor.sources.store import data_files, exists
 
-READ = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
+# Without column pruning a row's cells are counted whatever columns are asked for.
+READ = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "columnPruning": "false"}
+MALFORMED = "__malformed"
 WRITE = {
     "header": "true", "escape": '"', "emptyValue": "", "nullValue": "",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -26,17 +28,24 @@ ORDINAL = "ordinal"
 
 
 def header(spark: SparkSession, path: str) -> list[str] | None:
-    """Column names as written in a data file, cases and all; None without any."""
+    """Column names as written in a data file, cases, quoted line breaks and all; None without any."""
     for file in data_files(spark, path):
-        line = spark.read.text(file).first()
-        if line is not None and line[0]:
-            return next(csv.reader(io.StringIO(line[0].lstrip("\ufeff"))))
+        names = spark.read.options(escape='"', multiLine="true", inferSchema="false").csv(file).first()
+        if names is not None:
+            return ["" if name is None else name.removeprefix("\ufeff") for name in names]
     return None
 
 
+def cells(line: Column) -> Column:
+    """Number of cells of a line as written; commas in quoted cells separate nothing."""
+    bare = F.regexp_replace(line, r'(?s)(^|,)"(?:[^"]|"")*+"(?=,|\z)', "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def scan_csv(
     spark: SparkSession, path: str, rename: Mapping[str, str] | None = None,
     tokens: Sequence[str] = V.MISSING_TOKENS, strip_blanks: bool = False, ordinal: bool = False, multi_line: bool = True,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """A CSV file or folder with a header line, every column as text.
 
@@ -45,6 +54,9 @@ def scan_csv(
     * without `rename` a file whose header differs from the first one's raises
     * missing-value tokens, or with `strip_blanks` any blank text, become NULL
     * header lines repeated by earlier appends are dropped
+    * a row with fewer cells than the header has NULLs for the rest; one with more raises, as its last cells
+      would be lost.  With `keep_malformed` both stay, their line as written in the column
+      `__malformed`, for `split_malformed`; that column is NULL for all other rows
     * `ordinal` adds a sortable row order: time the file was written, file, place of the split, row
 
     With `multi_line` a quoted cell may hold line breaks, so a file is read by one task:
@@ -55,9 +67,15 @@ def scan_csv(
         raise ValueError(f"no CSV header below {path}")
     names = [(rename or {}).get(name, name) for name in written]
     require_distinct_names(names)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    require_distinct_names([*names, MALFORMED])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, MALFORMED]])
     checked = "true" if names != written else "false"  # enforceSchema: headers are not compared
-    rows = spark.read.schema(schema).options(**READ, multiLine=str(multi_line).lower(), enforceSchema=checked).csv(path)
+    options = READ | {"multiLine": str(multi_line).lower(), "enforceSchema": checked, "columnNameOfCorruptRecord": MALFORMED}
+    rows = spark.read.schema(schema).options(**options).csv(path)
+    if not keep_malformed:
+        lost = F.when(cells(F.col(MALFORMED)) > len(names), F.raise_error(
+            F.concat(F.lit(f"a row with more cells than the header below {path}: "), MALFORMED)).cast("boolean"))
+        rows = rows.filter(F.coalesce(lost, F.lit(True))).drop(MALFORMED)
     if ordinal:
         place = F.struct(
             F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
@@ -119,6 +137,12 @@ def append_reconciled(df: DataFrame, path: str) -> None:
     append_csv(pick(ensure_columns(df, {name: None for name in names}), names), path)
 
 
+def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of a scan with `keep_malformed`: those with all their cells, and the lines of the others as (line)."""
+    good, bad = split_by(df, F.col(MALFORMED).isNull())
+    return good.drop(MALFORMED), bad.select(F.col(MALFORMED).alias("line"))
+
+
 def write_with_rejects(df: DataFrame, valid: Column, path: str, error_path: str) -> None:
     """Valid rows to one CSV folder, the others to an error folder; one bad row stops nothing."""
     good, bad = split_by(df, valid)

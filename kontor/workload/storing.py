@@ -160,13 +160,14 @@ def upsert_broken_off(spark, sf):
 @query("stream_in_batches", sql="""
     SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id""")
 def stream_in_batches(spark, sf):
-    """A stream in two starts of several micro-batches of one file each."""
+    """A stream in two starts of three micro-batches each, whose files all tasks have written."""
     source, target, checkpoint = (scratch_path(spark, name) for name in ("arriving", "latest", "progress"))
     events = table(spark, sf, "events").select("event_id", "user_id")
     for start in range(2):
         for part in range(3):
-            events.filter(F.col("event_id") % 6 == 3 * start + part).coalesce(1).write.mode("append").parquet(source)
-        stream = incremental.file_stream(spark, source, events.schema, files_per_batch=1)
+            events.filter(F.col("event_id") % 6 == 3 * start + part).write.mode("append").parquet(source)
+        files = sum(1 for _ in store.data_files(spark, source))
+        stream = incremental.file_stream(spark, source, events.schema, files_per_batch=-(-files // (3 * (start + 1))))
         kept = incremental.upsert(stream, target, checkpoint, ["user_id"], ["event_id"])
     return kept.current()
 
@@ -182,6 +183,26 @@ def dedup_after_appends(spark, sf):
     return tabular.scan_csv(spark, path).select(F.col("IDI").cast("bigint").alias("key"), "value")
 
 
+@query("csv_rejects", sql="""
+    SELECT CASE c_custkey % 10 WHEN 3 THEN 'rejected' WHEN 7 THEN 'rejected' ELSE 'kept' END AS kind,
+        CASE c_custkey % 10 WHEN 3 THEN c_custkey || ',' || c_name || ',"' || c_mktsegment || ', more"' WHEN 7 THEN c_custkey::varchar
+            ELSE c_custkey || '|' || c_name END AS text
+    FROM customer""")
+def csv_rejects(spark, sf):
+    """Files in which every tenth row has a cell too many and every tenth one too few; both sinks read back."""
+    source, kept, rejected = (scratch_path(spark, name) for name in ("written", "kept", "rejected"))
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    more = F.concat(key, F.lit(","), name, F.lit(',"'), F.col("c_mktsegment"), F.lit(', more"'))
+    line = F.when(F.col("c_custkey") % 10 == 3, more).when(F.col("c_custkey") % 10 == 7, key).otherwise(F.concat_ws(",", key, name))
+    lines = table(spark, sf, "customer").groupBy(F.expr("c_custkey div 500")).agg(F.collect_list(line).alias("lines"))
+    lines.select(F.concat(F.lit("key,name\n"), F.array_join("lines", "\n"))).write.text(source)
+    good, bad = tabular.split_malformed(tabular.scan_csv(spark, source, keep_malformed=True))
+    tabular.write_csv(good, kept)
+    tabular.write_csv(bad, rejected)
+    good = tabular.scan_csv(spark, kept).select(F.lit("kept").alias("kind"), F.concat_ws("|", "key", "name").alias("text"))
+    return good.unionByName(tabular.scan_csv(spark, rejected).select(F.lit("rejected").alias("kind"), F.col("line").alias("text")))
+
+
 @query("promote_temporary", sql="SELECT p_partkey, p_name FROM part")
 def promote_temporary(spark, sf):
     """An old table, and a finished temporary one that takes its place."""

@@ -295,3 +295,42 @@ def test_no_local_folder_on_a_cluster():
 def test_pick_fails_on_a_missing_column(spark):
     with pytest.raises(Exception, match="nothing"):
         pick(spark.range(1), ["nothing"])
+
+
+MALFORMED = 'a,b\n1,2\n3\n4,5,6\n7,8\n"x,1","y\nz"\n"q, ""r""","s",\n9,5" pipe\n'
+
+
+def test_rows_with_cells_too_many_raise(spark, tmp_path):
+    found = tabular.scan_csv(spark, csv_folder(tmp_path, MALFORMED))
+    for asked in (found, found.select("b"), found.groupBy().count()):
+        with pytest.raises(Exception, match="more cells than the header"):
+            asked.collect()
+
+
+def test_no_cell_of_a_malformed_row_is_lost(spark, tmp_path):
+    for multi_line in (True, False):
+        text = MALFORMED if multi_line else MALFORMED.replace("y\nz", "yz")
+        path = str(tmp_path / f"{multi_line}.csv")
+        (tmp_path / f"{multi_line}.csv").write_text(text)
+        good, bad = tabular.split_malformed(tabular.scan_csv(spark, path, keep_malformed=True, multi_line=multi_line))
+        assert rows(good, "a", "b") == [("1", "2"), ("7", "8"), ("9", '5" pipe'), ("x,1", "y\nz" if multi_line else "yz")]
+        assert rows(bad, "line") == [('"q, ""r""","s",',), ("3",), ("4,5,6",)]
+        assert bad.count() == 3 and good.select("b").count() == 4
+
+
+def test_short_rows_have_nulls(spark, tmp_path):
+    found = tabular.scan_csv(spark, csv_folder(tmp_path, "a,b,c\n1,2,3\n4\n5,,\n"))
+    assert rows(found, "a", "b", "c") == [("1", "2", "3"), ("4", None, None), ("5", None, None)]
+
+
+def test_headers_with_line_breaks_and_gaps(spark, tmp_path):
+    path = csv_folder(tmp_path, '﻿"first\nname",,"b, c"\n1,2,3\n')
+    assert tabular.header(spark, path) == ["first\nname", "", "b, c"]
+    found = tabular.scan_csv(spark, path, rename={"": "gap"})
+    assert rows(found, "first\nname", "gap", "b, c") == [("1", "2", "3")]
+
+
+def test_a_reject_sink_is_a_table_like_any_other(spark, tmp_path):
+    good, bad = tabular.split_malformed(tabular.scan_csv(spark, csv_folder(tmp_path, MALFORMED), keep_malformed=True))
+    tabular.write_csv(bad, str(tmp_path / "bad"))
+    assert rows(tabular.scan_csv(spark, str(tmp_path / "bad")), "line") == rows(bad, "line")
