@@ -82,6 +82,23 @@ def rate_audit(log: DataFrame, ts: str, per_minute: int) -> DataFrame:
     )
 
 
+def rate_audit_sliding(log: DataFrame, ts: str, per_minute: int, slice_minutes: int = 60) -> DataFrame:
+    """Times at which more than the allowed number lie within the last 60 seconds, wherever a minute begins.
+
+    Requests are counted by their exact time first.  The times are cut into slices, and those of a slice's last
+    minute go to the next one as well, so each window lies within one slice and none runs over all rows.
+    """
+    minute, length = 60_000_000, slice_minutes * 60_000_000
+    kind = log.schema[ts].dataType
+    counts = log.filter(quoted(ts).isNotNull()).groupBy(F.unix_micros(quoted(ts).cast("timestamp")).alias("__at")).agg(F.count("*").alias("n"))
+    own = F.floor(F.col("__at") / length)
+    both = F.when(F.col("__at") >= (own + 1) * length - minute, F.array(own, own + 1)).otherwise(F.array(own))
+    window = Window.partitionBy("__slice").orderBy("__at").rangeBetween(1 - minute, Window.currentRow)
+    seen = counts.withColumn("__slice", F.explode(both)).withColumn("requests", F.sum("n").over(window))
+    found = seen.filter((F.col("__slice") == own) & (F.col("requests") > per_minute))
+    return found.select(F.timestamp_micros("__at").cast(kind).alias(ts), "requests")
+
+
 def progress(df: DataFrame, order: Sequence[str], done: Column) -> DataFrame:
     """Running count of finished rows and its share of all rows, by `order`."""
     flagged = df.withColumn("__done", F.coalesce(done, F.lit(False)).cast("bigint"))

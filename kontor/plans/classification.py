@@ -18,12 +18,12 @@ from kontor.functions.scores import best, cascade, pair_up, softmax
 from kontor.functions.text import model_text, strip
 from kontor.operators.attempts import first_decisive, two_stage_outcome
 from kontor.operators.filters import pending, sentinel_pending
-from kontor.operators.joins import left_join_null_safe, merge_progress
+from kontor.operators.joins import left_join_null_safe, merge_progress, not_done
 from kontor.operators.numbering import batches
 from kontor.operators.projection import ensure_columns, quoted
 from kontor.operators.reports import two_level_distribution
 from kontor.operators.sizing import written
-from kontor.sources.tabular import append_csv, scan_or_empty
+from kontor.sources.tabular import append_csv, as_text, scan_or_empty
 from kontor.sources.taxonomy import Taxonomy
 
 LABELS = ("Category", "Subcategory")
@@ -149,36 +149,93 @@ def run_single_prompt(
     return apply_labels(prepared, single_outcome(replies, key, taxonomy), key)
 
 
-def run_saved(
-    rows: DataFrame, progress: DataFrame | None, key: str, name: str, purpose: str, taxonomy: Taxonomy,
-    answer: Callable[[DataFrame], DataFrame], output: str, errors: str, size: int = ROWS_AT_ONCE,
-    rounds: int | None = None,
+def _saved(
+    rows: DataFrame, progress: DataFrame | None, key: str, is_pending: Column,
+    ask: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]], output: str, errors: str | None, size: int,
+    rounds: int | None, report: Callable[[dict], None] | None,
 ) -> DataFrame:
-    """The single-prompt round batch by batch, each one's labels saved before the next is asked.
+    """A round batch by batch: the labels `ask` gives for the rows of a batch are saved before the next one begins.
 
-    Labels go to the CSV folder `output`, failed attempts to `errors`.  A run that breaks off,
-    or stops after `rounds` batches, goes on with the rows that have no label yet; rows that
-    were only rate-limited are asked again.  Only keys are numbered.  Returns all rows.
+    `ask` gives labels (key, category, subcategory) and failed attempts (key, attempt, error) or None.  A
+    failure that `errors` holds already, as its batch broke off before its labels were saved, is not
+    added again.  `report` is told the number of each batch and what was written, counted on the way.
     """
     spark = rows.sparkSession
     known = prepare(rows, progress, key)
+    if not known.filter(quoted(key).isNull()).isEmpty():
+        raise ValueError(f"rows without {key} cannot be saved batch by batch: their labels would find no way back")
 
     def with_saved() -> DataFrame:
         return prepare(known, scan_or_empty(spark, output, [key, *LABELS]), key)
 
     prepared = with_saved()
-    open_keys = prepared.filter(pending(needed=purpose)).select(quoted(key)).filter(quoted(key).isNotNull()).distinct()
+    open_keys = prepared.filter(is_pending).select(quoted(key)).distinct()
     numbered = written(batches(open_keys, [key], size), "open-rows")
     last = numbered.agg(F.max("batch_no")).first()[0]
     found = 0 if last is None else last + 1
     for number in range(found if rounds is None else min(found, rounds)):
         asked = prepared.join(numbered.filter(F.col("batch_no") == number).select(quoted(key)), key)
+        labels, failed = ask(asked)
+        done = {"batch": number, "failed": 0}
+        if failed is not None:
+            before = scan_or_empty(spark, errors, [key, "attempt", "error"])
+            done["failed"] = append_csv(not_done(as_text(failed.select(quoted(key), "attempt", "error")), before, [key, "attempt"]), errors)
+        done["labelled"] = append_csv(labels.select(quoted(key), "category", "subcategory").toDF(key, *LABELS), output)
+        if report is not None:
+            report(done)
+    return with_saved()
+
+
+def run_saved(
+    rows: DataFrame, progress: DataFrame | None, key: str, name: str, purpose: str, taxonomy: Taxonomy,
+    answer: Callable[[DataFrame], DataFrame], output: str, errors: str, size: int = ROWS_AT_ONCE,
+    rounds: int | None = None, report: Callable[[dict], None] | None = None,
+) -> DataFrame:
+    """The single-prompt round batch by batch, each one's labels saved before the next is asked.
+
+    Labels go to the CSV folder `output`, failed attempts to `errors`.  A run that breaks off,
+    or stops after `rounds` batches, goes on with the rows that have no label yet; rows that
+    were only rate-limited are asked again.  Only keys are numbered; a row without a key
+    raises.  Returns all rows.
+    """
+    def ask(asked: DataFrame):
         replies = written(answer(single_requests(asked, key, name, purpose, taxonomy)), "replies")
-        failed = replies.filter(F.col("error").isNotNull()).select(quoted(key), "attempt", "error")
-        append_csv(failed, errors)
         labels = single_outcome(replies, key, taxonomy).filter(F.col("category").isNotNull())
-        append_csv(labels.toDF(key, *LABELS), output)
-    return with_saved()
+        return labels, replies.filter(F.col("error").isNotNull())
+
+    return _saved(rows, progress, key, pending(needed=purpose), ask, output, errors, size, rounds, report)
+
+
+def run_two_prompts_saved(
+    rows: DataFrame, progress: DataFrame | None, key: str, taxonomy: Taxonomy, answer: Callable[[DataFrame], DataFrame],
+    output: str, errors: str, size: int = ROWS_AT_ONCE, rounds: int | None = None,
+    report: Callable[[dict], None] | None = None,
+) -> DataFrame:
+    """The two-prompt round batch by batch, as `run_saved`; a later run asks (unknown, unknown) rows again, too.
+
+    `attempt` of a failure names its stage as well, as each stage counts its own.
+    """
+    def ask(asked: DataFrame):
+        replies = written(answer(asked), "replies")
+        labels = two_prompt_outcome(replies, key, taxonomy).filter(F.col("category").isNotNull())
+        place = F.concat_ws(".", "stage", "attempt").alias("attempt")
+        return labels, replies.filter(F.col("error").isNotNull()).select(quoted(key), place, "error")
+
+    return _saved(rows, progress, key, sentinel_pending(*LABELS), ask, output, errors, size, rounds, report)
+
+
+def run_by_scores_saved(
+    rows: DataFrame, progress: DataFrame | None, key: str, name: str, purpose: str, taxonomy: Taxonomy, score, output: str,
+    min_score: float = V.MIN_SCORE, size: int = ROWS_AT_ONCE, rounds: int | None = None,
+    report: Callable[[dict], None] | None = None,
+) -> DataFrame:
+    """The score-based round batch by batch, as `run_saved`; the scorer answers always, so there are no failures."""
+    def ask(asked: DataFrame):
+        scored = by_scores(asked.select(quoted(key), quoted(name), quoted(purpose)), name, purpose, taxonomy, score, min_score)
+        labels = scored.select(quoted(key), F.col("Category").alias("category"), F.col("Subcategory").alias("subcategory"))
+        return written(labels, "labels"), None
+
+    return _saved(rows, progress, key, pending(needed=purpose), ask, output, None, size, rounds, report)
 
 
 def run_two_prompts(

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from kontor.operators.projection import quoted
+from kontor.operators.reports import observed
 
 
 def _path(spark: SparkSession, path: str):
@@ -117,8 +118,8 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
-) -> None:
-    """A Parquet table laid out for the usual access paths.
+) -> int:
+    """A Parquet table laid out for the usual access paths; gives the number of rows, counted as they are written.
 
     With `partition_by` the rows are rebalanced, not repartitioned: a value that
     holds a third of the rows is written by many tasks, a rare one by one.
@@ -127,10 +128,12 @@ def write_table(
     rows = df.hint("rebalance", *partition_by) if partition_by else df
     if sort_by:
         rows = rows.sortWithinPartitions(*(quoted(name) for name in (*partition_by, *sort_by)))
-    writer = rows.write.mode("overwrite")
+    counted, count = observed(rows)
+    writer = counted.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    return count.get["n"]
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:

@@ -14,7 +14,7 @@ from kontor import fixed_values as V
 from kontor.functions.text import blank_to_null, missing_to_null
 from kontor.operators.filters import split_by
 from kontor.operators.projection import ensure_columns, pick, quoted, require_distinct_names
-from kontor.operators.reports import key_set
+from kontor.operators.reports import key_set, observed
 from kontor.sources.store import data_files, exists
 
 # Without column pruning a row's cells are counted whatever columns are asked for.
@@ -113,8 +113,8 @@ def write_csv(df: DataFrame, path: str) -> None:
     as_text(df).write.mode("overwrite").options(**WRITE).csv(path)
 
 
-def append_csv(df: DataFrame, path: str) -> None:
-    """Add rows; every file carries its own header, so none is repeated inside one.
+def append_csv(df: DataFrame, path: str) -> int:
+    """Add rows; every file carries its own header, so none is repeated inside one.  Gives their number, counted on the way.
 
     Columns go in the order of the present header; other names than its raise.
     """
@@ -122,8 +122,9 @@ def append_csv(df: DataFrame, path: str) -> None:
     present = header(spark, path) if exists(spark, path) else None
     if present is not None and sorted(present) != sorted(df.columns):
         raise ValueError(f"columns {df.columns} do not fit the header {present} below {path}")
-    rows = as_text(df if present is None else pick(df, present))
+    rows, count = observed(as_text(df if present is None else pick(df, present)))
     rows.write.mode("append").options(**WRITE).csv(path)
+    return count.get["n"]
 
 
 def append_reconciled(df: DataFrame, path: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kontor.functions import sql as sql_functions
 from kontor.functions.links import search_url
 from kontor.operators import constraints, dedup, joins
 from kontor.operators.filters import pending
@@ -303,3 +304,30 @@ def first_current_row(spark, sf):
         table(spark, sf, "lineitem"), "l_orderkey", ["l_linenumber", "l_shipdate"], F.col("l_returnflag") == "R",
         F.col("l_shipdate"), "current_date_value",
     )
+
+
+@query("contact_report_sql", views=("v_place", "v_registered", "v_contact"), sql=f"""
+    SELECT r_name AS category, year(CASE WHEN phrase LIKE 'Registered on%' AND year(day) BETWEEN 1800 AND 2030 THEN day END) AS year,
+        count(*) AS total, count(phone_numbers) AS has_phone, count(email) AS has_email, count(website) AS has_website
+    FROM (SELECT *, try_strptime(right(phrase, 10), '%d.%m.%Y')::DATE AS day FROM v_registered)
+        JOIN customer USING (c_custkey) JOIN v_place ON n_nationkey = c_nationkey JOIN v_contact k ON k.key = c_custkey
+    WHERE coalesce(phone_numbers, email, website) IS NOT NULL GROUP BY 1, 2""")
+def contact_report_sql(spark, sf):
+    """The report on companies with contacts as plain SQL over functions that are themselves SQL."""
+    sql_functions.register(spark)
+    for name, rows in {
+        "report_register": B.with_phrase(B.placed(table(spark, sf, "customer"), spark, sf), spark, sf),
+        "report_texts": table(spark, sf, "documents"), "report_pages": table(spark, sf, "pages"),
+    }.items():
+        rows.createOrReplaceTempView(name)
+    return spark.sql(f"""
+        WITH contact AS (
+            SELECT coalesce(doc_id, page_id) AS key, join_list(phones_in_text(text, r'{B.PHONE}')) AS phone_numbers,
+                first_email(text) AS email, CASE WHEN is_website(url) THEN normalise_website(url) END AS website
+            FROM report_texts FULL JOIN report_pages ON page_id = doc_id
+        )
+        SELECT r_name AS category, year(registration_date(phrase)) AS year, count(*) AS total, count(phone_numbers) AS has_phone,
+            count(email) AS has_email, count(website) AS has_website
+        FROM report_register JOIN contact ON key = c_custkey
+        WHERE phone_numbers IS NOT NULL OR email IS NOT NULL OR website IS NOT NULL
+        GROUP BY ALL""")

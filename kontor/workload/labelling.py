@@ -242,7 +242,7 @@ def letter_score_sql(text: str, letter: str) -> str:
     return f"60.0 * CAST(length({text}) - length(replace({text}, {letter}, '')) AS double) / (length({text}) + 1)"
 
 
-@query("zero_shot_classify", views=("v_place",), sql=f"""
+ZERO_SHOT_SQL = f"""
     WITH t AS (SELECT c_custkey, array_to_string({words_sql(TEXT_SQL)}, ' ') AS t
         FROM customer LEFT JOIN documents ON doc_id = c_custkey),
     s1 AS (SELECT c_custkey, t, r_name, {letter_score_sql('t', 'lower(substr(r_name, 2, 1))')} AS s
@@ -255,7 +255,10 @@ def letter_score_sql(text: str, letter: str) -> str:
     b2 AS (SELECT *, exp(s) / sum(exp(s)) OVER (PARTITION BY c_custkey) AS q FROM s2
         QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY s DESC, n_name) = 1)
     SELECT c_custkey, CASE WHEN p < 0.5 THEN 'Other' ELSE r_name END AS category,
-        CASE WHEN p < 0.5 THEN 'Other' WHEN q < 0.5 THEN r_name ELSE n_name END AS subcategory FROM b2""")
+        CASE WHEN p < 0.5 THEN 'Other' WHEN q < 0.5 THEN r_name ELSE n_name END AS subcategory FROM b2"""
+
+
+@query("zero_shot_classify", views=("v_place",), sql=ZERO_SHOT_SQL)
 def zero_shot_classify(spark, sf):
     """The two-stage cascade through the scorer hook, default threshold."""
     rows = table(spark, sf, "customer").join(
@@ -385,14 +388,16 @@ def classification_resume(spark, sf):
     )
 
 
-@query("two_prompt_round", views=("v_classified",), sql="""
+TWO_PROMPT_SQL = """
     SELECT "IDI" AS idi,
         CASE WHEN quality = 1 THEN "Category" WHEN c_custkey % 5 = 0 THEN 'Other' ELSE "Category" END AS category,
         CASE WHEN quality = 1 THEN "Subcategory" WHEN c_custkey % 5 = 0 THEN 'Other' WHEN c_custkey % 7 = 0 THEN "Category"
             ELSE "Subcategory" END AS subcategory
-    FROM v_classified LEFT JOIN labels ON doc_id = c_custkey""")
-def two_prompt_round(spark, sf):
-    """Earlier (unknown, unknown) rows are asked again, labelled ones are not."""
+    FROM v_classified LEFT JOIN labels ON doc_id = c_custkey"""
+
+
+def _two_prompts(spark, sf):
+    """Rows, earlier labels, of which unknown ones are asked again, and the outside model."""
     places = B.placed(table(spark, sf, "customer"), spark, sf)
     rows = places.select(B.idi("c_custkey").alias("IDI"), "c_custkey", "r_name", "n_name")
     labels = table(spark, sf, "labels").join(rows, F.col("doc_id") == F.col("c_custkey"))
@@ -412,10 +417,48 @@ def two_prompt_round(spark, sf):
             F.lit(None).cast("string").alias("error"),
         )
 
-    found = classification.run_two_prompts(rows, done, "IDI", B.taxonomy(spark, sf), answer)
-    return found.select(
-        F.col("IDI").alias("idi"), F.col("Category").alias("category"), F.col("Subcategory").alias("subcategory")
-    )
+    return rows, done, answer
+
+
+def _labelled(rows):
+    return rows.select(F.col("IDI").alias("idi"), F.col("Category").alias("category"), F.col("Subcategory").alias("subcategory"))
+
+
+@query("two_prompt_round", views=("v_classified",), sql=TWO_PROMPT_SQL)
+def two_prompt_round(spark, sf):
+    """Earlier (unknown, unknown) rows are asked again, labelled ones are not."""
+    rows, done, answer = _two_prompts(spark, sf)
+    return _labelled(classification.run_two_prompts(rows, done, "IDI", B.taxonomy(spark, sf), answer))
+
+
+@query("two_prompt_resume", views=("v_classified",), sql=TWO_PROMPT_SQL)
+def two_prompt_resume(spark, sf):
+    """The same saved batch by batch, broken off after the first of about three and started again."""
+    rows, done, answer = _two_prompts(spark, sf)
+    output, errors = scratch_path(spark, "labels"), scratch_path(spark, "errors")
+    size = -(-rows.count() // 3)
+    for rounds in (1, None):
+        found = classification.run_two_prompts_saved(
+            rows, done, "IDI", B.taxonomy(spark, sf), answer, output, errors, size, rounds
+        )
+    return _labelled(found)
+
+
+@query("score_resume", views=("v_place",), sql=f"""
+    WITH zero_shot AS ({ZERO_SHOT_SQL})
+    SELECT {B.idi_sql('c_custkey')} AS idi, CASE WHEN text IS NOT NULL THEN category END AS category,
+        CASE WHEN text IS NOT NULL THEN subcategory END AS subcategory
+    FROM zero_shot LEFT JOIN documents ON doc_id = c_custkey""")
+def score_resume(spark, sf):
+    """The score-based round over the companies with a text, saved batch by batch, broken off and started again."""
+    rows = table(spark, sf, "customer").join(table(spark, sf, "documents"), F.col("c_custkey") == F.col("doc_id"), "left")
+    rows = rows.select(B.idi("c_custkey").alias("IDI"), "c_name", "text")
+    output, size = scratch_path(spark, "labels"), -(-table(spark, sf, "documents").count() // 3)
+    for rounds in (1, None):
+        found = classification.run_by_scores_saved(
+            rows, None, "IDI", "c_name", "text", B.taxonomy(spark, sf), scoring.scorer(letter_model), output, size=size, rounds=rounds
+        )
+    return _labelled(found)
 
 
 @query("batch_plan", sql="""
@@ -453,3 +496,12 @@ def rate_audit(spark, sf):
 def progress_share(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     return numbering.progress(rows.select("doc_id", "quality"), ["doc_id"], F.col("quality").isNotNull()).drop("quality")
+
+
+@query("rate_audit_sliding", sql="""
+    SELECT ts, max(requests) AS requests
+    FROM (SELECT ts, count(*) OVER (ORDER BY ts RANGE BETWEEN INTERVAL 59.999999 SECONDS PRECEDING AND CURRENT ROW) AS requests FROM events)
+    WHERE requests > 1 GROUP BY ts""")
+def rate_audit_sliding(spark, sf):
+    """Times with more than one event in the last 60 seconds, also across a full minute or hour."""
+    return numbering.rate_audit_sliding(table(spark, sf, "events"), "ts", 1)

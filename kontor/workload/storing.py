@@ -317,3 +317,51 @@ def bucketed_rejoin(spark, sf):
     return rejoin(*halves, key="key").select(
         "key", F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("price"), F.col("o_custkey").alias("customer")
     )
+
+
+@query("stream_name_cache", sql="""
+    SELECT event_id, user_id, CASE WHEN event_id % 2 = 1 THEN coalesce(known, own) ELSE own END AS record
+    FROM (SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN props END AS own FROM events)
+    LEFT JOIN (SELECT user_id, min_by(props, event_id) AS known FROM events
+        WHERE event_type = 'purchase' AND event_id % 2 = 0 GROUP BY 1) USING (user_id)""")
+def stream_name_cache(spark, sf):
+    """Look-ups by user, of which purchases find a record; a second start gives later rows what the first one found."""
+    source, target, checkpoint = (scratch_path(spark, name) for name in ("lookups", "found", "progress"))
+    rows = table(spark, sf, "events").select(
+        "event_id", "user_id", F.when(F.col("event_type") == "purchase", F.col("props")).alias("record")
+    )
+    for part in range(2):
+        rows.filter(F.col("event_id") % 2 == part).write.mode("append").parquet(source)
+        stream = incremental.file_stream(spark, source, rows.schema, files_per_batch=100_000)
+        found = incremental.cached_records(stream, "user_id", ["record"], "event_id", 86_400_000)
+        incremental.append(found, target, checkpoint, empty_batches=False)
+    return spark.read.schema(rows.schema).parquet(target)
+
+
+@query("stream_contact_join", sql="""
+    SELECT r.event_id, r.user_id, c.event_id AS contact_id
+    FROM events r LEFT JOIN events c ON c.user_id = r.user_id AND c.event_type = 'purchase'
+        AND c.ts BETWEEN r.ts AND r.ts + INTERVAL 12 HOUR
+    WHERE r.event_type = 'click'""")
+def stream_contact_join(spark, sf):
+    """Clicks with the purchases of the next 12 hours, which arrive one start later; joined as two streams."""
+    early, late, target, checkpoint = (scratch_path(spark, name) for name in ("early", "late", "joined", "progress"))
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    third = F.least(F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(first))) * 3 / (F.unix_micros(F.lit(last)) - F.unix_micros(F.lit(first)) + 1)), F.lit(2))
+    rows = events.select(third.alias("third"), "event_type", "event_id", "user_id", "ts")
+    left = rows.filter("event_type = 'click'").select("third", "event_id", "user_id", "ts")
+    right = rows.filter("event_type = 'purchase'").select("third", F.col("event_id").alias("contact_id"), "user_id", F.col("ts").alias("bought"))
+    # A row far ahead on both sides lets the watermark pass all others.
+    ahead = F.lit(last) + F.expr("INTERVAL 30 DAY")
+    end = spark.range(1).select(F.lit(3).cast("bigint").alias("third"), F.lit(-1).cast("bigint").alias("id"), F.lit(-1).cast("bigint").alias("user_id"), ahead.alias("time"))
+    left = left.unionByName(end.withColumnsRenamed({"id": "event_id", "time": "ts"}))
+    right = right.unionByName(end.withColumnsRenamed({"id": "contact_id", "time": "bought"}))
+    for step in range(4):
+        left.filter(F.col("third") == step).drop("third").write.mode("append").parquet(early)
+        behind = F.col("third") == step - 1 if step < 3 else F.col("third") >= 2
+        right.filter(behind).drop("third").write.mode("append").parquet(late)
+        streams = [incremental.file_stream(spark, path, df.drop("third").schema, files_per_batch=100_000) for path, df in ((early, left), (late, right))]
+        joined = incremental.left_join(*streams, "user_id", "ts", "bought", "12 HOUR")
+        incremental.append(joined.select("event_id", "user_id", "contact_id"), target, checkpoint)
+    return spark.read.parquet(target).filter("event_id >= 0")
