@@ -19,8 +19,9 @@ class Taxonomy:
         self.categories = categories.select("position", "category", "subcategories")
 
     @classmethod
-    def read_json(cls, spark: SparkSession, path: str) -> "Taxonomy":
-        nested = spark.read.schema(SCHEMA).option("multiLine", True).json(path)
+    def read_json(cls, spark: SparkSession, path: str, multi_line: bool = True) -> "Taxonomy":
+        """From JSON files of one document each, or, without `multi_line`, of one a line; positions count within a document."""
+        nested = spark.read.schema(SCHEMA).option("multiLine", multi_line).json(path)
         return cls.from_nested(nested)
 
     @classmethod

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from kontor import fixed_values as V
+from kontor.operators.projection import pick
 from kontor.plans import cleanup, enrichment, normalised
 from kontor.plans.coverage import MaintainedCoverage
 from kontor.session import scratch_path
@@ -205,36 +207,48 @@ def csv_rejects(spark, sf):
 
 @query("promote_temporary", sql="SELECT p_partkey, p_name FROM part")
 def promote_temporary(spark, sf):
-    """An old table, and a finished temporary one that takes its place."""
+    """An old table with other names, and a finished temporary one that takes its place."""
     final, temporary = scratch_path(spark, "final"), scratch_path(spark, "temporary")
     rows = table(spark, sf, "part").select("p_partkey", "p_name")
-    store.replace_parquet(rows.limit(1), final)
+    store.replace_parquet(rows.withColumn("p_name", F.lit("old")), final)
     rows.write.parquet(temporary)
     store.promote(spark, temporary, final)
     return spark.read.parquet(final)
 
 
-@query("create_and_insert", views=("v_place",), sql="""
-    SELECT n_nationkey::BIGINT AS subcategory_id, n_name AS subcategory FROM v_place""")
+@query("create_and_insert", views=("v_place", "v_registered", "v_company"), sql="""
+    SELECT "IDI" AS idi, "Ditta" AS ditta, n_nationkey::BIGINT AS subcategory_id, "Subcategory" AS subcategory
+    FROM v_place JOIN v_company ON "Subcategory" = n_name""")
 def create_and_insert(spark, sf):
-    """The normalised tables made if missing, twice, and one of them filled."""
+    """The normalised tables made if missing, twice, filled with companies, subcategories and links, and joined."""
     database = "made_" + uuid.uuid4().hex
     spark.sql(f"CREATE DATABASE {database}")
     for _ in range(2):
         normalised.create_schema(spark, database)
-    nations = table(spark, sf, "nation")
-    nations.select(
+    nations = table(spark, sf, "nation").select(
         F.col("n_nationkey").cast("bigint"), F.col("n_regionkey").cast("bigint"), "n_name"
-    ).write.insertInto(f"{database}.subcategories")
-    return spark.table(f"{database}.subcategories").select("subcategory_id", F.col("Subcategory").alias("subcategory"))
+    )
+    nations.write.insertInto(f"{database}.subcategories")
+    companies = B.company(spark, sf)
+    pick(companies, V.COMPANY_COLUMNS).write.insertInto(f"{database}.companies")
+    links = companies.join(nations, F.col("Subcategory") == F.col("n_name")).select("IDI", "n_regionkey", "n_nationkey")
+    links.write.insertInto(f"{database}.company_categories")
+    named = spark.table(f"{database}.company_categories").join(spark.table(f"{database}.subcategories"), "subcategory_id")
+    return named.join(spark.table(f"{database}.companies"), "IDI").select(
+        F.col("IDI").alias("idi"), F.col("Ditta").alias("ditta"), "subcategory_id", F.col("Subcategory").alias("subcategory")
+    )
 
 
-@query("taxonomy_from_json", views=("v_place",), sql="SELECT r_name AS category, n_name AS subcategory FROM v_place")
+@query("taxonomy_from_json", sql="SELECT p_brand AS category, p_type AS subcategory, p_name AS item FROM part")
 def taxonomy_from_json(spark, sf):
-    """The nested document written as a JSON file and read from there."""
+    """Nested documents, one a brand and type with the names of its parts, written as JSON files and read from there."""
     path = scratch_path(spark, "taxonomy")
-    B.nested_taxonomy(spark, sf).coalesce(1).write.json(path)
-    return Taxonomy.read_json(spark, path).pairs().select("category", "subcategory")
+    parts = table(spark, sf, "part").withColumn("category", F.concat_ws("|", "p_brand", "p_type"))
+    lists = parts.groupBy("category").agg(F.array_sort(F.collect_list("p_name")).alias("subcategories"))
+    lists.select(F.array(F.struct("category", "subcategories")).alias("categories")).write.json(path)
+    found = Taxonomy.read_json(spark, path, multi_line=False).pairs()
+    both = F.split("category", "\\|")
+    return found.select(both[0].alias("category"), both[1].alias("subcategory"), F.col("subcategory").alias("item"))
 
 
 @query("surrogate_ids_resume", sql="""

@@ -221,12 +221,12 @@ def directory_chunks(spark, sf):
 
 
 @query("directory_resume", sql=f"""
-    SELECT 'Firm ' || c_custkey % 100 AS name, {B.idi_sql('c_custkey')} AS idi,
-        'https://directory.example/d/' || c_custkey % 100 AS detail_url FROM customer""")
+    SELECT 'Firm ' || c_custkey // 15 AS name, {B.idi_sql('c_custkey')} AS idi,
+        'https://directory.example/d/' || c_custkey // 15 AS detail_url FROM customer""")
 def directory_resume(spark, sf):
     """Namesakes keep their own ids over an interrupted run, and new ids of known names get a row."""
     output, temporary = scratch_path(spark, "listing"), scratch_path(spark, "unfinished")
-    number = (F.col("c_custkey") % 100).cast("string")
+    number = F.expr("c_custkey div 15").cast("string")
     firms = table(spark, sf, "customer").select(F.concat(F.lit("Firm "), number).alias("Ditta"), B.idi("c_custkey").alias("IDI"), "c_custkey")
     names = firms.select("Ditta").distinct()
     search = names.select(
@@ -235,7 +235,7 @@ def directory_resume(spark, sf):
     )
     found = written(search, "pages")
     directory.run(spark, firms.filter(F.col("c_custkey") % 3 == 0), found, output, SITE)
-    unfinished = directory.listing(spark, output).drop("ordinal").limit(1)
+    unfinished = directory.listing(spark, output).drop("ordinal")
     tabular.write_csv(unfinished, temporary)
     listing = directory.run(spark, firms, found, output, SITE, temporary)
     return listing.select(
