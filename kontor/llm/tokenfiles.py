@@ -15,7 +15,6 @@ import io
 import json
 import os
 import re
-import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 from pyspark import TaskContext
@@ -31,29 +31,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kontor.llm import mph
+from kontor.llm.chunktable import ChunkTable
 from kontor.session import scratch_path
 
-TEXTS_AT_ONCE = 256
-# Pieces a worker remembers in each of two generations, about 200 bytes each.
-PIECES_KEPT = 500_000
+# Bytes of text and number of pieces handled at once.
+BYTES_AT_ONCE, PIECES_AT_ONCE = 8_000_000, 1_000_000
 READ_BYTES = 8 * 1024 * 1024
 
 
 # --- encoding -------------------------------------------------------------------
 class PieceEncoder:
-    """The tokenizer's ids of whole texts, as little-endian bytes, with a memory of pieces.
+    """The tokenizer's ids of whole texts, with a table of pieces.
 
     A byte-level BPE encodes word by word.  A single space between two characters that
-    are no white space always begins a word, a single line break there is one, and Latin
-    letters before other ASCII marks than an apostrophe always end one: the text is cut
-    there, and each different piece is encoded once while it is remembered.  A piece that
-    is one word of Latin letters goes to the tokenizer's model at once, all others through
-    the whole tokenizer.
+    are no white space always begins a word, a single line break there is one: the text is cut
+    before both.  Each different piece of a batch is encoded once, unless the table still holds it,
+    and the ids are joined back by position.  Latin letters before other ASCII marks than an
+    apostrophe always end a word: such letters go to the tokenizer's model at once, all other pieces
+    through the whole tokenizer.  Texts of other tokenizers are not cut.
     """
 
-    LINE = re.compile(r"\n(?=\S)(?<=\S\n)")
-    CUT = re.compile(r" (?=\S)(?<=\S )")
-    WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    WORD = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    MARKS_KEPT = 50_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
@@ -62,67 +61,106 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(self.tokenizer)
         self.model = self.tokenizer.model if _byte_level(self.tokenizer) else None
-        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # by what stands before the piece
-        self.older: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
-
-    def encode(self, text: str) -> bytes:
-        if sum(map(len, self.known.values())) > PIECES_KEPT:
-            self.known, self.older = {"": {}, " ": {}}, self.known
-        return self.piece("", "\n").join(map(self.line, self.LINE.split(text)))
-
-    def line(self, text: str) -> bytes:
-        pieces, known = self.CUT.split(text), self.known[" "]
-        found = list(map(known.get, pieces))
-        found[0] = self.piece("", pieces[0])
-        try:
-            at = 0
-            while True:
-                at = found.index(None, at)
-                found[at] = known[pieces[at]] = self.new(" ", pieces[at])
-        except ValueError:
-            return b"".join(found)
-
-    def piece(self, before: str, piece: str) -> bytes:
-        """Ids of a piece that follows `before`."""
-        known = self.known[before]
-        found = known.get(piece)
-        if found is None:
-            found = known[piece] = self.new(before, piece)
-        return found
+        self.table = ChunkTable(lambda pieces: list(map(self.new, pieces)))
+        self.marks: dict[str, list[int]] = {"": []}
 
-    def new(self, before: str, piece: str) -> bytes:
-        """Ids of a piece this generation has not seen: the last one's, or encoded now."""
-        found = self.older[before].get(piece)
+    def encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        texts = texts.cast(pa.string())
+        if self.model is None:
+            yield from (np.array(self.ids(text), self.dtype) for text in texts.to_pylist())
+            return
+        pieces, bounds = cut(texts)
+        held, tokens = [np.zeros(0, self.dtype)], [np.zeros(1, np.int64)]
+        for at in range(0, len(pieces), PIECES_AT_ONCE):
+            ids, ends = self.table.joined(pieces.slice(at, PIECES_AT_ONCE))
+            held.append(ids.astype(self.dtype))
+            tokens.append(ends[1:] + tokens[-1][-1])
+        ids, places = np.concatenate(held), np.concatenate(tokens)[bounds]
+        for start, end in zip(places[:-1], places[1:]):
+            yield ids[start:end]
+
+    def new(self, piece: str) -> list[int]:
+        """Ids of a piece the table does not hold."""
+        parts = self.WORD.fullmatch(piece)
+        if parts is not None:
+            before, word, marks = parts.groups()
+            if not word.isascii():  # ASCII letters stand for themselves
+                word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            tokens = self.model.tokenize(before.translate(BYTE_LETTERS) + word)
+            return [token.id for token in tokens] + self.mark_ids(marks)
+        if len(piece) > 1 and piece[0] == "\n" and not piece[1].isspace():
+            return self.mark_ids("\n") + self.new(piece[1:])
+        return self.ids(piece)
+
+    def mark_ids(self, marks: str) -> list[int]:
+        """Marks behind a word: few different ones, so they are remembered."""
+        found = self.marks.get(marks)
         if found is None:
-            parts = self.WORD.fullmatch(piece)
-            if parts is None:
-                found = self.ids(before + piece)
-            elif not parts[2]:
-                found = self.word_ids(before, piece)
-            else:
-                found = self.piece(before, parts[1]) + self.piece("", parts[2])
+            if len(self.marks) > self.MARKS_KEPT:
+                self.marks = {"": []}
+            found = self.marks[marks] = self.ids(marks)
         return found
 
-    def ids(self, piece: str) -> bytes:
-        encoded = self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0]
-        return self.packed(encoded.ids)
+    def ids(self, piece: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids
 
-    def word_ids(self, before: str, word: str) -> bytes:
-        if self.model is None:
-            return self.ids(before + word)
-        if not word.isascii():  # ASCII letters stand for themselves
-            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-        tokens = self.model.tokenize(before.translate(BYTE_LETTERS) + word)
-        return self.packed([token.id for token in tokens])
 
-    def packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
+def _no_white_space() -> np.ndarray:
+    """Which bytes are no white space of their own: ASCII controls 9 to 13 and 28 to 31, and the blank."""
+    free = np.ones(256, bool)
+    free[[*range(9, 14), *range(28, 33)]] = False
+    return free
+
+
+FREE = _no_white_space()
+
+
+def _wide_space(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarray:
+    """Where three bytes are a white space character in UTF-8; for one of two bytes, the first two."""
+    general = (three <= 0x8A) | np.isin(three, (0xA8, 0xA9, 0xAF))
+    return (
+        ((one == 0xC2) & np.isin(two, (0x85, 0xA0))) | ((one == 0xE1) & (two == 0x9A) & (three == 0x80))
+        | ((one == 0xE2) & (two == 0x80) & general) | ((one == 0xE2) & (two == 0x81) & (three == 0x9F))
+        | ((one == 0xE3) & (two == 0x80) & (three == 0x80))
+    )
+
+
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All pieces of the texts, and the number of pieces before each text and in all.
+
+    A piece begins with its text or with a blank or line break that stands alone.  Pieces are
+    slices of the texts' own bytes.
+    """
+    if not len(texts):
+        return pa.array([], pa.string()), np.zeros(1, np.int64)
+    buffers = texts.buffers()
+    offsets = np.frombuffer(buffers[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.zeros(0, np.uint8) if buffers[2] is None else np.frombuffer(buffers[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    at = np.flatnonzero((data == 32) | (data == 10))
+    at = at[~edge[at] & ~edge[at + 1]]
+    before, after = data[at - 1], data[at + 1]
+    at = at[FREE[before] & FREE[after]]
+    wide = np.flatnonzero((data[at - 1] >= 128) | (data[at + 1] >= 128))
+    if len(wide):
+        near = at[wide]
+        byte = lambda step: data.take(near + step, mode="clip")
+        space = _wide_space(byte(-3), byte(-2), byte(-1)) | _wide_space(byte(-2), byte(-1), byte(0)) | _wide_space(byte(1), byte(2), byte(3))
+        at = np.delete(at, wide[space])
+    starts = np.sort(np.concatenate([offsets[:-1][np.diff(offsets) > 0], at]))
+    ends = np.append(starts, len(data)).astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data)))
+    return pieces, np.searchsorted(starts, offsets)
 
 
 def _byte_level(tokenizer) -> bool:
     """Whether words reach the model unchanged but for the letters that stand for bytes."""
     parts = json.loads(tokenizer.to_str())
-    plain = (parts["pre_tokenizer"] or {}).get("type") == "ByteLevel" and not parts["pre_tokenizer"]["add_prefix_space"]
+    rule = parts["pre_tokenizer"] or {}
+    plain = rule.get("type") == "ByteLevel" and not rule["add_prefix_space"] and rule.get("use_regex", True)
     return plain and parts["normalizer"] is None
 
 
@@ -286,6 +324,17 @@ def write_tokens(
     return TokenFiles(folder, manifest, dtype, key_type)
 
 
+def _portions(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts in portions of about `BYTES_AT_ONCE`; a longer one is a portion of its own."""
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        stop = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BYTES_AT_ONCE, side="right"))
+        stop = max(stop, at + 1)
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def _write_shard(batches, folder, tokenizer, dtype, end_id) -> Iterator[pa.RecordBatch]:
     """Write the documents of one task; its row of the manifest, none if it has no documents."""
     batch = next((one for one in batches if one.num_rows), None)
@@ -295,16 +344,15 @@ def _write_shard(batches, folder, tokenizer, dtype, end_id) -> Iterator[pa.Recor
     fs.create_dir(path, recursive=True)
     shard = TaskContext.get().partitionId()
     name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
-    end, width, encode = np.array([end_id], dtype).tobytes(), np.dtype(dtype).itemsize, encoder(tokenizer).encode
+    end, encode = np.array([end_id], dtype).tobytes(), encoder(tokenizer).encoded
     keys, lengths = [], []
     with fs.open_output_stream(f"{path}/{name}.bin") as out:
         while batch is not None:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(at, TEXTS_AT_ONCE)
-                keys.append(part.column(0))
-                for payload in map(encode, part.column(1).to_pylist()):
-                    out.write(payload + end)
-                    lengths.append(len(payload) // width + 1)
+            keys.append(batch.column(0))
+            for part in _portions(batch.column(1)):
+                for ids in encode(part):
+                    out.write(ids.tobytes() + end)
+                    lengths.append(len(ids) + 1)
             batch = next(batches, None)
     ids = np.array(lengths, np.int64)
     column = pa.chunked_array(keys)

@@ -3,9 +3,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from kontor.llm import mph, tokenfiles
+from kontor.llm import chunktable, mph, tokenfiles
 from kontor.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -56,13 +59,47 @@ def test_keyed_access(spark, tokenizer):
     )
 
 
-def test_generations_do_not_change_ids(monkeypatch, tokenizer):
-    monkeypatch.setattr(tokenfiles, "PIECES_KEPT", 3)
+def plain(tokenizer, text):
+    return tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_full_table_does_not_change_ids(monkeypatch, tokenizer):
+    monkeypatch.setattr(chunktable, "MOST_CHUNKS", 3)
+    monkeypatch.setattr(tokenfiles, "PIECES_AT_ONCE", 5)
     encoder = tokenfiles.PieceEncoder(tokenizer_path())
-    texts = [text or "" for _, text in ODD[:-1]] * 2
-    for text in texts:
-        ids = np.frombuffer(encoder.encode(text), encoder.dtype).tolist()
-        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    texts = [text or "" for _, text in ODD]
+    for _ in range(2):
+        for some in (texts, *([text] for text in texts)):
+            assert [ids.tolist() for ids in encoder.encoded(pa.array(some))] == [plain(tokenizer, text) for text in some]
+    assert list(encoder.encoded(pa.array([], pa.string()))) == []
+    sliced = pa.array(["skipped", *texts, "too"]).slice(1, len(texts))
+    assert [ids.tolist() for ids in encoder.encoded(sliced)] == [plain(tokenizer, text) for text in texts]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(
+    "ab é\u00e9Z.,'s\n\t\r\x0b\x1c\x85\xa0\u1680\u2003\u2009\u200b\u2028\u202f\u205f\u3000日ñ1_-\U0001f600«”"), max_size=25), max_size=5))
+def test_any_text(tokenizer, texts):
+    found = tokenfiles.PieceEncoder(tokenizer_path()) if not ENCODERS else ENCODERS[0]
+    ENCODERS[:] = [found]
+    assert [ids.tolist() for ids in found.encoded(pa.array(texts, pa.string()))] == [plain(tokenizer, text) for text in texts]
+
+
+ENCODERS: list = []
+
+
+def test_texts_of_other_tokenizers_are_not_cut():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    whole, texts = Tokenizer.from_file(path), ["Two words, and\nlines", "", "  It's 3 "]
+    assert [ids.tolist() for ids in tokenfiles.PieceEncoder(path).encoded(pa.array(texts))] == [plain(whole, text) for text in texts]
+
+
+def test_portions_hold_all_texts(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "BYTES_AT_ONCE", 5)
+    texts = pa.array(["ab", "", "abcdefgh", "abc", "de", "f", ""])
+    assert [part.to_pylist() for part in tokenfiles._portions(texts)] == [["ab", ""], ["abcdefgh"], ["abc", "de"], ["f", ""]]
 
 
 @pytest.mark.parametrize("size", [0, 1, 2, 63, 64, 65, 20_000])
