@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,13 @@ class ChunkTable:
         """The row of each distinct chunk; unknown ones are segmented in one call."""
         if len(self.place) > MOST_CHUNKS or self.characters > MOST_CHARACTERS:
             self._clear()
-        rows = np.fromiter((self.place.get(one, -1) for one in distinct), np.int64, len(distinct))
+        rows = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
         unknown = np.flatnonzero(rows < 0)
         if len(unknown):
             new = [distinct[i] for i in unknown]
             found = self.segment(new)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((one for ids in found for one in ids), np.int32, int(lengths.sum()))
+            flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
             rows[unknown] = np.arange(len(new)) + len(self.place)
             self.place.update(zip(new, rows[unknown].tolist()))
             self.characters += sum(map(len, new))
@@ -47,8 +48,10 @@ class ChunkTable:
     def joined(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks in their order, where each chunk's ids begin, and the end)."""
         coded = chunks.dictionary_encode()
-        rows = self._rows(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        rows, codes = self._rows(coded.dictionary.to_pylist()), coded.indices.to_numpy()
         starts, lengths = self.offsets[rows], self.offsets[rows + 1] - self.offsets[rows]
+        starts, lengths = starts[codes], lengths[codes]
         ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])
-        places = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], lengths)
-        return self.ids[places], ends
+        places = np.repeat(starts - ends[:-1], lengths)
+        places += np.arange(ends[-1])
+        return self.ids.take(places), ends

@@ -44,14 +44,14 @@ class PieceEncoder:
     """The tokenizer's ids of whole texts, with a table of pieces.
 
     A byte-level BPE encodes word by word.  A single space between two characters that
-    are no white space always begins a word, a single line break there is one: the text is cut
-    before both.  Each different piece of a batch is encoded once, unless the table still holds it,
-    and the ids are joined back by position.  Latin letters before other ASCII marks than an
-    apostrophe always end a word: such letters go to the tokenizer's model at once, all other pieces
-    through the whole tokenizer.  Texts of other tokenizers are not cut.
+    are no white space always begins a word, a single line break there is one, and an ASCII mark other than
+    an apostrophe behind a Latin letter begins one: the text is cut before all three.  Each different piece of
+    a batch is encoded once, unless the table still holds it, and the ids are joined back by
+    position.  A piece that is one word of Latin letters goes to the tokenizer's model at once, all
+    others through the whole tokenizer.  Texts of other tokenizers are not cut.
     """
 
-    WORD = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
     MARKS_KEPT = 50_000
 
     def __init__(self, path: str):
@@ -61,8 +61,9 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(self.tokenizer)
         self.model = self.tokenizer.model if _byte_level(self.tokenizer) else None
-        self.table = ChunkTable(lambda pieces: list(map(self.new, pieces)))
-        self.marks: dict[str, list[int]] = {"": []}
+        self.begins = _beginning_marks(self.tokenizer)
+        self.table = ChunkTable(self.segmented)
+        self.marks: dict[str, list[int]] = {}
 
     def encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text."""
@@ -70,7 +71,7 @@ class PieceEncoder:
         if self.model is None:
             yield from (np.array(self.ids(text), self.dtype) for text in texts.to_pylist())
             return
-        pieces, bounds = cut(texts)
+        pieces, bounds = cut(texts, self.begins)
         held, tokens = [np.zeros(0, self.dtype)], [np.zeros(1, np.int64)]
         for at in range(0, len(pieces), PIECES_AT_ONCE):
             ids, ends = self.table.joined(pieces.slice(at, PIECES_AT_ONCE))
@@ -80,32 +81,59 @@ class PieceEncoder:
         for start, end in zip(places[:-1], places[1:]):
             yield ids[start:end]
 
-    def new(self, piece: str) -> list[int]:
-        """Ids of a piece the table does not hold."""
-        parts = self.WORD.fullmatch(piece)
-        if parts is not None:
-            before, word, marks = parts.groups()
-            if not word.isascii():  # ASCII letters stand for themselves
-                word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-            tokens = self.model.tokenize(before.translate(BYTE_LETTERS) + word)
-            return [token.id for token in tokens] + self.mark_ids(marks)
-        if len(piece) > 1 and piece[0] == "\n" and not piece[1].isspace():
-            return self.mark_ids("\n") + self.new(piece[1:])
-        return self.ids(piece)
+    def segmented(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces the table does not hold."""
+        tokenize, blank = self.model.tokenize, BYTE_LETTERS[ord(" ")]
+        found = []
+        for piece in pieces:
+            if piece.isascii():  # ASCII letters stand for themselves
+                if piece[0] == " " and piece[1:].isalpha():
+                    found.append([token.id for token in tokenize(blank + piece[1:])])
+                elif piece.isalpha():
+                    found.append([token.id for token in tokenize(piece)])
+                else:
+                    found.append(self.other(piece))
+            elif self.WORD.fullmatch(piece):
+                letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+                found.append([token.id for token in tokenize(letters)])
+            else:
+                found.append(self.other(piece))
+        return found
 
-    def mark_ids(self, marks: str) -> list[int]:
-        """Marks behind a word: few different ones, so they are remembered."""
-        found = self.marks.get(marks)
-        if found is None:
+    def other(self, piece: str) -> list[int]:
+        """Ids of a piece that is not one word; those of few characters are remembered beyond the table."""
+        if len(piece) > 1 and piece[0] == "\n" and not piece[1].isspace():
+            return self.other("\n") + self.segmented([piece[1:]])[0]
+        if len(piece) > 3:
+            return self.ids(piece)
+        if piece not in self.marks:
             if len(self.marks) > self.MARKS_KEPT:
-                self.marks = {"": []}
-            found = self.marks[marks] = self.ids(marks)
-        return found
+                self.marks = {}
+            self.marks[piece] = self.ids(piece)
+        return self.marks[piece]
 
     def ids(self, piece: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids
 
 
+def _beginning_marks(tokenizer) -> np.ndarray:
+    """Which bytes begin a word behind a Latin letter: ASCII marks, but no apostrophe, and none that does so inside an added token."""
+    begins = np.zeros(256, bool)
+    begins[[byte for byte in range(33, 127) if not chr(byte).isalnum() and byte != ord("'")]] = True
+    for token in tokenizer.get_added_tokens_decoder().values():
+        begins[[ord(b) for a, b in zip(token.content, token.content[1:]) if a.isalpha() and b.isascii()]] = False
+    return begins
+
+
+def _letters() -> np.ndarray:
+    letters = np.zeros(256, bool)
+    letters[[*range(65, 91), *range(97, 123)]] = True
+    return letters
+
+
+LETTERS = _letters()
+
+
 def _no_white_space() -> np.ndarray:
     """Which bytes are no white space of their own: ASCII controls 9 to 13 and 28 to 31, and the blank."""
     free = np.ones(256, bool)
@@ -126,11 +154,11 @@ def _wide_space(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarr
     )
 
 
-def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+def cut(texts: pa.Array, begins: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """All pieces of the texts, and the number of pieces before each text and in all.
 
-    A piece begins with its text or with a blank or line break that stands alone.  Pieces are
-    slices of the texts' own bytes.
+    A piece begins with its text, with a blank or line break that stands alone, or behind an
+    ASCII letter with one of the marks in `begins`.  Pieces are slices of the texts' own bytes.
     """
     if not len(texts):
         return pa.array([], pa.string()), np.zeros(1, np.int64)
@@ -150,7 +178,8 @@ def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         byte = lambda step: data.take(near + step, mode="clip")
         space = _wide_space(byte(-3), byte(-2), byte(-1)) | _wide_space(byte(-2), byte(-1), byte(0)) | _wide_space(byte(1), byte(2), byte(3))
         at = np.delete(at, wide[space])
-    starts = np.sort(np.concatenate([offsets[:-1][np.diff(offsets) > 0], at]))
+    marks = np.flatnonzero(begins[data[1:]] & LETTERS[data[:-1]]) + 1
+    starts = np.sort(np.concatenate([offsets[:-1][np.diff(offsets) > 0], at, marks[~edge[marks]]]))
     ends = np.append(starts, len(data)).astype(np.int32)
     pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data)))
     return pieces, np.searchsorted(starts, offsets)
@@ -161,7 +190,8 @@ def _byte_level(tokenizer) -> bool:
     parts = json.loads(tokenizer.to_str())
     rule = parts["pre_tokenizer"] or {}
     plain = rule.get("type") == "ByteLevel" and not rule["add_prefix_space"] and rule.get("use_regex", True)
-    return plain and parts["normalizer"] is None
+    own = any(token["lstrip"] or token["rstrip"] or token["single_word"] for token in parts["added_tokens"])
+    return plain and not own and parts["normalizer"] is None
 
 
 def _byte_letters() -> dict[int, str]:
