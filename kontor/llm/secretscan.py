@@ -1,10 +1,11 @@
 """Secrets in texts: three fixed patterns, and literals assigned to names that mean a secret.
 
 The second part reads statements of source and configuration syntax: a target name, an
-assignment sign, and a literal, a sum of literals, or the name of a constant.  Constants
-are resolved within their text, also over several steps and before their definition.  A
-literal counts by how much its target's name means a secret and how little it looks like
-a placeholder.
+assignment sign, and a sum of literals and names of constants; also block scalars and
+pairs of attributes (key="..." value="...").  Constants are resolved within their text,
+also over several steps and before their definition.  An expression counts by how much its
+target's name means a secret and how little all its parts together look like a
+placeholder; all parts of a sum that counts are marked, wherever they are defined.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -43,12 +45,19 @@ LEAST_LITERAL, LEAST_SCORE = 8, 0.5
 _COPIED = r"[A-Za-z_$][A-Za-z0-9_$.\-]*"
 _NAME = _COPIED + "+"  # possessive, so names of any length are read in linear time
 _LITERAL = r'"(?:[^"\\\n]|\\.)*+"|' + r"'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`"
+_TERM = rf"(?:{_LITERAL})|{_NAME}(?![(\[])"
 STATEMENT = re.compile(
     rf"(?<![A-Za-z0-9_$.\-])(?:[\"']({_NAME})[\"']|({_NAME}))(?:\[[\"']({_NAME})[\"']\])?"
     rf"[ \t]*(?:\:[ \t]*[A-Za-z_][A-Za-z0-9_]*[ \t]*=|:=|=>|[:=])(?![=:])[ \t]*"
-    rf"(?:((?:{_LITERAL})(?:[ \t]*\+[ \t]*(?:{_LITERAL}))*+)|({_COPIED}(?![\w(]))|([^\s\"'`,;#{{}}\[\]()<>]+))"
+    rf"(?:((?:{_LITERAL}|{_COPIED}(?![\w(]))(?:[ \t]*\+[ \t]*(?:{_TERM}))*+)|([^\s\"'`,;#{{}}\[\]()<>]+))"
 )
-_ONE = re.compile(_LITERAL)
+# Attributes of one element, and a key whose value is the deeper lines below it.
+PAIR = re.compile(rf"""(?<![\w-])(?:key|name|id)=["']({_NAME})["'][ \t]+value=["']([^"'\n]*+)["']""")
+BLOCK = re.compile(
+    rf"""(?m)^([ \t]*+)["']?({_NAME})["']?:[ \t]*[|>][+-]?[0-9]?[ \t]*\n((?:\1[ \t]++[^\s].*+(?:\n|\Z)|[ \t]*+\n)++)"""
+)
+_ONE = re.compile(rf"{_LITERAL}|{_COPIED}")
+_LINE = re.compile(r"(?m)^[ \t]*+(?!-----)(\S+(?:[ \t]+\S+)*)")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -76,55 +85,114 @@ def name_score(name: str) -> float:
     return min(1.0, max(joined, sum(MEANING.get(part, MEANING.get(part.removesuffix("s"), 0.0)) for part in parts)))
 
 
-def literal_score(value: str) -> float:
-    """0 for short values, prose and placeholders; towards 1 the more its characters vary."""
-    if len(value) < LEAST_LITERAL or PLACEHOLDER.search(value) or value.count(" ") > 2:
+def varied(counts: Counter) -> float:
+    """0 for short values and prose; towards 1 the more the counted characters vary."""
+    size = counts.total()
+    if size < LEAST_LITERAL or counts[" "] > 2:
         return 0.0
-    counts = [value.count(one) for one in set(value)]
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts)
-    kinds = sum(any(test(one) for one in value) for test in (str.islower, str.isupper, str.isdigit))
+    entropy = -sum(n / size * math.log2(n / size) for n in counts.values())
+    kinds = sum(any(map(test, counts)) for test in (str.islower, str.isupper, str.isdigit))
     return min(1.0, entropy / 3.5) * (1.0 if kinds > 1 else 0.85)
 
 
-def statements(text: str) -> Iterator[tuple[str, list[tuple[int, int]], str | None]]:
-    """(target name, spans of its literal's parts, name it copies) of each assignment."""
+def literal_score(value: str) -> float:
+    """0 for short values, prose and placeholders; towards 1 the more its characters vary."""
+    return 0.0 if PLACEHOLDER.search(value) else varied(Counter(value))
+
+
+def statements(text: str) -> Iterator[tuple[str, list[tuple[int, int, str | None]]]]:
+    """(target name, parts of its value) of each assignment; a part is (start, end, the constant's name or None)."""
     for match in STATEMENT.finditer(text):
         name = match[3] or match[1] or match[2]
         if match[4] is not None:
             at = match.start(4)
-            yield name, [(at + m.start() + 1, at + m.end() - 1) for m in _ONE.finditer(match[4])], None
-        elif match[5] is not None:
-            yield name, [match.span(5)], match[5]
+            parts = ((at + m.start(), at + m.end(), m[0]) for m in _ONE.finditer(match[4]))
+            yield name, [(a + 1, b - 1, None) if one[0] in "\"'`" else (a, b, one) for a, b, one in parts]
         else:
-            yield name, [match.span(6)], None
+            yield name, [(*match.span(5), None)]
+    if "value=" in text:
+        for match in PAIR.finditer(text):
+            yield match[1], [(*match.span(2), None)]
+    if "|" in text or ">" in text:
+        for match in BLOCK.finditer(text):
+            at = match.start(3)
+            yield match[2], [(at + m.start(1), at + m.end(1), None) for m in _LINE.finditer(match[3])]
+
+
+def _resolved(read: list[tuple[str, list]]) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
+    """(target, spans of its own literals, constants it names).  An unknown name alone is a value if it holds a digit."""
+    known = {name for name, _ in read}
+    result = []
+    for name, parts in read:
+        spans = [(a, b) for a, b, one in parts if one is None]
+        named = [one for _, _, one in parts if one in known]
+        if not spans and not named and any(any(map(str.isdigit, one)) for _, _, one in parts):
+            spans = [(a, b) for a, b, _ in parts]  # a bare word, as configuration has it
+        result.append((name, spans, named))
+    return result
+
+
+def _contents(text: str, read: list[tuple[str, list, list]]) -> dict[str, Counter]:
+    """Counted characters of each name's first value, its constants' among them; one that names itself adds nothing."""
+    first = {name: (spans, named) for name, spans, named in reversed(read)}
+    done: dict[str, Counter] = {}
+    for name in first:
+        todo, begun = [name], set()
+        while todo:
+            one = todo[-1]
+            spans, named = first[one]
+            if one not in done and one not in begun:
+                begun.add(one)
+                todo += [other for other in named if other not in done and other not in begun]
+                continue
+            todo.pop()
+            if one not in done:
+                done[one] = Counter("".join(text[a:b] for a, b in spans))
+                for other in named:
+                    done[one].update(done.get(other, ()))
+    return done
 
 
 def named_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of literals whose target, directly or by way of constants, means a secret."""
     if "=" not in text and ":" not in text:
         return []
-    read = list(statements(text))
+    read = _resolved(list(statements(text)))
     wanted = {name: name_score(name) for name, _, _ in read}
-    literals: dict[str, list[list[tuple[int, int]]]] = {}
-    copies: dict[str, set[str]] = {}
-    for name, spans, copied in read:
-        if copied in wanted:
-            copies.setdefault(name, set()).add(copied)
-        elif copied is None or any(map(str.isdigit, copied)):  # a bare word is a value only in configuration
-            literals.setdefault(name, []).append(spans)
+    if not any(wanted.values()):
+        return []
+    by_name: dict[str, list[tuple[list, list]]] = {}
+    for name, spans, named in read:
+        by_name.setdefault(name, []).append((spans, named))
     todo = [name for name, score in wanted.items() if score]
     while todo:  # a constant means what the names it reaches mean
         name = todo.pop()
-        for copied in copies.get(name, ()):
-            if wanted.get(copied, 0.0) < wanted[name]:
-                wanted[copied] = wanted[name]
-                todo.append(copied)
-    found = set()
+        for _, named in by_name[name]:
+            for other in named:
+                if wanted[other] < wanted[name]:
+                    wanted[other] = wanted[name]
+                    todo.append(other)
+    contents = _contents(text, read)
+    found, parts = set(), []
     for name, score in wanted.items():
-        for spans in literals.get(name, []):
-            value = "".join(text[a:b] for a, b in spans)
-            if score * literal_score(value) >= LEAST_SCORE:
+        for spans, named in by_name[name] if score else ():
+            own = "".join(text[a:b] for a, b in spans)
+            whole = Counter(own)
+            for other in named:
+                whole.update(contents[other])
+            if score * varied(whole) >= LEAST_SCORE and not PLACEHOLDER.search(own):
                 found |= {(a, b, "named") for a, b in spans if b > a}
+                if len(spans) + len(named) > 1:
+                    parts += named
+    whole_names = set()
+    while parts:  # what a secret is put together from is part of it
+        name = parts.pop()
+        if name not in whole_names:
+            whole_names.add(name)
+            for spans, named in by_name[name]:
+                if not PLACEHOLDER.search("".join(text[a:b] for a, b in spans)):
+                    found |= {(a, b, "named") for a, b in spans if b > a}
+                parts += named
     return sorted(found, key=_order)
 
 

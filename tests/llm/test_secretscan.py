@@ -58,6 +58,13 @@ def test_empty(spark):
     ("export DB_PASSPHRASE=s3cr3tV4lu3x9", ["s3cr3tV4lu3x9"]),
     ('{"auth_credentials": "Zm9vYmFyMTIz", "name": "Zm9vYmFyMTIz"}', ["Zm9vYmFyMTIz"]),
     ('pwd: "your_password_here"', []), ('passphrase = "${PASSPHRASE}"', []), ("public_key = 'MIIBIjANBgkqh9'", []),
+    ('PREFIX="sk_live_"\ntoken = PREFIX + "4eC39HqLyjWDarjtT1zdp7dc"', ["sk_live_", "4eC39HqLyjWDarjtT1zdp7dc"]),
+    ('a = "x9"\nb = a + "Kq7-"\nsigning_key = b + "Lm2v" + \'Zt5\'', ["x9", "Kq7-", "Lm2v", "Zt5"]),
+    ('greeting = "Hello you there, friend"\nname = greeting + "Zt5Kq7Lm2v"', []),
+    ('client_secret = host + "Zt5-Kq7-Lm2v"\nclient_secret = client_secret + "Wx3"', ["Zt5-Kq7-Lm2v", "Wx3"]),
+    ('<add key="ApiSecret" value="Zt5!Kq7!Lm2v" />', ["Zt5!Kq7!Lm2v"]), ('<add key="Title" value="Zt5!Kq7!Lm2v" />', []),
+    ('tls:\n  private_key: |\n    -----BEGIN KEY-----\n    MIIEpAIBAAKCAQEA1\n\n    x9Zt5Kq7Lm2v\n    -----END KEY-----\n  port: 80\n',
+     ["MIIEpAIBAAKCAQEA1", "x9Zt5Kq7Lm2v"]),
     ('title = "zX81-kPq7-Lm2v"', []), ("pwd_path = '/etc/keys/one9'", []), ("The key: a word about passwords and more.", []),
 ])
 def test_named(text, values):
@@ -96,6 +103,7 @@ def test_long_lines_stay_linear():
     import time
 
     start = time.perf_counter()
-    for text in ('a="' * 60_000, "a." * 100_000 + "=", "key=" * 50_000, "'" * 200_000 + "=", "a = 'b' + " * 30_000):
+    for text in ('a="' * 60_000, "a." * 100_000 + "=", "key=" * 50_000, "'" * 200_000 + "=", "key: |\n" * 50_000, "\n" * 200_000,
+                 "key: |\n  a\n" * 30_000, "key='a' value=" * 30_000, "".join(f"k{i} = k{i + 1} + 'a'\n" for i in range(20_000)), "a = 'b' + " * 30_000):
         secretscan.secret_spans(text)
     assert time.perf_counter() - start < 20
