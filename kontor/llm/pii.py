@@ -6,13 +6,19 @@ two different entities cannot meet, and an entity is the same everywhere, withou
 table.  Names cannot be mapped that way, as their surrogates must look like names: each
 part becomes syllables of its script with an ending of its gender, drawn by a keyed
 hash.  All different names are checked for collisions, among surrogates and with names
-that really occur, and drawn again until none is left.
+that really occur, and drawn again until none is left.  A name is the same word in
+every text: what all its titles tell, taken together, decides its gender.
+
+Names are found after a title or a label such as "Name:", and from there on alone in the
+same text.  A name takes all capitalised words and the particles between them; in
+capitals throughout, where nothing shows its end, two words.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -33,6 +39,13 @@ TITLES = {
     "Mme": "f", "Mlle": "f", "Signora": "f", "Госпожа": "f", "г-жа": "f", "Κυρία": "f",
     "Dr": "n", "Prof": "n", "Professor": "n", "Доктор": "n",
 }
+LABELS = ("name", "full name", "first name", "given name", "last name", "surname", "signed", "signed by")
+PARTICLES = "van von der den de del della di da dos das du la le el al bin ibn ter ten zu y".split()
+# Names that are common words too: alone at a sentence's start they are read as the word.
+WORDS_TOO = frozenset(
+    "will may mark grace rose bill hope faith joy art grant chase drew pat sue rob jack frank dean earl summer april june august "
+    "long young black white green brown king price rich sharp wise best day page field hill".split()
+)
 SYLLABLES = {
     "latin": ("b d f g k l m n p r s t v z".split(), "a e i o u".split(), {"m": "n r s l k".split(), "f": "a ia na la ra".split()}),
     "cyrillic": ("б в г д ж з к л м н п р с т".split(), "а е и о у".split(), {"m": "н р с л к".split(), "f": "а ия на ла ра".split()}),
@@ -41,19 +54,26 @@ SYLLABLES = {
 SYLLABLES_EACH = 4
 
 _UPPER = "A-ZÀ-ÖØ-ÞА-ЯЁΑ-ΩΆΈΉΊΌΎΏ"
-_PART = rf"[{_UPPER}][\w'’-]*\w"
-_TITLE = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
-NAMED = re.compile(rf"(?<!\w)({_TITLE})\.?[  ]({_PART}(?: {_PART}){{0,2}})")
-# The same for the JVM, to pass only texts with a title on.
-HAS_TITLE = rf"(?U)(?<!\w)({_TITLE})\.?[  ][{_UPPER}]"
+# Ends before a possessive.
+_PART = rf"[{_UPPER}](?:\w|(?!['’]s(?!\w))['’-](?=\w))++"
+_TITLE = "|".join(sorted(map(re.escape, {one for title in TITLES for one in (title, title.upper())}), key=len, reverse=True))
+_GENDERS = {title.casefold(): gender for title, gender in TITLES.items()}
+_LABEL = "|".join(f"[{one[0].upper()}{one[0]}]{one[1:]}|{one.upper()}" for one in sorted(LABELS, key=len, reverse=True))
+_WORD = rf"(?!(?:{_TITLE})\.)(?:{_PART}|[{_UPPER}]\.)"
+_WORDS = rf"{_WORD}(?: (?:(?:{'|'.join(PARTICLES)}) )*{_WORD})*"
+NAMED = re.compile(rf"(?<!\w)(?:({_TITLE})\.?[  ]|(?m:^)[ \t]*(?:[-*] )?(?:{_LABEL})[ \t]*:[ \t]*)({_WORDS})")
+# The same for the JVM, to pass only texts with a title or a label on.
+HAS_TITLE = rf"(?Um)(?<!\w)({_TITLE})\.?[  ][{_UPPER}]|^[ \t]*(?:[-*] )?(?:{_LABEL})[ \t]*:[ \t]*[{_UPPER}]"
+_MENTION = re.compile(rf"(?<!\w){_PART}")
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")
+IP6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d)")
 NUMBER = re.compile(
     r"(?<![\w.@-])(?:(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?![\w@]|\.\d)"
     r"|(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"
-    r"|(?P<card>\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7})(?![\w-])|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
-    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-]))"
+    r"|(?P<card>\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
+    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|(?<!\d )\d{3} \d{3} \d{4}(?! \d))(?![\w-]))"
 )
-KINDS = ("email", "ip", "iban", "card", "ssn", "phone", "name")
+KINDS = ("email", "ip", "ip6", "iban", "card", "ssn", "phone", "name")
 
 
 # --- the keyed permutation ------------------------------------------------------
@@ -152,6 +172,12 @@ def _ip(key: bytes, text: str) -> str:
     return ".".join(str(value >> shift & 255) for shift in (24, 16, 8, 0))
 
 
+def _ip6(key: bytes, text: str) -> str:
+    """All eight groups: hardly any other address has a run of zeros to leave out."""
+    new = str(ipaddress.IPv6Address(displaced(key, "ip6", int(ipaddress.IPv6Address(text)), 2**128)))
+    return new.upper() if text.isupper() else new
+
+
 def _number(key: bytes, kind: str, digits: str) -> str:
     if not digits:
         return digits
@@ -186,7 +212,7 @@ def _iban(key: bytes, text: str) -> str:
 
 
 SURROGATES: dict[str, Callable[[bytes, str], str]] = {
-    "email": _email, "ip": _ip, "card": _card, "phone": _phone, "ssn": _ssn, "iban": _iban,
+    "email": _email, "ip": _ip, "ip6": _ip6, "card": _card, "phone": _phone, "ssn": _ssn, "iban": _iban,
 }
 
 
@@ -194,12 +220,12 @@ def script_of(word: str) -> str:
     return "greek" if "Ͱ" <= word[0] <= "Ͽ" else "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
 
 
-def name_surrogate(key: bytes, part: str, gender: str, canonical: str, attempt: int = 0) -> str:
+def name_surrogate(key: bytes, part: str, gender: str, canonical: str, attempt: int = 0, syllables: int = SYLLABLES_EACH) -> str:
     """The `attempt`-th draw for a given ('g') or family ('f') name, in lower case."""
     consonants, vowels, endings = SYLLABLES[script_of(canonical)]
     value = _digest(key, "name", part, gender, canonical, str(attempt))
     result = []
-    for _ in range(SYLLABLES_EACH):
+    for _ in range(syllables):
         value, one = divmod(value, len(consonants) * len(vowels))
         result.append(consonants[one // len(vowels)] + vowels[one % len(vowels)])
     ends = endings.get(gender, [""]) if part == "g" else [""]
@@ -207,15 +233,37 @@ def name_surrogate(key: bytes, part: str, gender: str, canonical: str, attempt:
 
 
 # --- one text -------------------------------------------------------------------
-def name_parts(text: str) -> list[tuple[str, str, str]]:
-    """(part, gender, canonical) of the names that follow a title: the last word is the family's."""
-    found = {}
-    for title, words in NAMED.findall(text):
-        *given, family = words.split(" ")
-        found.setdefault(family.casefold(), ("f", "n", family.casefold()))
-        for word in given:
-            found.setdefault(word.casefold(), ("g", TITLES[title], word.casefold()))
-    return sorted(found.values())
+def resolved(uses: set[tuple[str, str]]) -> tuple[str, str]:
+    """(part, gender) of a name from all its uses: given if it ever is, of the one gender that its titles tell."""
+    told = {gender for _, gender in uses} - {"n"}
+    return "g" if any(part == "g" for part, _ in uses) else "f", told.pop() if len(told) == 1 else "n"
+
+
+def name_parts(text: str) -> dict[str, tuple[str, str]]:
+    """{canonical: (part, gender)} of the names that follow a title or a label: the last word is the family's."""
+    uses: dict[str, set[tuple[str, str]]] = {}
+    for title, found in NAMED.findall(text):
+        words = _MENTION.findall(found)
+        if len(words) > 2 and found.isupper():
+            words = words[:2]
+        for i, word in enumerate(words, 1):
+            use = ("f", "n") if i == len(words) else ("g", _GENDERS.get(title.casefold(), "n"))
+            uses.setdefault(word.casefold(), set()).add(use)
+    return {canonical: resolved(some) for canonical, some in uses.items()}
+
+
+def _mentions(text: str, canonicals: dict) -> Iterator[tuple[int, int, str]]:
+    """Places of the names; a common word alone at a sentence's start is none."""
+    found = [m for m in _MENTION.finditer(text) if m[0].casefold() in canonicals]
+    for i, match in enumerate(found):
+        if match[0].casefold() in WORDS_TOO:
+            beside = i > 0 and text[found[i - 1].end():match.start()] == " "
+            beside |= i + 1 < len(found) and text[match.end():found[i + 1].start()] == " "
+            before = text[max(0, match.start() - 40):match.start()].rstrip()
+            titled = re.search(rf"(?:^|\W)(?:{_TITLE})\.?$", before) or before.endswith(":")
+            if not beside and not titled and (not before or before[-1] in ".!?…\"”»"):
+                continue
+        yield *match.span(), "name"
 
 
 def _valid(kind: str, text: str) -> bool:
@@ -224,6 +272,12 @@ def _valid(kind: str, text: str) -> bool:
     if kind == "card":
         digits = _digits(text)
         return 13 <= len(digits) <= 19 and luhn(digits)
+    if kind == "ip6":
+        try:
+            ipaddress.IPv6Address(text)
+        except ValueError:
+            return False
+        return sum(map(bool, text.split(":"))) > 2 and any(map(str.isdigit, text))
     if kind == "iban":
         plain = text.replace(" ", "")
         return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
@@ -235,10 +289,11 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     found = [(*m.span(), "email") for m in EMAIL.finditer(text)] if "@" in text else []
     if any(map(text.__contains__, "0123456789")):
         found += [(*m.span(), m.lastgroup) for m in NUMBER.finditer(text) if _valid(m.lastgroup, m[0])]
-    parts = {canonical for *_, canonical in name_parts(text)}
-    if parts:
-        words = re.finditer(rf"(?<!\w)[{_UPPER}][\w'’-]*", text)
-        found += [(*m.span(), "name") for m in words if m[0].casefold() in parts]
+    if ":" in text:
+        found += [(*m.span(), "ip6") for m in IP6.finditer(text) if _valid("ip6", m[0])]
+    names = name_parts(text)
+    if names:
+        found += _mentions(text, names)
     kept, last = [], 0
     for start, end, kind in sorted(found, key=lambda one: (one[0], -one[1])):
         if start >= last:
@@ -252,15 +307,20 @@ def _replaced(key: bytes, kind: str, entity: str) -> str:
     return SURROGATES[kind](key, entity)
 
 
-def pseudonymised(text: str, key: bytes, attempts: dict[str, int]) -> tuple[str, list[tuple[int, int, str, str]]]:
-    """The text with surrogates, and (start, end, kind, surrogate) by places in the old text."""
-    spans, names, result, at = [], {c: (p, g) for p, g, c in name_parts(text)}, [], 0
+def pseudonymised(
+    text: str, key: bytes, told: dict[str, tuple[str, str, int]]
+) -> tuple[str, list[tuple[int, int, str, str]]]:
+    """The text with surrogates, and (start, end, kind, surrogate) by places in the old text.
+
+    `told` has (part, gender, attempt) of names for which the text alone would say another.
+    """
+    spans, names, result, at = [], name_parts(text), [], 0
     for start, end, kind in entities(text):
         old = text[start:end]
         if kind == "name":
             canonical = old.casefold()
-            part, gender = names[canonical]
-            new = name_surrogate(key, part, gender, canonical, attempts.get(f"{part}{gender}{canonical}", 0))
+            part, gender, attempt = told.get(canonical) or (*names[canonical], 0)
+            new = name_surrogate(key, part, gender, canonical, attempt)
             new = new.upper() if len(old) > 1 and old.isupper() else new.capitalize()
         else:
             new = _replaced(key, kind, old)
@@ -272,43 +332,53 @@ def pseudonymised(text: str, key: bytes, attempts: dict[str, int]) -> tuple[str,
 
 # --- names of the whole table -----------------------------------------------------
 def names(df: DataFrame, text: str) -> DataFrame:
-    """(text_key, part, gender, canonical) of every different text with titled names."""
+    """(text_key, canonical, part, gender) of every different text with names, as the text alone tells."""
     texts = df.select(F.col(f"`{text}`").alias("text")).filter(F.col("text").rlike(HAS_TITLE))
 
-    @F.pandas_udf("array<struct<part: string, gender: string, canonical: string>>")
+    @F.pandas_udf("array<struct<canonical: string, part: string, gender: string>>")
     def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fields = ("canonical", "part", "gender")
         for some in batches:
-            yield pd.Series([[dict(zip(("part", "gender", "canonical"), one)) for one in name_parts(t)] for t in some])
+            yield pd.Series([[dict(zip(fields, (one, *use))) for one, use in sorted(name_parts(t).items())] for t in some])
 
     rows = texts.select(text_key(F.col("text")).alias("text_key"), F.explode(each("text")).alias("name"))
     return rows.select("text_key", "name.*").distinct()
 
 
-def settled(found: DataFrame, key: bytes) -> DataFrame:
-    """(part, gender, canonical, attempt) of the names that cannot have their first draw.
+def settled(found: DataFrame, key: bytes, syllables: int = SYLLABLES_EACH) -> DataFrame:
+    """(canonical, part, gender, attempt) of all names: what all their uses tell, and the draw that counts.
 
     A draw fails if an earlier settled or smaller name has it, or if it is itself a name that
     occurs.  Only failed names draw again.
     """
-    known = written(found.select("part", "gender", "canonical").distinct(), "pii-names")
+    told = F.array_except(F.collect_set("gender"), F.array(F.lit("n")))
+    known = found.groupBy("canonical").agg(
+        F.max("part").alias("part"), F.when(F.size(told) == 1, told[0]).otherwise("n").alias("gender")  # 'g' is after 'f'
+    )
+    known = written(known, "pii-names")
 
     @F.pandas_udf("string")
     def draw(part: pd.Series, gender: pd.Series, canonical: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([name_surrogate(key, *one) for one in zip(part, gender, canonical, attempt)], dtype=object)
+        drawn = [name_surrogate(key, *one, syllables) for one in zip(part, gender, canonical, attempt)]
+        return pd.Series(drawn, dtype=object)
 
-    real = known.select(F.col("canonical").alias("surrogate")).distinct().withColumn("real", F.lit(True))
+    real = known.select(F.col("canonical").alias("surrogate"), F.lit(True).alias("real"))
     rows = known.withColumn("attempt", F.lit(0))
     while True:
         drawn = rows.withColumn("surrogate", draw("part", "gender", "canonical", "attempt"))
-        place = F.row_number().over(Window.partitionBy("surrogate").orderBy("attempt", "canonical", "part", "gender"))
+        place = F.row_number().over(Window.partitionBy("surrogate").orderBy("attempt", "canonical"))
         judged = drawn.withColumn("place", place).join(real, "surrogate", "left")
         failed = (F.col("place") > 1) | F.col("real").isNotNull()
-        judged = written(judged.select("part", "gender", "canonical", "attempt", failed.alias("failed")), "pii-draws")
+        judged = written(judged.select("canonical", "part", "gender", "attempt", failed.alias("failed")), "pii-draws")
         if judged.filter("failed").isEmpty():
-            return judged.filter("attempt > 0").select("part", "gender", "canonical", "attempt")
+            return judged.drop("failed")
         # A failed name draws after all that are settled: its attempt is larger than theirs.
         most = judged.agg(F.max("attempt")).first()[0]
-        rows = judged.select("part", "gender", "canonical", F.when(F.col("failed"), most + 1).otherwise(F.col("attempt")).alias("attempt"))
+        rows = judged.select("canonical", "part", "gender", F.when(F.col("failed"), most + 1).otherwise(F.col("attempt")).alias("attempt"))
+
+
+def _told(own) -> dict[str, tuple[str, str, int]]:
+    return {name: (one["part"], one["gender"], one["attempt"]) for name, one in dict(own if own is not None else ()).items()}
 
 
 # --- the operator ---------------------------------------------------------------
@@ -317,29 +387,30 @@ def pseudonymise(df: DataFrame, key: bytes, text: str = "text", into: str = "ent
 
     Places are code points of the old text.  A null text stays null with no entities; texts
     without entities do not change; every row stays, also repeated ones.  Different names that
-    differ in capitals alone are one.  The key decides all surrogates, in every run alike.
+    differ in capitals alone are one.  A column of the caller called like `into` is replaced.
+    The key decides all surrogates, in every run alike.
     """
     found = written(names(df, text), "pii-named")
-    again = settled(found, key)
-    code = F.concat("part", "gender", "canonical")
-    redrawn = found.join(again, ["part", "gender", "canonical"]).groupBy("text_key").agg(
-        F.map_from_entries(F.collect_set(F.struct(code, "attempt"))).alias("attempts")
+    own = found.withColumnsRenamed({"part": "own_part", "gender": "own_gender"})
+    other = (F.col("attempt") > 0) | (F.col("part") != F.col("own_part")) | (F.col("gender") != F.col("own_gender"))
+    told = own.join(settled(found, key), "canonical").filter(other).groupBy("text_key").agg(
+        F.map_from_entries(F.collect_set(F.struct("canonical", F.struct("part", "gender", "attempt")))).alias("told")
     )
-    redrawn = written(redrawn, "pii-redrawn")  # one row for each text with such a name, often none
+    told = written(told, "pii-told")  # one row for each text with such a name, often none
 
     @F.pandas_udf("text string, found array<struct<start: int, end: int, kind: string, surrogate: string>>")
     def each(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         fields = ("start", "end", "kind", "surrogate")
-        for texts, attempts in batches:
+        for texts, others in batches:
             rows = []
-            for one, own in zip(texts, attempts):
-                new, spans = (None, []) if one is None else pseudonymised(one, key, dict(own) if own is not None else {})
+            for one, own in zip(texts, others):
+                new, spans = (None, []) if one is None else pseudonymised(one, key, _told(own))
                 rows.append((new, [dict(zip(fields, span)) for span in spans]))
             yield pd.DataFrame(rows, columns=["text", "found"])
 
     rows = packed(df)
-    rows = rows.join(redrawn.withColumnRenamed("text_key", "__text_key"), text_key(field(text)) == F.col("__text_key"), "left")
-    rows = rows.select(ROW, each(field(text), F.col("attempts")).alias("new"))
+    rows = rows.join(told.withColumnRenamed("text_key", "__text_key"), text_key(field(text)) == F.col("__text_key"), "left")
+    rows = rows.select(ROW, each(field(text), F.col("told")).alias("new"))
     kept = [F.col("new.text").alias(text) if name == text else field(name).alias(name) for name in df.columns if name != into]
     return rows.select(*kept, F.col("new.found").alias(into))
 
