@@ -3,10 +3,10 @@
 A vector is cut into equal segments.  With mean m and deviation s of a segment of n
 components, the squared distance of two vectors is at least the sum over segments of
 n ((m - m')^2 + (s - s')^2); as |q|^2 and |x|^2 are known, their inner product is at most
-the sum of n (m m' + s s').  More segments give a closer bound.  Each block of vectors
-is bounded against a block of queries from coarse to fine; only pairs whose bound
-reaches the query's k-th best score so far are looked at again, and what is left is
-multiplied out.
+the sum of n (m m' + s s').  More segments give a closer bound, down to segments of two
+components.  Each block of vectors is bounded against a block of queries from coarse to
+fine; only pairs whose bound reaches the query's k-th best score so far are looked at
+again.  What is left is multiplied out, the highest bounds first, as they raise that score.
 """
 
 from __future__ import annotations
@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 
 from kontor.operators.sizing import written
 
-SEGMENTS = (4, 16)
+COARSEST, FINER = 4, 4
 QUERY_BLOCK = 1_024
 VECTOR_BLOCK = 2_048
 # What rounding can take from a bound, for each unit of the norms' product.
 ROUNDING = 1e-9
+# Below this share of pairs alive, a level looks at each query's own vectors.
+SPARSE = 0.125
 LOWEST, NO_KEY = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
@@ -48,12 +50,23 @@ def _statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([cut.mean(axis=2), cut.std(axis=2)], axis=1) * np.sqrt(size)
 
 
+def segment_counts(dim: int) -> list[int]:
+    """Numbers of segments from coarse to fine; the last ones hold two components."""
+    most = max(1, -(-dim // 2))
+    counts = []
+    count = COARSEST
+    while count < most:
+        counts.append(count)
+        count *= FINER
+    return [*counts, most]
+
+
 class Block:
     """Vectors of one length with their statistics, coarse to fine."""
 
     def __init__(self, keys: np.ndarray, vectors: np.ndarray):
         self.keys, self.vectors = keys, vectors
-        self.levels = [_statistics(vectors, count) for count in SEGMENTS]
+        self.levels = [_statistics(vectors, count) for count in segment_counts(vectors.shape[1])]
         self.largest = int(np.abs(vectors).max(initial=0))
 
     @classmethod
@@ -65,7 +78,7 @@ class Block:
 class Best:
     """The k best of each query so far: higher scores first, then smaller keys.
 
-    `floor` is a score that k vectors are known to reach.
+    `floor` is a score that k vectors are known to reach; `seen` and `multiplied` count pairs.
     """
 
     def __init__(self, queries: int, k: int):
@@ -73,6 +86,7 @@ class Best:
         self.scores = np.full((queries, k), LOWEST)
         self.keys = np.full((queries, k), NO_KEY)
         self.floor = np.full(queries, LOWEST)
+        self.seen = self.multiplied = 0
 
     def add(self, query: int, scores: np.ndarray, keys: np.ndarray) -> None:
         scores, keys = np.concatenate([self.scores[query], scores]), np.concatenate([self.keys[query], keys])
@@ -92,17 +106,31 @@ def search(queries: Block, block: Block, best: Best) -> None:
     slack = 1 + ROUNDING * dim * queries.largest * block.largest
     small = dim * queries.largest * block.largest < 2**52
     alive = np.ones((len(queries.keys), len(block.keys)), bool)
+    bounds = np.empty(alive.shape)
+    best.seen += alive.size
     for level, (ours, theirs) in enumerate(zip(queries.levels, block.levels)):
         rows, columns = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
-        bound = ours[rows] @ theirs[columns].T + slack
+        if alive.sum() < SPARSE * len(rows) * len(columns):
+            for query in rows:
+                left = np.flatnonzero(alive[query])
+                bounds[query, left] = theirs[left] @ ours[query] + slack
+        else:
+            bounds[np.ix_(rows, columns)] = ours[rows] @ theirs[columns].T + slack
         if level == 0:
-            _seed(queries, block, best, bound, small)
-        alive[np.ix_(rows, columns)] &= bound >= best.floor[rows, None]
+            _seed(queries, block, best, bounds, small)
+        alive &= bounds >= best.floor[:, None]
     for query in np.flatnonzero(alive.any(axis=1)):
         left = np.flatnonzero(alive[query] & (block.keys != queries.keys[query]))
-        scores = products(block.vectors[left], queries.vectors[query], small)
-        good = scores >= best.floor[query]
-        best.add(query, scores[good], block.keys[left][good])
+        left = left[np.argsort(-bounds[query, left], kind="stable")]
+        at = 0
+        while at < len(left) and bounds[query, left[at]] >= best.floor[query]:
+            some = left[at:at + max(4 * best.k, at // 2)]
+            some = some[bounds[query, some] >= best.floor[query]]
+            at += max(4 * best.k, at // 2)
+            best.multiplied += len(some)
+            scores = products(block.vectors[some], queries.vectors[query], small)
+            good = scores >= best.floor[query]
+            best.add(query, scores[good], block.keys[some][good])
 
 
 def _seed(queries: Block, block: Block, best: Best, bound: np.ndarray, small: bool) -> None:
@@ -112,6 +140,7 @@ def _seed(queries: Block, block: Block, best: Best, bound: np.ndarray, small: bo
         top = np.argpartition(-bound[query], size - 1)[:size]
         top = top[block.keys[top] != queries.keys[query]]
         if len(top) >= best.k:
+            best.multiplied += len(top)
             best.floor[query] = np.sort(products(block.vectors[top], queries.vectors[query], small))[-best.k]
 
 
@@ -143,7 +172,7 @@ def top_k(
     """(query, rank, key, score): each query's `k` highest inner products with the other rows of `df`.
 
     Ties go to the smaller key; fewer rows give fewer ranks.  Components become
-    floor(scale * x) first.  Vectors that are null or hold a null or not finite component,
+    floor(scale * x) first.  Keys are longs.  Vectors that are null or hold a null or not finite component,
     and rows with a null key, take no part; vectors of another length are not compared, an
     empty one scores 0 with others.  Rows that share a query's key are its own and left
     out; of repeated rows each is a candidate, and repeated queries are one.  Queries and

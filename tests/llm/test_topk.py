@@ -53,3 +53,24 @@ def test_odd_vectors(spark):
 def test_empty(spark):
     assert found(spark, [], []) == set()
     assert found(spark, [(1, [1.0])], []) == set()
+
+
+def test_less_than_half_multiplied_out(spark):
+    """The vectors of the test tables point almost evenly in all directions, so bounds have little to go by."""
+    import numpy as np
+
+    rows = topk.whole(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), "vec_id", "embedding", 256).collect()
+    keys, vectors = np.array([row.key for row in rows]), np.array([row.x for row in rows], np.int64)
+    asked = topk.Block(keys[keys % 50 == 0], vectors[keys % 50 == 0])
+    best = topk.Best(len(asked.keys), 5)
+    topk.search(asked, topk.Block(keys, vectors), best)
+    assert best.seen == len(asked.keys) * len(keys) and best.multiplied < best.seen / 2, best.multiplied / best.seen
+    scores = asked.vectors @ vectors.T
+    scores[asked.keys[:, None] == keys] = topk.LOWEST
+    for query, one in enumerate(scores):
+        order = np.lexsort((keys, -one))[:5]
+        assert best.keys[query].tolist() == keys[order].tolist() and best.scores[query].tolist() == one[order].tolist()
+
+
+def test_levels():
+    assert [topk.segment_counts(dim) for dim in (0, 1, 7, 8, 64, 768)] == [[1], [1], [4], [4], [4, 16, 32], [4, 16, 64, 256, 384]]
