@@ -68,7 +68,7 @@ def test_less_than_half_multiplied_out(spark):
     scores = asked.vectors @ vectors.T
     scores[asked.keys[:, None] == keys] = topk.LOWEST
     for query, one in enumerate(scores):
-        order = np.lexsort((keys, -one))[:5]
+        order = np.lexsort((keys, ~one))[:5]
         assert best.keys[query].tolist() == keys[order].tolist() and best.scores[query].tolist() == one[order].tolist()
 
 
