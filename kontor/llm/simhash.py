@@ -29,6 +29,7 @@ SHINGLES_AT_ONCE = 4096
 # A bucket beyond this many different fingerprints is covered anew in the bits its mask
 # dropped, about half of them each time, until it has too few open bits to be larger.
 BUCKET = 4096
+SHARES = 512
 ROWS_TOGETHER = 50_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -174,13 +175,27 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3
 
 
 def rooted(rows: DataFrame, radius: int) -> DataFrame:
-    """Rows (key, f) with `root`, the smallest fingerprint of their component, and `component`, its smallest key."""
-    prints = written(rows.groupBy("f").agg(F.min("key").alias("least")), "simhash-prints")
-    roots = components(links(prints.select("f"), radius))
-    placed = prints.join(roots.withColumnRenamed("node", "f"), "f", "left").withColumn("root", F.coalesce("root", "f"))
+    """Rows (key, f) with `root`, the smallest fingerprint of their component, and `component`, its smallest key.
+
+    A fingerprint that holds more than one row in `SHARES` is joined by a broadcast, as all
+    its rows would meet in one task; there are fewer than `SHARES` of them at any size.
+    """
+    prints = written(rows.groupBy("f").agg(F.min("key").alias("least"), F.count("*").alias("n")), "simhash-prints")
+    placed = _placed(prints, radius)
     lowest = placed.groupBy("root").agg(F.min("least").alias("component"))
-    named = written(placed.join(lowest, "root").select("f", "root", "component"), "simhash-named")
-    return rows.join(named, "f").select("key", "f", "root", "component")
+    named = written(placed.join(lowest, "root").select("f", "root", "component", "n"), "simhash-named")
+    total = named.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") * SHARES > total
+    hot, others = named.filter(often).drop("n"), named.filter(~often).drop("n")
+    crowded = rows.join(F.broadcast(hot), "f")
+    rest = rows.join(F.broadcast(hot.select("f")), "f", "left_anti").join(others, "f")
+    return crowded.unionByName(rest).select("key", "f", "root", "component")
+
+
+def _placed(prints: DataFrame, radius: int) -> DataFrame:
+    """Different fingerprints `f`, further columns kept, with the smallest one of their component."""
+    roots = components(links(prints.select("f"), radius))
+    return prints.join(roots.withColumnRenamed("node", "f"), "f", "left").withColumn("root", F.coalesce("root", "f"))
 
 
 def hexadecimal(f: Column) -> Column:
@@ -195,8 +210,11 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
     """
     prints = df.select(F.col(f"`{key}`").alias("key"), fingerprints(F.col(f"`{text}`"), size).alias("f"))
     prints = written(prints, "simhash")
-    each = rooted(prints, radius).groupBy("root", "key", "f").agg(F.count("*").alias("n"))
-    best = each.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "f", "n")).alias("best"))
+    # Only the first key of a fingerprint can win, so copies fall together before the components are joined.
+    keys = prints.groupBy("f", "key").agg(F.count("*").alias("n"))
+    first = keys.groupBy("f").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "n")).alias("first"))
+    placed = _placed(written(first.select("f", "first.*"), "simhash-prints"), radius)
+    best = placed.groupBy("root").agg(F.min(F.struct("none", "key", "f", "n")).alias("best"))
     winners = written(best.select(F.col("best.key").alias("__key"), F.col("best.f").alias("__f"), "best.n"), "simhash-best")
     shared = prints.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1 OR key IS NULL")
     shared = written(shared.select(F.col("key").alias("__key")), "simhash-shared")

@@ -117,6 +117,15 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("shares", [1, 6, 512])
+def test_hot_fingerprints_lose_no_row(spark, monkeypatch, shares):
+    monkeypatch.setattr(simhash, "SHARES", shares)
+    rows = [(i, f"text number {min(i % 20, 7)} of a few that repeat often") for i in range(60)] + [(99, None), (98, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((row.key, row.component) for row in simhash.groups(docs).collect())
+    assert found == sorted((key, component) for key, _, component in plain_groups(rows))
+
+
 def test_one_of_each_keeps_one_row_and_all_columns(spark):
     text = "some words that are the same in all of these rows"
     rows = [
