@@ -39,14 +39,16 @@ def gram_counts(text: str) -> np.ndarray:
     if not _TABLE:
         _TABLE.append(_letters())
     counts = np.zeros(BUCKETS, np.int64)
+    text = text.lower()
     for at in range(0, len(text), BLOCK):
-        part = text[max(0, at - ORDERS + 1):at + BLOCK].lower()
+        part = text[max(0, at - ORDERS + 1):at + BLOCK]
         points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
         letters = np.where(points < 1 << 16, _TABLE[0][points & 0xFFFF], points.astype(np.uint64))
         mixed = np.zeros(len(letters), np.uint64)
         for order in range(ORDERS):
             mixed = mixed[: len(letters) - order] + letters[order:] * _FACTORS[order]
             spread = (mixed ^ (mixed >> np.uint64(29))) * _FACTORS[3] + np.uint64(order)
+            spread = spread[max(0, min(at, ORDERS - 1) - order):]  # grams that end before this block are counted
             counts += np.bincount((spread >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=BUCKETS)
     counts[_gap_buckets()] = 0
     return counts
