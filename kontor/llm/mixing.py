@@ -97,8 +97,8 @@ def _refined(units: DataFrame, state: DataFrame, shift: int) -> DataFrame:
 def with_times(rows: DataFrame, limits: DataFrame, source: Column, number: Column) -> DataFrame:
     """Add `times` and the limits' columns to rows.
 
-    Rows that share the edge value (repeated rows) are told apart by counting them, and
-    only these are gathered.
+    Rows that share the edge value (equal in key and text) are counted in the order of a
+    hash of all their columns, and only these are gathered.
     """
     joined = rows.withColumn("__unit", number).join(
         limits.withColumnRenamed("source", "__source"), source.eqNullSafe(F.col("__source"))
@@ -109,7 +109,8 @@ def with_times(rows: DataFrame, limits: DataFrame, source: Column, number: Colum
     plain = joined.filter(~at_edge) if _has_ties(limits) else joined
     result = plain.withColumn("times", F.col("passes") + (below | single).cast("int"))
     if _has_ties(limits):
-        place = F.row_number().over(Window.partitionBy("__source", "__unit").orderBy(F.lit(0)))
+        content = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{name}`") for name in rows.columns])))
+        place = F.row_number().over(Window.partitionBy("__source", "__unit").orderBy(content))
         tied = joined.filter(at_edge).withColumn("__place", place)
         more = (F.col("__place") <= F.col("edge_taken")).cast("int")
         result = result.unionByName(tied.withColumn("times", F.col("passes") + more).drop("__place"))
@@ -123,8 +124,8 @@ def _has_ties(limits: DataFrame) -> bool:
 def sized(df: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, source, size, unit): what mixing has to know, a small part of the table, written once."""
     return written(df.select(
-        F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-        unit([F.col(key), F.col(text)]).alias("unit"),
+        F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"),
+        unit([F.col(f"`{key}`"), F.col(f"`{text}`")]).alias("unit"),
     ), "mix-units")
 
 

@@ -86,6 +86,14 @@ def test_reruns_agree(spark):
     assert first == again
 
 
+def test_rows_equal_in_key_and_text_are_taken_alike(spark):
+    rows = [(i // 40, "w " * (i // 40 + 1), f"s{i % 2}", str(i)) for i in range(240)]
+    frame = spark.createDataFrame(rows, "`doc.id` long, `the.text` string, `a.source` string, url string")
+    names = {"key": "doc.id", "text": "the.text", "source": "a.source"}
+    first, again = (sorted(map(tuple, mixing.mix(one, **names).collect())) for one in (frame, frame.orderBy("url").repartition(5)))
+    assert first == again and len({row[0] for row in first}) > 1
+
+
 def test_targets_fill_up_and_share_the_excess(spark):
     totals = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1000), (None, 100)], "source string, total long")
     goal = {row.source: row.target for row in mixing.targets(totals, (5, 2, 1), 1.5, 2).collect()}
