@@ -1,9 +1,9 @@
 """Page tables `(page_id, url, html)` to records.
 
-Reading the markup is the one step done in Python workers; it needs no exchange,
-and its output stays inside the page's row as an array.  The readers are declared
-nondeterministic, which keeps the optimiser from running them again for a filter
-pushed below them.
+Reading the markup is the one step done in Python workers, and its output stays
+inside the page's row as an array.  The readers are declared nondeterministic, which
+keeps the optimiser from running them again for a filter pushed below them.  Records
+are read from pages dealt over all tasks, see `dealt`.
 """
 
 from __future__ import annotations
@@ -40,6 +40,17 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
                         F.col("value").alias("html"))
 
 
+def dealt(pages: DataFrame, *columns: str) -> DataFrame:
+    """Pages over as many tasks as an exchange has, by content.
+
+    Markup is many times dearer to read than to move, and it packs well: one split of a
+    page table, or one broadcast join, can leave a million pages to a single task.  The
+    number is stated, as partitions of packed text look small enough to be put together again.
+    """
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.repartition(tasks, *(as_col(name) for name in columns))
+
+
 def table_rows(html: Column | str) -> Column:
     """All table rows of a page; a missing page has none."""
 
@@ -85,11 +96,11 @@ def with_page(
     """Rows with what `parse` makes of the page their URL names; NULL columns where there is no page.
 
     `parse` takes pages with `url, html` and keeps `url` as the first column.  Only the
-    pages the rows name are parsed: a semi-join on the URL comes first, at any size.
+    pages the rows name are moved and parsed: a semi-join on the URL comes first, at any size.
     """
     wanted = rows.select(as_col(url).alias("url")).filter(F.col("url").isNotNull()).distinct()
     found = pages.select("url", "html").join(wanted, "url", "left_semi")
-    parsed = parse(found).withColumnRenamed("url", "__page_url")
+    parsed = parse(dealt(found, "url", "html")).withColumnRenamed("url", "__page_url")
     return rows.join(parsed, rows[f"`{url}`"] == parsed["__page_url"], "left").drop("__page_url")
 
 
@@ -114,7 +125,8 @@ def table_records(
     body = F.filter(
         first, lambda r: (r["part"] == "tbody") & F.exists(r["cells"], lambda c: c["tag"] == "td")
     )
-    read = pages.select(as_col(page), table_rows(html).alias("rows"))
+    asked = dealt(pages.select(as_col(page), as_col(html)), page, html)
+    read = asked.select(as_col(page), table_rows(html).alias("rows"))
     rows = read.select(as_col(page), names.alias("names"), F.posexplode(body).alias("position", "row"))
     cells = F.filter(F.col("row.cells"), lambda c: c["tag"] == "td")
 

@@ -36,6 +36,20 @@ def test_table_records(spark):
     ]
 
 
+def test_markup_is_read_by_many_tasks(spark):
+    """Pages in one split, as a small file of many pages has them, and requests small enough to be broadcast."""
+    row = "<tr><td>A</td><td>CHE-123.456.789</td><td><a href='/e'>x</a></td></tr>"
+    one = page_table(spark, *[HEAD + row + "</tbody></table>"] * 40).coalesce(1)
+    read = pages.table_records(one).select("page_id", F.spark_partition_id().alias("task"))
+    assert sorted(r["page_id"] for r in read.collect()) == list(range(40))
+    assert read.select("task").distinct().count() == 4
+    asked = one.select(F.col("url").alias("link")).filter("link <> 'u7'").unionByName(spark.createDataFrame([("gone",)], "link string"))
+    linked = pages.with_page(F.broadcast(asked), "link", one, lambda some: some.select("url", F.spark_partition_id().alias("task")))
+    found = {r["link"]: r["task"] for r in linked.collect()}
+    assert set(found) == {f"u{i}" for i in range(40) if i != 7} | {"gone"} and found.pop("gone") is None
+    assert len(set(found.values())) == 4
+
+
 @pytest.mark.parametrize("html", ["", "<p>no table</p>", HEAD + "</tbody></table>", "<table><tr><td>x</td></tr></table>", None])
 def test_pages_without_records(spark, html):
     assert records(spark, html) == []
