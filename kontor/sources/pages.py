@@ -151,6 +151,11 @@ def table_records(
     )
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """What `body` makes of a value worked out once; a lambda works out a column expression for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def section_rows(rows: Column, header: str) -> Column:
     """Data rows of the tables that have a header cell containing `header`, header row skipped.
 
@@ -160,7 +165,10 @@ def section_rows(rows: Column, header: str) -> Column:
         F.filter(rows, lambda r: F.exists(r["cells"], lambda c: (c["tag"] == "th") & F.contains(c["text"], F.lit(header)))),
         lambda r: r["table_no"],
     )
-    picked = F.filter(rows, lambda r: F.array_contains(tables, r["table_no"]) & (r["row_no"] > 0))
+    picked = bound(
+        F.array_distinct(tables),
+        lambda some: F.filter(rows, lambda r: F.array_contains(some, r["table_no"]) & (r["row_no"] > 0)),
+    )
     return F.transform(
         picked,
         lambda r: F.struct(
@@ -181,8 +189,12 @@ def current_text(
         section_rows(rows, header),
         lambda r: (F.size(r["cells"]) == width) & ~F.contains(F.get(r["cells"], F.lit(width - 1))["class"], F.lit(struck)),
     )
-    last_table = F.try_element_at(usable, F.lit(-1))["table_no"]
-    row = F.get(F.filter(usable, lambda r: r["table_no"] == last_table), F.lit(0))
+
+    def first_of_last(found: Column) -> Column:
+        last_table = F.try_element_at(found, F.lit(-1))["table_no"]
+        return bound(last_table, lambda last: F.get(F.filter(found, lambda r: r["table_no"] == last), F.lit(0)))
+
+    row = bound(usable, first_of_last)
     return fold_newlines(F.get(row["cells"], F.lit(width - 1))["lines"], by)
 
 
