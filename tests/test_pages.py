@@ -7,7 +7,7 @@ from kontor import fixed_values as V
 from kontor.operators.filters import drop_failed
 from kontor.operators.joins import not_done
 from kontor.plans import directory, register
-from kontor.sources import pages
+from kontor.sources import pages, tabular
 from kontor.sources.markup import elements, table_rows
 
 
@@ -124,6 +124,20 @@ def test_failures_keep_the_reason(spark):
     assert sorted((r["source_idi"], r["error"]) for r in register.failures(linked).collect()) == [("2", "unreadable page"), ("3", "no page")]
 
 
+def test_lists_from_one_split_are_scanned_by_many_tasks(spark, tmp_path):
+    """A CSV file is one task, so the list of results must not lie in as many files as the pages have splits."""
+    from kontor.sources.store import data_files
+
+    lines = [HEAD + f"<tr><td>A{i}</td><td>CHE-123.456.{i:03}</td><td><a href='u{i}'>x</a></td></tr></tbody></table>" for i in range(40)]
+    listing, output, errors = (str(tmp_path / name) for name in ("listing", "extracts", "errors"))
+    found = register.collect_results(spark, page_table(spark, *lines).coalesce(1), listing, "page_id")
+    assert len(list(data_files(spark, listing))) == 4 and found.count() == 40
+    sheets = page_table(spark, *[section("Purpose", row("p")), "<p>busy</p>"] * 15).coalesce(1)
+    assert register.collect_extracts(spark, found, sheets, output, errors).count() == 15
+    reasons = tabular.scan_csv(spark, errors).groupBy("error").count().collect()
+    assert sorted(tuple(one) for one in reasons) == [("no page", 10), ("unreadable page", 15)]
+
+
 def test_contact_records(spark):
     html = (
         "<div class='place x'> Way 1 <br><span> 6900 </span><span>Lugano</span></div><div class='place'>second</div>"
