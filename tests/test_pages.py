@@ -1,4 +1,6 @@
+import random
 import time
+from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from kontor import fixed_values as V
 from kontor.operators.filters import drop_failed
 from kontor.operators.joins import not_done
 from kontor.plans import directory, register
-from kontor.sources import pages, tabular
+from kontor.sources import markup, pages, tabular
 from kontor.sources.markup import elements, table_rows
 
 
@@ -162,6 +164,31 @@ def test_reader_survives_broken_markup():
     assert elements("<div id=a>x<script>y</script><p>z", frozenset(["a"]), frozenset(), False)[0]["spaced"] == "x z"
 
 
+def test_plain_markup_is_read_without_the_pattern(monkeypatch):
+    monkeypatch.setattr(markup, "TOKEN", None)
+    html = "<table><TR><td>a &amp; b</td></TR></table>z"
+    assert [(kind, name) for kind, name, _ in markup.tokens(html)] == [
+        ("open", "table"), ("open", "tr"), ("open", "td"), ("text", "a & b"), ("close", "td"), ("close", "tr"), ("close", "table"),
+        ("text", "z"),
+    ]
+
+
+def test_tokens_are_those_of_the_pattern_alone():
+    def by_pattern(html):
+        for match in markup.TOKEN.finditer(html):
+            if match["text"] is not None:
+                yield "text", unescape(match["text"]), ""
+            elif match["tag"] is not None:
+                yield "close" if match["end"] else "open", match["tag"].lower(), match["attrs"]
+
+    parts = ["<", ">", "</", "<td>", "</TD>", "<td", "<a x='b>'>", "<br/>", "<script>", "</script>", "<!--", "-->", "<?", "'", '"', "x y",
+             "<1", "<\u017f>", "<\u212a", "\u00e9", "/", "&lt;td>", "=", "\n"]
+    deal = random.Random(3)
+    for _ in range(5_000):
+        html = "".join(deal.choices(parts, k=deal.randint(0, 15)))
+        assert list(markup.tokens(html)) == list(by_pattern(html)), html
+
+
 @pytest.mark.parametrize("junk", ["<", "<b", "<b '", '<a "x <a \'y ', "<!--", "<script>", "</p", "<td>", "<i class=x>", "&amp", "<a href=x>"])
 def test_reader_is_linear_on_junk(junk):
     start = time.perf_counter()
